@@ -45,5 +45,6 @@ def agent_assignment(observed: DataFrame) -> DataFrame:
     ``agent_id``, ``program_id``, ``queue_id``, ``role_on_program`` and ``seen_ts``.
     """
     tracked = ["queue_id", "role_on_program"]
+    observed = observed.withColumn("seen_ts", F.col("seen_ts").cast("timestamp"))
     rows = history(observed, ["agent_id", "program_id"], tracked, "seen_ts", "assignment_history_id")
     return conform(rows, "ods_agent_assignment_scd2")
