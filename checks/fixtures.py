@@ -266,7 +266,7 @@ RECIPES = {
     """,
     "stg_fin_rate_card": """
         SELECT p_partkey AS rate_card_id,
-               p_partkey % 200 AS program_id,
+               CAST(floor(p_partkey / 3) AS BIGINT) AS program_id,
                p_brand AS service_code,
                CAST(p_retailprice / 100 AS DECIMAL(12,4)) AS rate,
                'USD' AS currency,

@@ -703,7 +703,7 @@ def compose(sql: str) -> str:
     if not done:
         return sql
     parts = ",\n".join(f"{n} AS ({part(n)})" for n in done)
-    return f"WITH {parts}\n{sql}"
+    return f"WITH {parts}\nSELECT * FROM (\n{sql}\n)"
 
 
 PLAIN = {"DATE": "strftime({0}, '%Y-%m-%d')", "STRING": "CAST({0} AS VARCHAR)"}

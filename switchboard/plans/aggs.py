@@ -197,7 +197,7 @@ def agg_program_monthly(
     leaves = leaves.join(owner, "program_sk", "left").withColumn(
         "client_sk", F.coalesce("client_sk", F.lit(UNKNOWN))
     )
-    rows = _monthly_rollup(leaves, ["client_sk", "program_sk", "line_of_business"], measures)
+    rows = monthly_rollup(leaves, ["client_sk", "program_sk", "line_of_business"], measures)
     out = rows.withColumns(
         {
             "interactions": F.coalesce("n", F.lit(0)),
@@ -227,7 +227,7 @@ def agg_csat_rollup_monthly(survey: DataFrame, program: DataFrame) -> DataFrame:
     leaves = leaves.join(owner, "program_sk", "left").withColumns(
         {"client_sk": F.coalesce("client_sk", F.lit(UNKNOWN)), "site_code": F.coalesce("site_code", F.lit(NO_SITE))}
     )
-    rows = _monthly_rollup(
+    rows = monthly_rollup(
         leaves, ["client_sk", "program_sk", "site_code"], ["surveys", "csat", "csat_n", "up", "down"]
     )
     out = rows.withColumns(
@@ -274,11 +274,13 @@ def _in_states(cond: Column) -> Column:
     return F.sum(F.when(cond, F.col("state_seconds")).otherwise(0))
 
 
-def _monthly_rollup(leaves: DataFrame, levels: list[str], measures: list[str]) -> DataFrame:
-    """Rollup over ``levels`` within each month; ``_level`` has the leftmost level as its top bit."""
+def monthly_rollup(
+    leaves: DataFrame, levels: list[str], measures: list[str], level: str = "_level"
+) -> DataFrame:
+    """Rollup over ``levels`` within each month; ``level`` has the leftmost level as its top bit."""
     sets = [["period_month", *levels[:n]] for n in range(len(levels), -1, -1)]
     keys = ["period_month", *levels]
     bits = sum((F.grouping(c) * (1 << i) for i, c in enumerate(reversed(levels))), F.lit(0))
     return leaves.groupingSets([[F.col(c) for c in s] for s in sets], *[F.col(c) for c in keys]).agg(
-        *[F.sum(m).alias(m) for m in measures], bits.cast("long").alias("_level")
+        *[F.sum(m).alias(m) for m in measures], bits.cast("long").alias(level)
     )
