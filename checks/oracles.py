@@ -407,7 +407,7 @@ PARTS: dict[str, str] = {
         SELECT agent_sk, sum(paid_minutes) AS scheduled_minutes, sum(paid_minutes) - max(exc) AS worked_minutes,
                max(exc) AS exception_minutes, max(pto) AS timeoff_minutes,
                {rat('(sum(paid_minutes) - max(exc)) * 100', 'sum(paid_minutes)')} AS adherence_pct,
-               0.0 AS occupancy_pct, 20240115 AS date_key
+               0.0 AS occupancy_pct, CAST(20240115 AS BIGINT) AS date_key
         FROM (
             SELECT s.*, coalesce(a.agent_sk, -1) AS agent_sk, coalesce(x.exc, 0) AS exc, coalesce(t.pto, 0) AS pto
             FROM ods_schedule s LEFT JOIN dim_agent a ON a.agent_id = s.agent_id AND a.is_current
@@ -429,7 +429,7 @@ PARTS: dict[str, str] = {
                coalesce({sec('resolved_ts')} - {sec('created_ts')} > coalesce(k.sla_hours, 24) * 3600, FALSE)
                    AS sla_breached_flag,
                (SELECT count(*) FROM stg_tkt_ticket_event e WHERE e.ticket_id = t.ticket_id) AS touch_count,
-               20240115 AS date_key
+               CAST(20240115 AS BIGINT) AS date_key
         FROM ods_ticket_acid t LEFT JOIN stg_tkt_category k USING (category_id)
         LEFT JOIN dim_agent a ON a.agent_id = t.assigned_agent_id AND a.is_current
         WHERE CAST(t.created_ts AS DATE) = {RUN}""",

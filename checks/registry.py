@@ -620,7 +620,7 @@ ORACLES: dict[str, str] = {
     "vw_program_margin": "SELECT * FROM vw_program_margin",
     "vw_active_agents_ndv": "SELECT * FROM vw_active_agents_ndv",
     "dedup_latest": """
-        SELECT * FROM lineitem QUALIFY 1 = row_number() OVER (
+        SELECT * REPLACE (CAST(l_linenumber AS BIGINT) AS l_linenumber) FROM lineitem QUALIFY 1 = row_number() OVER (
             PARTITION BY l_orderkey, l_linenumber ORDER BY l_shipdate DESC, l_partkey DESC, l_suppkey DESC,
             l_quantity DESC, l_extendedprice DESC, l_discount DESC, l_tax DESC, l_returnflag DESC, l_linestatus DESC)""",
     "interval_bucket": """

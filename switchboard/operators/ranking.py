@@ -1,9 +1,9 @@
 """Ranks over a whole table without moving it into one task.
 
-``ROW_NUMBER() OVER (ORDER BY x)`` has no partition key. Here the order is cut at bounds
-taken from the data; each range is ranked by itself and shifted by the number of rows in the
-ranges before it. The bounds are the sorted keys with the smallest hashes: a sample of fixed
-size that depends on the data alone, so every evaluation cuts at the same places.
+``ROW_NUMBER() OVER (ORDER BY x)`` has no partition key. Here Spark range-partitions the rows
+by the order, each range is numbered by itself, and the rows before it are added. The
+numbered ranges are written to the shared folder first: range bounds are sampled, so they
+must not be drawn a second time.
 """
 
 from __future__ import annotations
@@ -13,10 +13,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from switchboard.operators.skew import spread_join
+from switchboard.operators.skew import HOT_ROWS, spread_join
 from switchboard.session import store
 
-RANGES = 200
+# monotonically_increasing_id() holds the partition above, the row in it below this bit.
+ROW_BITS = 33
 
 
 def ascending(col: str) -> list[Column]:
@@ -29,32 +30,37 @@ def descending(col: str) -> list[Column]:
     return [F.col(col).isNull().alias(f"_null_{col}"), (-F.col(col)).alias(f"_{col}")]
 
 
-def row_positions(df: DataFrame, order: Sequence[Column], out: str = "position", ranges: int = RANGES) -> DataFrame:
+def row_positions(df: DataFrame, order: Sequence[Column], out: str = "position") -> DataFrame:
     """Add the 1-based position and ``<out>_total``; ``order`` must identify each row."""
-    df = store(df.withColumn("_k", F.struct(*order)), "rank-input")
-    placed = _place(df.withColumn("_n", F.lit(1).cast("long")), ranges)
+    rows = _ranges(df.withColumn("_k", F.struct(*order)))
+    sizes = rows.groupBy("_range").agg(F.count(F.lit(1)).alias("rows"), F.count(F.lit(1)).alias("keys"))
     return (
-        placed.withColumn(out, F.col("_rows_before") + 1)
+        _with_offsets(rows, sizes)
+        .withColumn(out, F.col("_rows_before") + F.col("_in") + 1)
         .withColumn(f"{out}_total", F.col("_total"))
-        .drop("_k", "_n", "_rows_before", "_keys_before", "_total")
+        .drop("_k", "_range", "_in", "_rows_before", "_keys_before", "_total")
     )
 
 
-def tie_ranks(df: DataFrame, order: Sequence[Column], out: str = "rank", ranges: int = RANGES) -> DataFrame:
+def tie_ranks(
+    df: DataFrame, order: Sequence[Column], out: str = "rank", *, min_rows: int = HOT_ROWS
+) -> DataFrame:
     """Add ``<out>`` (rank), ``<out>_dense`` and ``<out>_total``; equal keys share a rank.
 
     Ranks are computed once per distinct key and joined back, so rows that all tie cost one
     ranked row, and the join back spreads a key that holds many rows.
     """
-    df = store(df.withColumn("_k", F.struct(*order)), "rank-input")
-    groups = df.groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
-    placed = _place(groups, ranges).select(
+    df = df.withColumn("_k", F.struct(*order))
+    groups = _ranges(df.groupBy("_k").agg(F.count(F.lit(1)).alias("_n")))
+    sizes = groups.groupBy("_range").agg(F.sum("_n").alias("rows"), F.count(F.lit(1)).alias("keys"))
+    earlier = Window.partitionBy("_range").orderBy("_in").rowsBetween(Window.unboundedPreceding, -1)
+    placed = _with_offsets(groups, sizes).select(
         "_k",
-        (F.col("_rows_before") + 1).alias(out),
-        (F.col("_keys_before") + 1).alias(f"{out}_dense"),
+        (F.col("_rows_before") + F.coalesce(F.sum("_n").over(earlier), F.lit(0)) + 1).alias(out),
+        (F.col("_keys_before") + F.col("_in") + 1).alias(f"{out}_dense"),
         F.col("_total").alias(f"{out}_total"),
     )
-    return spread_join(df, placed, "_k", how="inner").drop("_k")
+    return spread_join(df, placed, "_k", how="inner", min_rows=min_rows).drop("_k")
 
 
 def percent_rank(rank: Column, total: Column) -> Column:
@@ -69,36 +75,27 @@ def ntile(tiles: int, position: Column, total: Column) -> Column:
     return F.when(position <= wide, F.floor((position - 1) / (size + 1)) + 1).otherwise(narrow).cast("long")
 
 
-def _place(keyed: DataFrame, ranges: int) -> DataFrame:
-    """Add rows and keys before each ``_k`` and the total number of rows; ``_n`` is its weight."""
-    sample = keyed.select("_k").orderBy(F.xxhash64("_k"), "_k").limit(ranges)
-    bounds = sample.agg(F.sort_array(F.collect_list("_k")).alias("b")).scalar()
-    cut = keyed.withColumn("_bounds", bounds)
-    cut = cut.withColumn("_range", F.size(F.filter("_bounds", lambda b: b <= F.col("_k")))).drop("_bounds")
-
-    # At most `ranges` + 1 rows from here on: one array of totals, turned into running totals.
-    sizes = cut.groupBy("_range").agg(F.sum("_n").alias("n"), F.count(F.lit(1)).alias("k"))
-    table = sizes.agg(F.collect_list(F.struct("_range", "n", "k")).alias("s"))
-
-    def before(i, field):
-        earlier = F.filter("s", lambda x: x["_range"] < i)
-        return F.aggregate(earlier, F.lit(0).cast("long"), lambda acc, x: acc + x[field])
-
-    offsets = table.select(
-        F.transform(
-            F.sequence(F.lit(0), F.lit(ranges + 1)),
-            lambda i: F.struct(before(i, "n").alias("n"), before(i, "k").alias("k")),
-        ).alias("o")
-    ).scalar()
-    w = Window.partitionBy("_range").orderBy("_k")
-    earlier = w.rowsBetween(Window.unboundedPreceding, -1)
-    return (
-        cut.withColumn("_o", offsets)
-        .withColumn("_in_rows", F.coalesce(F.sum("_n").over(earlier), F.lit(0)))
-        .withColumn("_in_keys", F.row_number().over(w) - 1)
-        .withColumn("_at", F.element_at("_o", F.col("_range") + 1))
-        .withColumn("_rows_before", F.col("_at.n") + F.col("_in_rows"))
-        .withColumn("_keys_before", F.col("_at.k") + F.col("_in_keys"))
-        .withColumn("_total", F.element_at("_o", -1)["n"])
-        .drop("_o", "_at", "_in_rows", "_in_keys", "_range")
+def _ranges(keyed: DataFrame) -> DataFrame:
+    """``keyed`` written in ``_k`` order: its range ``_range`` and its 0-based row ``_in`` there."""
+    ranges = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    numbered = (
+        keyed.repartitionByRange(ranges, "_k")
+        .sortWithinPartitions("_k")
+        .withColumn("_id", F.monotonically_increasing_id())
+        .withColumn("_range", F.shiftright("_id", ROW_BITS))
+        .withColumn("_in", F.col("_id").bitwiseAND(F.lit((1 << ROW_BITS) - 1)))
+        .drop("_id")
     )
+    return store(numbered, "ranges")
+
+
+def _with_offsets(rows: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Add the rows and keys of all earlier ranges and the total: one small row per range."""
+    spark = rows.sparkSession
+    sizes = sorted(sizes.select("_range", "rows", "keys").collect())
+    total, before, seen_rows, seen_keys = sum(s.rows for s in sizes), [], 0, 0
+    for size in sizes:
+        before.append((size["_range"], seen_rows, seen_keys, total))
+        seen_rows, seen_keys = seen_rows + size.rows, seen_keys + size["keys"]
+    schema = "_range long, _rows_before long, _keys_before long, _total long"
+    return rows.join(F.broadcast(spark.createDataFrame(before, schema)), "_range")

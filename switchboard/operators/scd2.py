@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from switchboard.functions.text import surrogate, utc_text
 from switchboard.operators.dedup import greatest_by
-from switchboard.operators.skew import HOT_ROWS, HOT_SHARE
+from switchboard.operators.skew import HOT_ROWS
 from switchboard.operators.slices import neighbour
 
 
@@ -20,7 +20,6 @@ def history(
     ts: str,
     id_column: str,
     *,
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Version history of ``keys`` from timed observations.
@@ -31,13 +30,12 @@ def history(
     surrogate of the keys and ``eff_from_ts``. Running it again over its inputs gives the
     same rows.
     """
-    limits = {"share": share, "min_rows": min_rows}
     rows = observed.where(F.col(ts).isNotNull())
     rows = greatest_by(rows, [*keys, ts], [F.col(c) for c in tracked], tracked)
-    rows = neighbour(rows, keys, ts, [], tracked, "_before", **limits)
+    rows = neighbour(rows, keys, ts, [], tracked, "_before", min_rows=min_rows)
     values = F.struct(*tracked)
     starts = rows.where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(values)).drop("_before")
-    starts = neighbour(starts, keys, ts, [], [ts], "_next", following=True, **limits)
+    starts = neighbour(starts, keys, ts, [], [ts], "_next", following=True, min_rows=min_rows)
     return starts.select(
         surrogate(*[F.col(k) for k in keys], utc_text(F.col(ts))).alias(id_column),
         *keys,

@@ -7,47 +7,46 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot above this share of all rows, so there are at most 1 / HOT_SHARE hot keys:
-# that bound is what makes the broadcast of the hot-key list safe at any data size.
-HOT_SHARE = 1 / 2000
+# At most this many keys are treated as hot, the most frequent ones: any other key is then
+# outnumbered by each of them and holds less than 1 / HOT_LIMIT of all rows.
+HOT_LIMIT = 2000
 # Below this many rows a key fits one task anyway.
 HOT_ROWS = 1_000_000
 FAN = 64
 
 
-def hot_keys(
-    df: DataFrame, keys: Sequence[str], *, share: float = HOT_SHARE, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Keys that hold more than ``share`` of all rows and at least ``min_rows``; never NULL."""
+def hot_keys(df: DataFrame, keys: Sequence[str], *, min_rows: int = HOT_ROWS) -> DataFrame | None:
+    """The most frequent keys with at least ``min_rows`` rows, or None if there are none.
+
+    Found by one aggregation with partial counts over the key columns alone. The list has at
+    most `HOT_LIMIT` keys at any data size, which is what makes broadcasting it safe. NULL
+    keys are not listed. With None the caller uses the plain form of its computation.
+    """
     known = df.select(*keys).where(_all_known(keys))
-    counts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n").alias("_total"))
-    return counts.where((F.col("_n") >= min_rows) & (F.col("_n") > F.lit(share) * total.scalar())).select(*keys)
+    counts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
+    top = counts.orderBy(F.col("_n").desc(), *keys).limit(HOT_LIMIT).select(*keys)
+    found = top.collect()
+    return df.sparkSession.createDataFrame(found, top.schema) if found else None
 
 
 def flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """``df`` with a boolean ``_hot``; the list of hot keys is bounded, see `HOT_SHARE`."""
+    """``df`` with a boolean ``_hot``; the list of hot keys is bounded, see `HOT_LIMIT`."""
     flags = F.broadcast(hot.select(*keys, F.lit(True).alias("_h")))
     return df.join(flags, list(keys), "left").withColumn("_hot", F.col("_h").isNotNull()).drop("_h")
 
 
 def spread_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    *,
-    how: str = "left",
-    fan: int = FAN,
-    share: float = HOT_SHARE,
-    min_rows: int = HOT_ROWS,
+    left: DataFrame, right: DataFrame, key: str, *, how: str = "left", fan: int = FAN, min_rows: int = HOT_ROWS
 ) -> DataFrame:
-    """Equi join of two large tables on ``key``.
+    """Equi join of two large tables on ``key``, balanced when few keys hold many left rows.
 
     Left rows of a hot key are spread over ``fan`` salts and the matching right rows are
     copied once per salt; rows with a NULL key match nothing and are spread as well. All
     other rows keep salt 0. Every pair of the plain join appears exactly once.
     """
-    hot = hot_keys(left, [key], share=share, min_rows=min_rows)
+    hot = hot_keys(left, [key], min_rows=min_rows)
+    if hot is None:
+        return lookup(left, right, key) if how == "left" else left.join(right, key, how)
     salt = F.pmod(F.xxhash64(*left.columns), F.lit(fan)).cast("int")
     lhs = flag_hot(left, [key], hot)
     lhs = lhs.withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0))

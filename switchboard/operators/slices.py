@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from switchboard.operators.skew import HOT_ROWS, HOT_SHARE, flag_hot, hot_keys
+from switchboard.operators.skew import HOT_ROWS, flag_hot, hot_keys
 
 SLICE_SECONDS = 3600
 
@@ -28,19 +28,20 @@ def neighbour(
     *,
     following: bool = False,
     slice_seconds: int = SLICE_SECONDS,
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: a struct of ``value`` from the previous (or following) row of the key.
 
     Order is ``ts``, then ``tiebreak``; ``ts`` must not be NULL. ``out`` is NULL at the end.
     """
-    hot = hot_keys(df, keys, share=share, min_rows=min_rows)
+    step = F.lead if following else F.lag
+    payload = F.struct(*value)
+    hot = hot_keys(df, keys, min_rows=min_rows)
+    if hot is None:
+        return df.withColumn(out, step(payload).over(Window.partitionBy(*keys).orderBy(ts, *tiebreak)))
     rows = flag_hot(df, keys, hot).withColumn(
         "_slice", F.when(F.col("_hot"), F.floor(F.unix_seconds(ts) / slice_seconds)).otherwise(F.lit(0))
     )
-    step = F.lead if following else F.lag
-    payload = F.struct(*value)
     inside = Window.partitionBy(*keys, "_slice").orderBy(ts, *tiebreak)
     rows = rows.withColumn("_near", step(payload).over(inside))
 
@@ -71,7 +72,6 @@ def count_following(
     *,
     asks: str | None = None,
     slice_seconds: int = SLICE_SECONDS,
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For each row, the number of rows of the same key that start in ``(end, end + horizon]``.
@@ -94,16 +94,20 @@ def count_following(
     unmatched = questions.where(open_ended).withColumn("matches", F.lit(0).cast("long"))
     questions = questions.where(~open_ended)
 
-    hot = hot_keys(df, [key], share=share, min_rows=min_rows)
-    points, questions = (flag_hot(side, [key], hot) for side in (points, questions))
-    cold = _by_frames(points.where("not _hot"), questions.where("not _hot"), key, carry, micros)
-    split = _by_slices(points.where("_hot"), questions.where("_hot"), key, carry, micros, slice_seconds)
     columns = [key, "_t", *carry, "rows", "matches"]
-    out = unmatched.select(columns).unionByName(cold.select(columns)).unionByName(split.select(columns))
+    hot = hot_keys(df, [key], min_rows=min_rows)
+    if hot is None:
+        answered = _by_frames(points, questions, key, micros).select(columns)
+    else:
+        points, questions = (flag_hot(side, [key], hot) for side in (points, questions))
+        cold = _by_frames(points.where("not _hot"), questions.where("not _hot"), key, micros)
+        split = _by_slices(points.where("_hot"), questions.where("_hot"), key, carry, micros, slice_seconds)
+        answered = cold.select(columns).unionByName(split.select(columns))
+    out = unmatched.select(columns).unionByName(answered)
     return out.withColumn(end, F.timestamp_micros("_t")).drop("_t")
 
 
-def _by_frames(points: DataFrame, questions: DataFrame, key: str, carry: Sequence[str], micros: int) -> DataFrame:
+def _by_frames(points: DataFrame, questions: DataFrame, key: str, micros: int) -> DataFrame:
     """Both running counts as growing RANGE frames of one window: one shuffle, one sort."""
     both = points.unionByName(questions, allowMissingColumns=True)
     w = Window.partitionBy(key).orderBy("_t")

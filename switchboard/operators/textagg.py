@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.operators.skew import HOT_ROWS, HOT_SHARE, flag_hot, hot_keys
+from switchboard.operators.skew import HOT_ROWS, flag_hot, hot_keys
 
 SLICE_MILLIS = 60_000
 
@@ -20,7 +20,6 @@ def ordered_join(
     sep: str,
     out: str,
     *,
-    share: float = HOT_SHARE,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Texts of a key in (``millis``, text) order, joined by ``sep``; NULL texts are skipped.
@@ -28,16 +27,17 @@ def ordered_join(
     The rows of a hot key are joined per minute first, so that no task gathers all of them;
     the second step then only concatenates those parts.
     """
-    hot = hot_keys(df, keys, share=share, min_rows=min_rows)
-    rows = flag_hot(df.select(*keys, millis, text), keys, hot).withColumn(
-        "_slice", F.when(F.col("_hot"), F.floor(F.col(millis) / SLICE_MILLIS)).otherwise(F.lit(0))
-    )
-    items = F.sort_array(F.collect_list(F.when(F.col(text).isNotNull(), F.struct(millis, text))))
-    joined = F.array_join(F.transform(items, lambda s: s[text]), sep)
-    parts = rows.groupBy(*keys, "_slice").agg(
-        F.when(F.count(text) > 0, joined).alias("_part")
-    )
-    whole = F.sort_array(F.collect_list(F.when(F.col("_part").isNotNull(), F.struct("_slice", "_part"))))
-    return parts.groupBy(*keys).agg(
-        F.when(F.count("_part") > 0, F.array_join(F.transform(whole, lambda s: s["_part"]), sep)).alias(out)
-    )
+    rows = df.select(*keys, millis, text)
+    hot = hot_keys(rows, keys, min_rows=min_rows)
+    if hot is None:
+        return rows.groupBy(*keys).agg(_join(millis, text, sep).alias(out))
+    minute = F.when(F.col("_hot"), F.floor(F.col(millis) / SLICE_MILLIS)).otherwise(F.lit(0))
+    rows = flag_hot(rows, keys, hot).withColumn("_slice", minute)
+    parts = rows.groupBy(*keys, "_slice").agg(_join(millis, text, sep).alias("_part"))
+    return parts.groupBy(*keys).agg(_join("_slice", "_part", sep).alias(out))
+
+
+def _join(order: str, text: str, sep: str) -> Column:
+    known = F.collect_list(F.when(F.col(text).isNotNull(), F.struct(order, text)))
+    texts = F.transform(F.sort_array(known), lambda s: s[text])
+    return F.when(F.count(text) > 0, F.array_join(texts, sep))
