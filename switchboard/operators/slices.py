@@ -58,7 +58,7 @@ def neighbour(
     return (
         rows.join(carry, [*keys, "_slice"], "left")
         .withColumn(out, F.coalesce("_near", "_carry"))
-        .drop("_near", "_carry", "_slice", "_hot")
+        .select(*df.columns, out)
     )
 
 

@@ -10,21 +10,23 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from switchboard.operators.sink import read_table, replace_partition, replace_table
 from switchboard.plans import aggs, cleanse, dims, facts, history, merges, views
 from switchboard.schemas import TABLES, layer_of
 from switchboard.session import apply_settings, store
 
-DAY, MONTH, WHOLE, STATE = "day", "month", "whole", "state"
+DAY, WEEK, MONTH, WHOLE, STATE = "day", "week", "month", "whole", "state"
 
 
 @dataclass(frozen=True)
 class Step:
     """``build(*inputs, run_date)`` makes ``target``; a STATE step also gets the stored table first.
 
-    ``write`` says what a run replaces: its day's partition, its month's, the table, or the
-    table merged with what it held before.
+    ``write`` says what a run replaces: the partition of its day, week or month, the table, or
+    the table merged with what it held before. A step with ``scoped`` inputs reads only the
+    days of that period from them.
     """
 
     target: str
@@ -32,13 +34,46 @@ class Step:
     inputs: tuple[str, ...]
     write: str
     dated: bool = True
+    scoped: tuple[str, ...] = ()
 
     def run(self, get: Callable[[str], DataFrame], run_date: dt.date, current: DataFrame | None = None) -> DataFrame:
-        args = [get(name) for name in self.inputs]
+        args = [self._in_period(get(i), run_date) if i in self.scoped else get(i) for i in self.inputs]
         if self.write == STATE:
             args.insert(0, current)
         return self.build(*args, run_date) if self.dated else self.build(*args)
 
+    def period(self, run_date: dt.date) -> tuple[dt.date, dt.date]:
+        """First and last day of the period that a run on ``run_date`` replaces."""
+        if self.write == WEEK:
+            first = run_date - dt.timedelta(days=run_date.weekday())
+            return first, first + dt.timedelta(days=6)
+        if self.write == MONTH:
+            first = run_date.replace(day=1)
+            return first, (first + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
+        return run_date, run_date
+
+    def partition_value(self, run_date: dt.date) -> dt.date | int:
+        first, _ = self.period(run_date)
+        column = TABLES[self.target].partition
+        return _key(first) if column.endswith("_key") else first
+
+    def _in_period(self, df: DataFrame, run_date: dt.date) -> DataFrame:
+        """The period's rows, by a filter on the bare partition column."""
+        first, last = self.period(run_date)
+        if "date_key" in df.columns:
+            return df.where(F.col("date_key").between(_key(first), _key(last)))
+        if "bill_period" in df.columns:
+            return df.where(F.col("bill_period") == f"{first:%Y-%m}")
+        return df.where(F.col("period_month") == F.lit(first))
+
+
+def _key(day: dt.date) -> int:
+    return int(f"{day:%Y%m%d}")
+
+
+def _agg(target: str, build, period: str, scoped: tuple[str, ...], *others: str) -> Step:
+    return Step(target, build, (*scoped, *others), period, dated=False, scoped=scoped)
+
 
 def _state(target: str, build, *inputs: str) -> Step:
     return Step(target, build, inputs, STATE, dated=False)
@@ -125,49 +160,41 @@ STEPS: list[Step] = [
         "fact_ticket", facts.fact_ticket, "ods_ticket_acid", "stg_tkt_ticket_event", "stg_tkt_category", "dim_agent"
     ),
     _day("fact_ivr_path", facts.fact_ivr_path, "ods_ivr_session"),
-    # Aggregates, rebuilt from all days.
-    _whole(
+    # Aggregates, from the days of their period.
+    _agg(
         "agg_agent_daily",
         aggs.agg_agent_daily,
-        "fact_interaction",
-        "fact_agent_activity",
-        "fact_adherence_daily",
+        DAY,
+        ("fact_interaction", "fact_agent_activity", "fact_adherence_daily"),
         "dim_agent",
-        dated=False,
     ),
-    _whole("agg_agent_weekly", aggs.agg_agent_weekly, "agg_agent_daily", dated=False),
-    _whole("agg_queue_hourly", aggs.agg_queue_hourly, "fact_queue_interval", "stg_wfm_forecast", dated=False),
-    _whole(
+    _agg("agg_agent_weekly", aggs.agg_agent_weekly, WEEK, ("agg_agent_daily",)),
+    _agg("agg_queue_hourly", aggs.agg_queue_hourly, DAY, ("fact_queue_interval",), "stg_wfm_forecast"),
+    _agg(
         "agg_site_daily",
         aggs.agg_site_daily,
-        "fact_interaction",
-        "fact_queue_interval",
-        "fact_adherence_daily",
+        DAY,
+        ("fact_interaction", "fact_queue_interval", "fact_adherence_daily"),
         "dim_agent",
         "dim_queue",
         "dim_program",
-        dated=False,
     ),
-    _whole(
+    _agg(
         "agg_program_monthly",
         aggs.agg_program_monthly,
-        "fact_interaction",
-        "fact_csat_survey",
-        "fact_billing_line",
+        MONTH,
+        ("fact_interaction", "fact_csat_survey", "fact_billing_line"),
         "dim_program",
-        dated=False,
     ),
-    _whole(
-        "agg_csat_rollup_monthly", aggs.agg_csat_rollup_monthly, "fact_csat_survey", "dim_program", dated=False
+    _agg(
+        "agg_csat_rollup_monthly", aggs.agg_csat_rollup_monthly, MONTH, ("fact_csat_survey",), "dim_program"
     ),
-    _whole(
+    _agg(
         "agg_billing_monthly",
         aggs.agg_billing_monthly,
-        "fact_billing_line",
-        "ods_sla_credit",
-        "stg_file_telco_invoice",
+        MONTH,
+        ("fact_billing_line", "ods_sla_credit", "stg_file_telco_invoice"),
         "dim_client",
-        dated=False,
     ),
 ]
 
@@ -233,11 +260,8 @@ def run_day(
         if only is not None and step.target not in only:
             continue
         path = table_path(root, step.target)
-        if step.write in (DAY, MONTH):
-            part = run_date.replace(day=1) if step.write == MONTH else run_date
-            if TABLES[step.target].partition == "date_key":
-                part = int(f"{run_date:%Y%m%d}")
-            replace_partition(step.run(get, run_date), path, step.target, part)
+        if step.write in (DAY, WEEK, MONTH):
+            replace_partition(step.run(get, run_date), path, step.target, step.partition_value(run_date))
         elif step.write == STATE:
             # The merge reads the table it replaces, so its result is written aside first.
             merged = step.run(get, run_date, get(step.target))

@@ -113,7 +113,8 @@ def repeat_contact_window(interaction: DataFrame, *, min_rows: int = HOT_ROWS) -
     timed = timed.withColumn("prev_contact_ts", F.col("_prev.start_ts")).drop("_prev")
     both = timed.unionByName(untimed, allowMissingColumns=True)
     gap = time.seconds("start_ts") - time.seconds("prev_contact_ts")
-    return both.withColumn("repeat_within_72h", F.when(gap <= REPEAT_SECONDS, 1).otherwise(0).cast("long"))
+    repeated = F.when(gap <= REPEAT_SECONDS, 1).otherwise(0).cast("long")
+    return both.select(*rows.columns, "prev_contact_ts", repeated.alias("repeat_within_72h"))
 
 
 def billing_reconciliation(staged: DataFrame, invoice: DataFrame, *, floor_ms: bool = False) -> DataFrame:
