@@ -109,7 +109,7 @@ def agent(current: DataFrame | None, incoming: DataFrame) -> DataFrame:
     """Agents by latest delivery: an arriving agent replaces the stored row.
 
     Agents carry no update time, so the delivery date decides within ``incoming`` and any
-    arriving row beats the stored one.
+    arriving row beats the stored one, which has none.
     """
     rows = incoming.withColumns(
         {
@@ -120,7 +120,7 @@ def agent(current: DataFrame | None, incoming: DataFrame) -> DataFrame:
     )
     spec = TABLES["ods_agent_acid"]
     versioned = rows.select(*spec.names, F.col("load_date").alias("_v"))
-    stored = None if current is None else current.withColumn("_v", F.lit(dt.date(1, 1, 1)))
+    stored = None if current is None else current.withColumn("_v", F.lit(None).cast("date"))
     return conform(upsert(stored, versioned, ["agent_id"], "_v"), spec.name)
 
 
