@@ -217,14 +217,15 @@ def edge_values(df: DataFrame, folder: str) -> DataFrame:
     CSV is read with line breaks inside quotes, so texts may hold any character.
     """
     spark = df.sparkSession
-    csv = {"header": True, "multiLine": True, "escape": '"', "quoteAll": False}
+    csv = {"header": True, "multiLine": True, "escape": '"', "lineSep": "\n"}
+    csv |= {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
     df.write.parquet(f"{folder}/parquet")
-    df.write.options(**csv, emptyValue='""', lineSep="\n").csv(f"{folder}/csv")
+    df.write.options(**csv, emptyValue='""').csv(f"{folder}/csv")
     df.write.option("ignoreNullFields", False).json(f"{folder}/json")
     back = {
         "parquet": spark.read.schema(df.schema).parquet(f"{folder}/parquet"),
         "csv": spark.read.schema(df.schema)
-        .options(**csv, emptyValue="", nullValue="\u0000", lineSep="\n")
+        .options(**csv, emptyValue="", nullValue="\u0000")
         .csv(f"{folder}/csv"),
         "json": spark.read.schema(df.schema).json(f"{folder}/json"),
     }
