@@ -505,7 +505,7 @@ RECIPES = {
                300 + q AS forecast_aht_sec,
                CAST((q + h) / 3.0 AS DECIMAL(8,2)) AS required_fte,
                DATE '2024-01-15' AS load_date
-        FROM (SELECT n_nationkey AS q, h FROM nation CROSS JOIN (SELECT DISTINCT event_id % 48 AS h FROM events) x) t
+        FROM (SELECT DISTINCT event_id % 25 AS q, CAST(floor(event_id / 25) AS BIGINT) % 48 AS h FROM events) t
     """,
     "stg_wfm_schedule": """
         SELECT o_orderkey AS schedule_id,

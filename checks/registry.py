@@ -176,7 +176,10 @@ def _spans(w: Warehouse) -> DataFrame:
 
 
 def interval_count(w: Warehouse) -> DataFrame:
-    return slices.count_following(_spans(w), "user_id", "start_ts", "end_ts", 86_400, ["event_type"])
+    out = slices.count_following(_spans(w), "user_id", "start_ts", "end_ts", 86_400, ["event_type"])
+    return out.groupBy("user_id", "end_ts", "event_type").agg(
+        F.sum("rows").alias("rows"), F.max("matches").alias("matches")
+    )
 
 
 def previous_contact(w: Warehouse) -> DataFrame:

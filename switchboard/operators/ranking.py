@@ -77,9 +77,8 @@ def ntile(tiles: int, position: Column, total: Column) -> Column:
 
 def _ranges(keyed: DataFrame) -> DataFrame:
     """``keyed`` written in ``_k`` order: its range ``_range`` and its 0-based row ``_in`` there."""
-    ranges = int(keyed.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     numbered = (
-        keyed.repartitionByRange(ranges, "_k")
+        keyed.repartitionByRange("_k")
         .sortWithinPartitions("_k")
         .withColumn("_id", F.monotonically_increasing_id())
         .withColumn("_range", F.shiftright("_id", ROW_BITS))

@@ -77,65 +77,73 @@ def count_following(
     """For each row, the number of rows of the same key that start in ``(end, end + horizon]``.
 
     This is the size of the interval self-join without its pairs: a difference of two running
-    counts along the key's time axis. Rows that agree on key, ``end`` and ``carry`` are
-    answered together: the result has those columns, their number ``rows`` and ``matches``.
-    ``asks`` is an optional boolean column: only rows where it holds are answered, all rows
-    are counted. A NULL key or NULL ``end`` matches nothing.
+    counts along the key's time axis. The result has the key, ``end``, ``carry``, ``matches``
+    and ``rows``, the number of input rows an answer stands for. ``asks`` is an optional
+    boolean column: only rows where it holds are answered, all rows are counted. A NULL key
+    or NULL ``end`` matches nothing.
     """
     micros = horizon_seconds * 1_000_000
-    points = (
-        df.where(F.col(key).isNotNull() & F.col(start).isNotNull())
-        .groupBy(key, F.unix_micros(start).alias("_t"))
-        .agg(F.count(F.lit(1)).alias("_w"))
-    )
-    wanted = df.where(F.col(asks)) if asks else df
-    questions = wanted.groupBy(key, F.unix_micros(end).alias("_t"), *carry).agg(F.count(F.lit(1)).alias("rows"))
+    asked = F.coalesce(F.col(asks), F.lit(False)) if asks else F.lit(True)
+    timed = df.select(key, *carry, asked.alias("_asks"), F.unix_micros(start).alias("_s"), F.unix_micros(end).alias("_t"))
     open_ended = F.col(key).isNull() | F.col("_t").isNull()
-    unmatched = questions.where(open_ended).withColumn("matches", F.lit(0).cast("long"))
-    questions = questions.where(~open_ended)
-
-    columns = [key, "_t", *carry, "rows", "matches"]
-    hot = hot_keys(df, [key], min_rows=min_rows)
+    answers = timed.where(F.col("_asks") & open_ended).select(
+        key, "_t", *carry, F.lit(1).cast("long").alias("rows"), F.lit(0).cast("long").alias("matches")
+    )
+    keyed = timed.where(F.col(key).isNotNull())
+    hot = hot_keys(keyed, [key], min_rows=min_rows)
     if hot is None:
-        answered = _by_frames(points, questions, key, micros).select(columns)
+        answers = answers.unionByName(_by_frames(keyed, key, carry, micros))
     else:
-        points, questions = (flag_hot(side, [key], hot) for side in (points, questions))
-        cold = _by_frames(points.where("not _hot"), questions.where("not _hot"), key, micros)
-        split = _by_slices(points.where("_hot"), questions.where("_hot"), key, carry, micros, slice_seconds)
-        answered = cold.select(columns).unionByName(split.select(columns))
-    out = unmatched.select(columns).unionByName(answered)
-    return out.withColumn(end, F.timestamp_micros("_t")).drop("_t")
-
+        keyed = flag_hot(keyed, [key], hot)
+        answers = answers.unionByName(_by_frames(keyed.where("not _hot"), key, carry, micros))
+        answers = answers.unionByName(_by_slices(keyed.where("_hot"), key, carry, micros, slice_seconds))
+    return answers.withColumn(end, F.timestamp_micros("_t")).drop("_t")
 
-def _by_frames(points: DataFrame, questions: DataFrame, key: str, micros: int) -> DataFrame:
-    """Both running counts as growing RANGE frames of one window: one shuffle, one sort."""
-    both = points.unionByName(questions, allowMissingColumns=True)
-    w = Window.partitionBy(key).orderBy("_t")
-    seen = F.coalesce(F.sum("_w").over(w.rangeBetween(Window.unboundedPreceding, 0)), F.lit(0))
-    ahead = F.coalesce(F.sum("_w").over(w.rangeBetween(Window.unboundedPreceding, micros)), F.lit(0))
-    return both.withColumn("matches", ahead - seen).where(F.col("rows").isNotNull())
 
+def _by_frames(keyed: DataFrame, key: str, carry: Sequence[str], micros: int) -> DataFrame:
+    """Both running counts as growing RANGE frames of one window: one scan, one shuffle.
 
-def _by_slices(
-    points: DataFrame, questions: DataFrame, key: str, carry: Sequence[str], micros: int, slice_seconds: int
-) -> DataFrame:
-    """The same for hot keys: count inside a slice plus the total of the slices before it."""
-    width = slice_seconds * 1_000_000
-    which = F.floor(F.col("_at") / width)
-    points = points.withColumn("_at", F.col("_t")).withColumn("_slice", which)
-    ends = F.explode(
+    Every row becomes a point at its start and, if it asks, a question at its end.
+    """
+    blank = [F.when(F.lit(False), F.col(c)).alias(c) for c in carry]
+    point = F.struct(F.col("_s").alias("_at"), F.lit(1).alias("_w"), F.lit(0).alias("_q"), *blank)
+    question = F.struct(F.col("_t").alias("_at"), F.lit(0).alias("_w"), F.lit(1).alias("_q"), *carry)
+    marks = F.filter(
         F.array(
-            F.struct(F.col("_t").alias("at"), F.lit(-1).alias("sign")),
-            F.struct((F.col("_t") + micros).alias("at"), F.lit(1).alias("sign")),
-        )
+            F.when(F.col("_s").isNotNull(), point),
+            F.when(F.col("_asks") & F.col("_t").isNotNull(), question),
+        ),
+        lambda m: m.isNotNull(),
     )
-    questions = (
-        questions.withColumn("_q", ends)
-        .withColumn("_at", F.col("_q.at"))
-        .withColumn("_sign", F.col("_q.sign"))
-        .drop("_q")
-        .withColumn("_slice", which)
+    both = keyed.select(key, F.inline(marks))
+    w = Window.partitionBy(key).orderBy("_at")
+    seen = F.sum("_w").over(w.rangeBetween(Window.unboundedPreceding, 0))
+    ahead = F.sum("_w").over(w.rangeBetween(Window.unboundedPreceding, micros))
+    return (
+        both.withColumn("matches", ahead - seen)
+        .where("_q = 1")
+        .select(key, F.col("_at").alias("_t"), *carry, F.lit(1).cast("long").alias("rows"), "matches")
     )
+
+
+def _by_slices(keyed: DataFrame, key: str, carry: Sequence[str], micros: int, slice_seconds: int) -> DataFrame:
+    """The same for hot keys: count inside a slice plus the total of the slices before it.
+
+    Rows that start together, and questions that agree, are merged before anything is shuffled
+    by time.
+    """
+    which = F.floor(F.col("_at") / (slice_seconds * 1_000_000))
+    points = keyed.where(F.col("_s").isNotNull()).groupBy(key, F.col("_s").alias("_at")).agg(
+        F.count(F.lit(1)).alias("_w")
+    )
+    points = points.withColumn("_slice", which)
+    questions = keyed.where(F.col("_asks") & F.col("_t").isNotNull())
+    questions = questions.groupBy(key, "_t", *carry).agg(F.count(F.lit(1)).alias("rows"))
+    ends = F.array(
+        F.struct(F.col("_t").alias("_at"), F.lit(-1).alias("_sign")),
+        F.struct((F.col("_t") + micros).alias("_at"), F.lit(1).alias("_sign")),
+    )
+    questions = questions.select("*", F.inline(ends)).withColumn("_slice", which)
     totals = points.groupBy(key, "_slice").agg(F.sum("_w").alias("_in"))
     # A question may fall into a slice without points, so list the slices of both sides.
     listed = totals.unionByName(
@@ -144,9 +152,10 @@ def _by_slices(
     before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
     offsets = listed.select(key, "_slice", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"))
 
-    both = points.drop("_t").unionByName(questions, allowMissingColumns=True)
+    both = points.unionByName(questions, allowMissingColumns=True)
     inside = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
     running = both.withColumn("_seen", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
     answered = running.where(F.col("rows").isNotNull()).join(offsets, [key, "_slice"], "left")
     value = F.col("_sign") * (F.col("_seen") + F.coalesce("_before", F.lit(0)))
-    return answered.groupBy(key, "_t", *carry, "rows").agg(F.sum(value).cast("long").alias("matches"))
+    matches = F.sum(value).cast("long").alias("matches")
+    return answered.groupBy(key, "_t", *carry, "rows").agg(matches).select(key, "_t", *carry, "rows", "matches")

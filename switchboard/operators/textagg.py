@@ -20,21 +20,32 @@ def ordered_join(
     sep: str,
     out: str,
     *,
+    also: Sequence[Column] = (),
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Texts of a key in (``millis``, text) order, joined by ``sep``; NULL texts are skipped.
 
-    The rows of a hot key are joined per minute first, so that no task gathers all of them;
-    the second step then only concatenates those parts.
+    ``also`` lists further aggregates of the same groups, computed in the same pass. The rows
+    of a hot key are joined per minute first, so that no task gathers all of them; the second
+    step then only concatenates those parts.
     """
-    rows = df.select(*keys, millis, text)
-    hot = hot_keys(rows, keys, min_rows=min_rows)
+    hot = hot_keys(df, keys, min_rows=min_rows)
     if hot is None:
-        return rows.groupBy(*keys).agg(_join(millis, text, sep).alias(out))
+        return df.groupBy(*keys).agg(_join(millis, text, sep).alias(out), *also)
     minute = F.when(F.col("_hot"), F.floor(F.col(millis) / SLICE_MILLIS)).otherwise(F.lit(0))
-    rows = flag_hot(rows, keys, hot).withColumn("_slice", minute)
+    rows = flag_hot(df.select(*keys, millis, text), keys, hot).withColumn("_slice", minute)
     parts = rows.groupBy(*keys, "_slice").agg(_join(millis, text, sep).alias("_part"))
-    return parts.groupBy(*keys).agg(_join("_slice", "_part", sep).alias(out))
+    whole = parts.groupBy(*keys).agg(_join("_slice", "_part", sep).alias(out))
+    return same_groups(whole, df.groupBy(*keys).agg(*also), keys) if also else whole
+
+
+def same_groups(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Join of two results grouped by the same keys; NULL keys match."""
+    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
+    cond = F.lit(True)
+    for k in keys:
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
+    return left.join(right, cond).drop(*[f"_r_{k}" for k in keys])
 
 
 def _join(order: str, text: str, sep: str) -> Column:

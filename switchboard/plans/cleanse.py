@@ -17,7 +17,7 @@ from switchboard.functions.numbers import exact_ratio, round_long
 from switchboard.functions.text import upper_trim
 from switchboard.operators import nested
 from switchboard.operators.dedup import latest
-from switchboard.operators.textagg import ordered_join
+from switchboard.operators.textagg import ordered_join, same_groups
 from switchboard.schemas import conform
 
 # Segment types, chat senders, the hand-over menu and the path separator.
@@ -146,16 +146,16 @@ def ivr_session(ivr_log: DataFrame, run_date: dt.date) -> DataFrame:
     keys = ["session_ref", "client_code"]
     events = loaded(ivr_log, run_date, "feed_date")
     last = F.struct("event_ms", "menu_path", "key_pressed", "client_code")
-    sessions = events.groupBy(*keys).agg(
+    totals = [
         F.min("event_ms").alias("first_ms"),
         F.max("event_ms").alias("last_ms"),
         F.count(F.lit(1)).alias("hops"),
         F.max(F.when(F.col("menu_path") == AGENT_MENU, 1).otherwise(0)).alias("_handed"),
         F.max(last).alias("_last"),
-    )
+    ]
+    sessions = ordered_join(events, keys, "event_ms", "menu_path", PATH_SEPARATOR, "menu_path_full", also=totals)
     session_last = sessions.groupBy("session_ref").agg(F.max("_last").alias("_session_last"))
-    paths = ordered_join(events, keys, "event_ms", "menu_path", PATH_SEPARATOR, "menu_path_full")
-    joined = _join_nullsafe(_join_nullsafe(sessions, paths, keys), session_last, ["session_ref"])
+    joined = same_groups(sessions, session_last, ["session_ref"])
     out = (
         joined.withColumn("first_event_ts", time.from_millis("first_ms"))
         .withColumn("last_event_ts", time.from_millis("last_ms"))
@@ -329,11 +329,3 @@ def _text_channel(prefix: str, ref: str, channel: str, fallback: str) -> list[Co
         F.col(fallback).alias("fallback"),
     ]
 
-
-def _join_nullsafe(left: DataFrame, right: DataFrame, keys: list[str]) -> DataFrame:
-    """Inner equi join in which NULL keys match, for sides grouped by the same keys."""
-    right = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).eqNullSafe(F.col(f"_r_{k}"))
-    return left.join(right, cond).drop(*[f"_r_{k}" for k in keys])

@@ -14,6 +14,7 @@ from switchboard.functions.text import surrogate, utc_text
 from switchboard.operators.slices import neighbour
 from switchboard.plans.facts import UNKNOWN
 from switchboard.schemas import TABLES
+from switchboard.session import store
 
 # From this size on a number is epoch milliseconds: as seconds it lies in the year 5138.
 MILLIS_FROM = 100_000_000_000
@@ -273,7 +274,7 @@ def report(checks: Mapping[str, DataFrame]) -> DataFrame:
         others = [c for c in rows.columns if c != "status"]
         parts = [F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("NULL"))) for c in others]
         lines.append(rows.select(F.lit(name).alias("check_name"), F.concat_ws(" ", *parts).alias("detail"), "status"))
-    found = _union(lines)
+    found = store(_union(lines), "report")
     totals = found.agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("status") == FAIL, 1)).alias("bad"))
     coverage = totals.select(
         F.lit("coverage").alias("check_name"),
