@@ -712,6 +712,7 @@ ORACLES: dict[str, str] = {
             UNION ALL SELECT 'recording_id', count(k), count(*) FILTER (k IS NOT NULL AND r <> r2) FROM pairs
             UNION ALL SELECT 'agent_id', count(k), count(*) FILTER (k IS NOT NULL AND a <> a2) FROM pairs
             UNION ALL SELECT '(coverage)', count(*), count(*) FILTER (k IS NULL) FROM pairs
+            UNION ALL SELECT '(repeated keys)', count(*), 0 FROM pairs
         ) SELECT *, CASE WHEN differing = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM found""",
     "dq_report": f"""
         SELECT * FROM ({REPORT_LINES})

@@ -56,6 +56,20 @@ def spread_join(
     return lhs.drop("_hot").join(rhs, [key, "_salt"], how).drop("_salt")
 
 
+def join_many(left: DataFrame, right: DataFrame, key: str, *, min_rows: int = HOT_ROWS) -> DataFrame:
+    """Left join to a table that may repeat a key very often.
+
+    Spark cannot split the right side of a left join. If ``right`` has hot keys the matches
+    are therefore found from its side, where a hot key can be spread, and left rows without
+    a match are added.
+    """
+    if hot_keys(right, [key], min_rows=min_rows) is None:
+        return lookup(left, right, key)
+    matched = spread_join(right, left, key, how="inner", min_rows=min_rows)
+    alone = left.join(right.select(key).distinct(), key, "left_anti")
+    return matched.unionByName(alone, allowMissingColumns=True)
+
+
 def lookup(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None) -> DataFrame:
     """Left join of a fact to a dimension.
 

@@ -17,6 +17,7 @@ from switchboard.functions.numbers import exact_ratio, round_long
 from switchboard.functions.text import upper_trim
 from switchboard.operators import nested
 from switchboard.operators.dedup import latest
+from switchboard.operators.skew import join_many
 from switchboard.operators.textagg import ordered_join, same_groups
 from switchboard.schemas import conform
 
@@ -303,7 +304,7 @@ def interaction(
         F.col("interaction_ref").alias("interaction_id"), "customer_ref"
     )
     out = (
-        spine.join(refs, "interaction_id", "left")
+        join_many(spine, refs, "interaction_id")
         .withColumn("customer_ref", F.coalesce("customer_ref", "fallback"))
         .withColumn("event_date", time.day("start_ts"))
     )

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from switchboard.operators.sink import read_table, replace_partition, replace_table
+from switchboard.operators.sink import merge_partitions, read_table, replace_partition, replace_table
 from switchboard.plans import aggs, cleanse, dims, facts, history, merges, views
 from switchboard.schemas import TABLES, layer_of
 from switchboard.session import apply_settings, store
@@ -244,11 +244,18 @@ def table_path(root: str, name: str) -> str:
 
 
 def run_day(
-    spark: SparkSession, root: str, staging: Callable[[str], DataFrame], run_date: dt.date, *, only: set[str] | None = None
+    spark: SparkSession,
+    root: str,
+    staging: Callable[[str], DataFrame],
+    run_date: dt.date,
+    *,
+    only: set[str] | None = None,
+    changes_from: dt.date | None = None,
 ) -> None:
     """Load every table of ``root`` for ``run_date``, in order; ``staging`` gives the raw inputs.
 
-    Running a day again replaces what it wrote and leaves other days alone.
+    Running a day again replaces what it wrote and leaves other days alone. Change feeds are
+    merged from extract date ``changes_from`` on: the run date in daily use, None for all.
     """
     apply_settings(spark)
     built = {s.target for s in STEPS}
@@ -263,13 +270,35 @@ def run_day(
         if step.write in (DAY, WEEK, MONTH):
             replace_partition(step.run(get, run_date), path, step.target, step.partition_value(run_date))
         elif step.write == STATE:
-            # The merge reads the table it replaces, so its result is written aside first.
-            merged = step.run(get, run_date, get(step.target))
-            replace_table(store(merged, step.target), path, step.target)
+            _merge(spark, step, get, run_date, path, changes_from)
         else:
             replace_table(step.run(get, run_date), path, step.target)
 
 
+def _merge(
+    spark: SparkSession,
+    step: Step,
+    get: Callable[[str], DataFrame],
+    run_date: dt.date,
+    path: str,
+    changes_from: dt.date | None,
+) -> None:
+    """Merge arriving rows into a stored table: only the partitions they touch are rewritten.
+
+    Masters have no partitions; as the result reads the table it replaces, it is written aside first.
+    """
+    if TABLES[step.target].partition is None:
+        replace_table(store(step.run(get, run_date, get(step.target)), step.target), path, step.target)
+        return
+
+    def arriving(name: str) -> DataFrame:
+        rows = get(name)
+        return rows if changes_from is None else rows.where(F.col("extract_date") >= F.lit(changes_from))
+
+    keys = arriving(step.inputs[0]).select(*TABLES[step.target].pk).distinct()
+    merge_partitions(spark, path, step.target, keys, lambda stored: step.run(arriving, run_date, stored))
+
+
 def register_views(spark: SparkSession, get: Callable[[str], DataFrame]) -> None:
     """Make the analyst queries available to SQL under their names."""
     for name, (build, inputs) in VIEWS.items():

@@ -240,30 +240,34 @@ def dim_date_match(loaded: DataFrame, source: DataFrame) -> DataFrame:
 def table_diff(left: DataFrame, right: DataFrame, pk: Sequence[str]) -> DataFrame:
     """Column-by-column comparison of two tables on their key.
 
-    One row per column with compared and differing values, and a coverage row that counts
-    keys found on one side only. NULLs are equal to each other.
+    One row per column with compared and differing values, a coverage row that counts keys
+    found on one side only, and a row that counts keys repeated on a side: of those the
+    greatest row is compared. NULLs are equal to each other. Both sides are reduced per key
+    in one aggregation, so repeated keys never form pairs.
     """
     values = [c for c in left.columns if c not in pk]
-
-    def side(df: DataFrame, name: str) -> DataFrame:
-        return df.select(*pk, F.struct(*values).alias(name))
-
-    joined = side(left, "l").join(side(right, "r"), list(pk), "full")
-    both = F.col("l").isNotNull() & F.col("r").isNotNull()
-    counts = [
-        F.struct(
-            F.lit(c).alias("column_name"),
-            F.count(F.when(both, 1)).alias("compared"),
-            F.count(F.when(both & ~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}")), 1)).alias("differing"),
-        )
-        for c in values
-    ]
-    coverage = F.struct(
-        F.lit("(coverage)").alias("column_name"),
-        F.count(F.lit(1)).alias("compared"),
-        F.count(F.when(~both, 1)).alias("differing"),
+    right = right.select(left.columns)
+    packed = F.struct(*values)
+    empty = F.when(F.lit(False), packed)
+    sides = left.select(*pk, packed.alias("l"), empty.alias("r")).unionByName(
+        right.select(*pk, empty.alias("l"), packed.alias("r"))
+    )
+    keys = sides.groupBy(*pk).agg(
+        F.max("l").alias("l"), F.max("r").alias("r"), F.count("l").alias("n_l"), F.count("r").alias("n_r")
     )
-    rows = joined.agg(F.array(*counts, coverage).alias("a")).select(F.inline("a"))
+    both = (F.col("n_l") > 0) & (F.col("n_r") > 0)
+    repeated = (F.col("n_l") > 1) | (F.col("n_r") > 1)
+
+    def line(name: str, compared: Column, differing: Column) -> Column:
+        return F.struct(
+            F.lit(name).alias("column_name"),
+            F.count(F.when(compared, 1)).alias("compared"),
+            F.count(F.when(differing, 1)).alias("differing"),
+        )
+
+    lines = [line(c, both, both & ~F.col(f"l.{c}").eqNullSafe(F.col(f"r.{c}"))) for c in values]
+    lines += [line("(coverage)", F.lit(True), ~both), line("(repeated keys)", F.lit(True), repeated)]
+    rows = keys.agg(F.array(*lines).alias("a")).select(F.inline("a"))
     return rows.select("*", _status(F.col("differing") == 0))
 
 

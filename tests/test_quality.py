@@ -102,7 +102,14 @@ def test_table_diff(spark):
     left = spark.createDataFrame([(1, "a", None), (2, "b", 1), (3, "c", 1)], "k long, v string, n long")
     right = spark.createDataFrame([(1, "a", None), (2, "x", None), (4, "d", 1)], "k long, v string, n long")
     out = {r.column_name: (r.compared, r.differing, r.status) for r in quality.table_diff(left, right, ["k"]).collect()}
-    assert out == {"v": (2, 1, "FAIL"), "n": (2, 1, "FAIL"), "(coverage)": (4, 2, "FAIL")}
+    assert out == {"v": (2, 1, "FAIL"), "n": (2, 1, "FAIL"), "(coverage)": (4, 2, "FAIL"), "(repeated keys)": (4, 0, "PASS")}
+
+
+def test_table_diff_with_repeated_and_missing_keys(spark):
+    left = spark.createDataFrame([(1, "a")] * 50 + [(None, "n")], "k long, v string")
+    right = spark.createDataFrame([(1, "a")] * 40 + [(None, "n")], "k long, v string")
+    out = {r.column_name: (r.compared, r.differing) for r in quality.table_diff(left, right, ["k"]).collect()}
+    assert out == {"v": (2, 0), "(coverage)": (2, 0), "(repeated keys)": (2, 1)}
 
 
 def test_report_lists_failures_first(spark):

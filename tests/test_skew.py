@@ -56,6 +56,14 @@ def test_spread_join_equals_plain_join(spark, contacts, rows, how, min_rows):
     assert rows(spread, "id", "customer_ref", "v") == rows(plain)
 
 
+@pytest.mark.parametrize("min_rows", [30, 10**9])
+def test_join_many_equals_plain_left_join(spark, contacts, rows, min_rows):
+    left = spark.createDataFrame([("hot", 1), ("c1", 3), ("nobody", 4), (None, 5)], "customer_ref string, v long")
+    right = contacts.select("customer_ref", "id")
+    plain = left.join(right, "customer_ref", "left").select("customer_ref", "v", "id")
+    assert rows(skew.join_many(left, right, "customer_ref", min_rows=min_rows), "customer_ref", "v", "id") == rows(plain)
+
+
 def test_lookup_keeps_rows_without_a_key(spark, contacts, rows):
     dim = spark.createDataFrame([("hot", 9), (None, 8)], "customer_ref string, sk long")
     out = skew.lookup(contacts.select("id", "customer_ref"), dim, "customer_ref")
