@@ -1,29 +1,19 @@
-"""Totals over an array of structs, computed inside the row: no explode, no shuffle of texts."""
+"""Unnesting of arrays of structs."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def array_count(items: str, pred: Callable[[Column], Column]) -> Column:
-    return F.size(F.filter(items, pred)).cast("long")
+def unnest(df: DataFrame, keep: Sequence[str], items: str, fields: Sequence[str]) -> DataFrame:
+    """One row per array element with ``keep`` and the named element fields.
 
-
-def array_sum(items: str, field: str) -> Column:
-    """Sum of a field; NULL when no element has a value, as an aggregate over rows would give."""
-    known = F.filter(F.transform(items, lambda m: m[field]), lambda v: v.isNotNull())
-    total = F.aggregate(known, F.lit(0).cast("long"), lambda acc, v: acc + v)
-    return F.when(F.size(known) > 0, total)
-
-
-def array_min_where(items: str, field: str, pred: Callable[[Column], Column]) -> Column:
-    """Smallest field value among the elements that satisfy ``pred``; NULL if there is none."""
-    return F.array_min(F.transform(F.filter(items, pred), lambda m: m[field]))
-
-
-def non_empty(items: str) -> Column:
-    """True for rows an inner unnest keeps."""
-    return F.size(F.coalesce(F.col(items), F.array())) > 0
+    Rows whose array is empty or NULL disappear, as in an inner unnest. The fields are picked
+    as arrays of their own before they are unnested, so the scan reads no other field of the
+    elements: message texts, most of a transcript's bytes, stay on disk.
+    """
+    picked = df.select(*keep, *[F.col(f"{items}.{f}").alias(f) for f in fields])
+    return picked.select(*keep, F.inline(F.arrays_zip(*fields)))

@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from switchboard.operators.skew import HOT_ROWS, flag_hot, hot_keys
 
 SLICE_SECONDS = 3600
+FIND = "find"
 
 
 def neighbour(
@@ -27,16 +28,19 @@ def neighbour(
     out: str,
     *,
     following: bool = False,
+    hot: DataFrame | None | str = FIND,
     slice_seconds: int = SLICE_SECONDS,
     min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: a struct of ``value`` from the previous (or following) row of the key.
 
     Order is ``ts``, then ``tiebreak``; ``ts`` must not be NULL. ``out`` is NULL at the end.
+    ``hot`` is the result of `hot_keys` if the caller has it already.
     """
     step = F.lead if following else F.lag
     payload = F.struct(*value)
-    hot = hot_keys(df, keys, min_rows=min_rows)
+    if hot is FIND:
+        hot = hot_keys(df, keys, min_rows=min_rows)
     if hot is None:
         return df.withColumn(out, step(payload).over(Window.partitionBy(*keys).orderBy(ts, *tiebreak)))
     rows = flag_hot(df, keys, hot).withColumn(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchboard.functions import time
-from switchboard.functions.numbers import exact_ratio, round_long
+from switchboard.functions.numbers import count_if, exact_ratio, round_long
 from switchboard.functions.text import upper_trim
 from switchboard.operators import nested
 from switchboard.operators.dedup import latest
@@ -170,26 +170,16 @@ def ivr_session(ivr_log: DataFrame, run_date: dt.date) -> DataFrame:
 def chat_session(chat: DataFrame, run_date: dt.date) -> DataFrame:
     """Chat counts and first response. A chat without messages gives no row.
 
-    Messages are counted inside the row, so their text is never shuffled; only the counts of
-    transcripts that repeat all header fields are then added up.
+    Transcripts that repeat all header fields are counted together.
     """
     header = ["chat_ref", "client_code", "queue_code", "agent_email", "started_ms", "ended_ms"]
-    counted = (
-        loaded(chat, run_date, "feed_date")
-        .where(nested.non_empty("messages"))
-        .select(
-            *header,
-            nested.array_count("messages", lambda m: m["sender"].isNotNull()).alias("_all"),
-            nested.array_count("messages", lambda m: m["sender"] == AGENT).alias("_agent"),
-            nested.array_count("messages", lambda m: m["sender"] == CUSTOMER).alias("_customer"),
-            nested.array_min_where("messages", "ts_ms", lambda m: m["sender"] == AGENT).alias("_first"),
-        )
-    )
-    rows = counted.groupBy(*header).agg(
-        F.sum("_all").alias("message_count"),
-        F.sum("_agent").alias("agent_message_count"),
-        F.sum("_customer").alias("customer_message_count"),
-        F.min("_first").alias("_first"),
+    messages = nested.unnest(loaded(chat, run_date, "feed_date"), header, "messages", ["sender", "ts_ms"])
+    sender = F.col("sender")
+    rows = messages.groupBy(*header).agg(
+        F.count(sender).alias("message_count"),
+        count_if(sender == AGENT).alias("agent_message_count"),
+        count_if(sender == CUSTOMER).alias("customer_message_count"),
+        F.min(F.when(sender == AGENT, F.col("ts_ms"))).alias("_first"),
     )
     out = (
         rows.withColumn("started_ts", time.from_millis("started_ms"))
@@ -235,20 +225,12 @@ def qa_evaluation(form: DataFrame, run_date: dt.date) -> DataFrame:
         "form_version",
         "auto_fail",
     ]
-    counted = (
-        loaded(form, run_date, "feed_date")
-        .where(nested.non_empty("sections"))
-        .select(
-            *header,
-            nested.array_count("sections", lambda s: s["section_code"].isNotNull()).alias("_n"),
-            nested.array_sum("sections", "scored_points").alias("_scored"),
-            nested.array_sum("sections", "max_points").alias("_max"),
-        )
-    )
-    rows = counted.groupBy(*header).agg(
-        F.sum("_n").alias("section_count"),
-        F.sum("_scored").alias("scored_points"),
-        F.sum("_max").alias("max_points"),
+    fields = ["section_code", "scored_points", "max_points"]
+    sections = nested.unnest(loaded(form, run_date, "feed_date"), header, "sections", fields)
+    rows = sections.groupBy(*header).agg(
+        F.count("section_code").alias("section_count"),
+        F.sum("scored_points").alias("scored_points"),
+        F.sum("max_points").alias("max_points"),
     )
     pct = exact_ratio(F.col("scored_points") * 100, F.col("max_points"), 5, 2)
     out = (
