@@ -8,6 +8,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,8 +26,8 @@ class Step:
     """``build(*inputs, run_date)`` makes ``target``; a STATE step also gets the stored table first.
 
     ``write`` says what a run replaces: the partition of its day, week or month, the table, or
-    the table merged with what it held before. A step with ``scoped`` inputs reads only the
-    days of that period from them.
+    the table merged with what it held before. A step with ``scoped`` inputs can be limited to
+    some periods: it then reads only their days from these inputs.
     """
 
     target: str
@@ -36,41 +37,52 @@ class Step:
     dated: bool = True
     scoped: tuple[str, ...] = ()
 
-    def run(self, get: Callable[[str], DataFrame], run_date: dt.date, current: DataFrame | None = None) -> DataFrame:
-        args = [self._in_period(get(i), run_date) if i in self.scoped else get(i) for i in self.inputs]
+    def run(
+        self,
+        get: Callable[[str], DataFrame],
+        run_date: dt.date,
+        current: DataFrame | None = None,
+        periods: set[dt.date] | None = None,
+    ) -> DataFrame:
+        limited = self.scoped if periods is not None else ()
+        args = [self._within(get(i), periods) if i in limited else get(i) for i in self.inputs]
         if self.write == STATE:
             args.insert(0, current)
         return self.build(*args, run_date) if self.dated else self.build(*args)
 
-    def period(self, run_date: dt.date) -> tuple[dt.date, dt.date]:
-        """First and last day of the period that a run on ``run_date`` replaces."""
+    def period(self, day: dt.date) -> tuple[dt.date, dt.date]:
+        """First and last day of the period that holds ``day``."""
         if self.write == WEEK:
-            first = run_date - dt.timedelta(days=run_date.weekday())
+            first = day - dt.timedelta(days=day.weekday())
             return first, first + dt.timedelta(days=6)
         if self.write == MONTH:
-            first = run_date.replace(day=1)
+            first = day.replace(day=1)
             return first, (first + dt.timedelta(days=31)).replace(day=1) - dt.timedelta(days=1)
-        return run_date, run_date
+        return day, day
 
-    def partition_value(self, run_date: dt.date) -> dt.date | int:
-        first, _ = self.period(run_date)
-        column = TABLES[self.target].partition
-        return _key(first) if column.endswith("_key") else first
+    def partition_value(self, first: dt.date) -> dt.date | int:
+        """Partition of the period that starts on ``first``."""
+        return _key(first) if TABLES[self.target].partition.endswith("_key") else first
 
-    def _in_period(self, df: DataFrame, run_date: dt.date) -> DataFrame:
-        """The period's rows, by a filter on the bare partition column."""
-        first, last = self.period(run_date)
+    def _within(self, df: DataFrame, periods: set[dt.date]) -> DataFrame:
+        """Rows of the periods, by a filter on the bare partition column."""
         if "date_key" in df.columns:
-            return df.where(F.col("date_key").between(_key(first), _key(last)))
+            spans = [F.col("date_key").between(*map(_key, self.period(p))) for p in sorted(periods)]
+            return df.where(reduce(lambda a, b: a | b, spans))
         if "bill_period" in df.columns:
-            return df.where(F.col("bill_period") == f"{first:%Y-%m}")
-        return df.where(F.col("period_month") == F.lit(first))
+            return df.where(F.col("bill_period").isin([f"{p:%Y-%m}" for p in sorted(periods)]))
+        return df.where(F.col("period_month").isin(sorted(periods)))
 
 
 def _key(day: dt.date) -> int:
     return int(f"{day:%Y%m%d}")
 
 
+def _day_of(value: dt.date | int) -> dt.date:
+    """Day of a partition value: a date or a ``yyyymmdd`` key."""
+    return value if isinstance(value, dt.date) else dt.datetime.strptime(str(value), "%Y%m%d").date()
+
+
 def _agg(target: str, build, period: str, scoped: tuple[str, ...], *others: str) -> Step:
     return Step(target, build, (*scoped, *others), period, dated=False, scoped=scoped)
 
@@ -256,9 +268,13 @@ def run_day(
 
     Running a day again replaces what it wrote and leaves other days alone. Change feeds are
     merged from extract date ``changes_from`` on: the run date in daily use, None for all.
+    Aggregates are refreshed for the run's period and for every period that late rows or
+    changes of this run have touched.
     """
     apply_settings(spark)
     built = {s.target for s in STEPS}
+    # Partitions that this run has written, per table: what aggregates above must refresh.
+    written: dict[str, set] = {}
 
     def get(name: str) -> DataFrame:
         return read_table(spark, table_path(root, name), name) if name in built else staging(name)
@@ -267,10 +283,21 @@ def run_day(
         if only is not None and step.target not in only:
             continue
         path = table_path(root, step.target)
-        if step.write in (DAY, WEEK, MONTH):
-            replace_partition(step.run(get, run_date), path, step.target, step.partition_value(run_date))
+        if step.scoped:
+            days = {run_date} | {_day_of(v) for i in step.scoped for v in written.get(i, ()) if v is not None}
+            periods = {step.period(d)[0] for d in days}
+            rows = step.run(get, run_date, periods=periods)
+            values = {step.partition_value(p) for p in periods}
+            written[step.target] = replace_partition(rows, path, step.target, values, mode="strict")
+        elif step.write in (DAY, MONTH):
+            value = step.partition_value(step.period(run_date)[0])
+            written[step.target] = replace_partition(step.run(get, run_date), path, step.target, value)
+        elif step.write == STATE and TABLES[step.target].partition:
+            written[step.target] = _merge(spark, step, get, run_date, path, changes_from)
         elif step.write == STATE:
-            _merge(spark, step, get, run_date, path, changes_from)
+            # The result reads the table it replaces, so it is written aside first.
+            merged = store(step.run(get, run_date, get(step.target)), step.target)
+            replace_table(merged, path, step.target)
         else:
             replace_table(step.run(get, run_date), path, step.target)
 
@@ -282,21 +309,15 @@ def _merge(
     run_date: dt.date,
     path: str,
     changes_from: dt.date | None,
-) -> None:
-    """Merge arriving rows into a stored table: only the partitions they touch are rewritten.
-
-    Masters have no partitions; as the result reads the table it replaces, it is written aside first.
-    """
-    if TABLES[step.target].partition is None:
-        replace_table(store(step.run(get, run_date, get(step.target)), step.target), path, step.target)
-        return
+) -> set:
+    """Merge a change feed into a stored table: only the partitions it touches are rewritten."""
 
     def arriving(name: str) -> DataFrame:
         rows = get(name)
         return rows if changes_from is None else rows.where(F.col("extract_date") >= F.lit(changes_from))
 
     keys = arriving(step.inputs[0]).select(*TABLES[step.target].pk).distinct()
-    merge_partitions(spark, path, step.target, keys, lambda stored: step.run(arriving, run_date, stored))
+    return merge_partitions(spark, path, step.target, keys, lambda stored: step.run(arriving, run_date, stored))
 
 
 def register_views(spark: SparkSession, get: Callable[[str], DataFrame]) -> None:
