@@ -63,7 +63,7 @@ def main() -> None:
             times.append(time.perf_counter() - start)
         seconds[name] = round(statistics.median(times[1:]), 3)
     total = round(sum(seconds.values()), 3)
-    sf = os.path.basename(folder.rstrip("/")).removeprefix("sf")
+    sf = float(os.path.basename(folder.rstrip("/")).removeprefix("sf"))
     print(
         json.dumps(
             {"metric": "headline_queries_total", "value": total, "unit": "sec", "queries": seconds, "sf": sf}

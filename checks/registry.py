@@ -398,6 +398,17 @@ def dq_fk_default(w: Warehouse) -> DataFrame:
     )
 
 
+MEASURES = {"fact_agent_activity": "state_seconds", "fact_adherence_daily": "worked_minutes"}
+
+
+def dq_negative_values(w: Warehouse) -> DataFrame:
+    out = None
+    for t, column in MEASURES.items():
+        rows = quality.negative_values(w.get(t), t, [column])
+        out = rows if out is None else out.unionByName(rows)
+    return out
+
+
 CONTRACTS = ["ods_call", "ods_invoice_acid", "ods_qa_evaluation", "fact_billing_line", "agg_billing_monthly"]
 
 
@@ -484,6 +495,7 @@ QUERIES: dict[str, Query] = {
     "dq_epoch_range": dq_epoch_range,
     "dq_string_date": dq_string_date,
     "dq_fk_default": dq_fk_default,
+    "dq_negative_values": dq_negative_values,
     "dq_schema_contract": dq_schema_contract,
     "dq_scd2_integrity": dq_scd2_integrity,
     "dq_edge_values": dq_edge_values,
@@ -696,6 +708,14 @@ ORACLES: dict[str, str] = {
     "dq_fk_default": _all(
         [_fk("agent_sk", "dim_agent"), _fk("queue_sk", "dim_queue"), _fk("client_sk", "dim_client")]
     ),
+    "dq_negative_values": _all(
+        [
+            f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS value_count, "
+            f"count(*) FILTER ({c} < 0) AS negative_count, CAST(min({c}) AS BIGINT) AS min_value, "
+            f"{_status(f'count(*) FILTER ({c} < 0) = 0')} FROM {t}"
+            for t, c in MEASURES.items()
+        ]
+    ),
     "dq_schema_contract": _all([_contract(t) for t in CONTRACTS]),
     "dq_scd2_integrity": _all([_history(t) for t in HISTORIES]),
     "dq_edge_values": _all([_difference(f, "documents") for f in ("parquet", "csv", "json")]),

@@ -92,9 +92,14 @@ def queue(queue: DataFrame, run_date: dt.date) -> DataFrame:
     return conform(rows.withColumn("snapshot_date", F.lit(run_date)), "ods_queue")
 
 
-def schedule(schedule: DataFrame, shift: DataFrame, run_date: dt.date) -> DataFrame:
+def schedule(
+    schedule: DataFrame, shift: DataFrame, run_date: dt.date, *, newest_shift: bool = False
+) -> DataFrame:
     """Schedules with their shift code. The join drops unknown shifts and, as shifts are not
-    limited to one day, repeats a schedule per shift row of its id."""
+    limited to one day, repeats a schedule per shift row of its id; ``newest_shift`` takes
+    only the latest delivered row of each shift."""
+    if newest_shift:
+        shift = latest(shift, ["shift_id"], ["load_date", "created_epoch"])
     rows = latest(loaded(schedule, run_date), ["schedule_id"], ["start_epoch"])
     rows = rows.join(shift.select("shift_id", "shift_code"), "shift_id")
     out = (

@@ -321,6 +321,9 @@ def _merge(
 
 
 def register_views(spark: SparkSession, get: Callable[[str], DataFrame]) -> None:
-    """Make the analyst queries available to SQL under their names."""
+    """Make the analyst queries available to SQL under their names.
+
+    Hot keys and global ranks are determined when this runs, so register again after a load.
+    """
     for name, (build, inputs) in VIEWS.items():
         build(*[get(i) for i in inputs]).createOrReplaceTempView(name)

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from switchboard.functions import time
 from switchboard.functions.numbers import count_if, exact_ratio, round_long
 from switchboard.functions.text import first_group
+from switchboard.operators.dedup import greatest_by, latest
 from switchboard.operators.skew import lookup, spread_join
 from switchboard.plans.cleanse import loaded
 from switchboard.schemas import conform
@@ -182,8 +183,6 @@ def fact_billing_line(
     )
     rates = loaded(rate_card, run_date, "snapshot_date")
     if one_rate_per_program:
-        from switchboard.operators.dedup import greatest_by
-
         order = [F.col(c) for c in ("effective_ts", "rate_card_id")]
         rates = greatest_by(rates, ["program_id"], order, ["service_code", "rate"])
     rates = rates.select("program_id", "service_code", "rate")
@@ -257,12 +256,22 @@ def fact_adherence_daily(
 
 
 def fact_ticket(
-    ticket: DataFrame, event: DataFrame, category: DataFrame, agent: DataFrame, run_date: dt.date
+    ticket: DataFrame,
+    event: DataFrame,
+    category: DataFrame,
+    agent: DataFrame,
+    run_date: dt.date,
+    *,
+    newest_category: bool = False,
 ) -> DataFrame:
     """Tickets created on the run date with resolution time, breach flag and touches.
 
-    An open ticket is never breached. The event table is not limited to one day.
+    An open ticket is never breached. Events and categories are not limited to one day, so a
+    category delivered on several days repeats its tickets; ``newest_category`` takes only
+    the latest delivered row of each category.
     """
+    if newest_category:
+        category = latest(category, ["category_id"], ["load_date", "created_ms"])
     rows = ticket.where(time.on_day("created_ts", run_date))
     rows = lookup(rows, category.select("category_id", "category_code", "sla_hours"), "category_id")
     agents = current_agents(agent).withColumnRenamed("agent_sk", "assigned_agent_sk")

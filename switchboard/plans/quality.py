@@ -166,6 +166,24 @@ def schema_contract(df: DataFrame, table: str) -> DataFrame:
     )
 
 
+def negative_values(df: DataFrame, table: str, columns: Sequence[str]) -> DataFrame:
+    """Per measure that should not fall below zero: how many values do, and the smallest.
+
+    Approved exceptions can exceed the time they are taken from.
+    """
+    aggs = [
+        F.struct(
+            F.lit(c).alias("column_name"),
+            F.count(c).alias("value_count"),
+            F.count(F.when(F.col(c) < 0, 1)).alias("negative_count"),
+            F.min(c).alias("min_value"),
+        )
+        for c in columns
+    ]
+    rows = df.agg(F.array(*aggs).alias("a")).select(F.inline("a"))
+    return rows.select(F.lit(table).alias("table_name"), "*", _status(F.col("negative_count") == 0))
+
+
 def scd2_integrity(history: DataFrame, table: str, keys: Sequence[str], id_column: str) -> DataFrame:
     """Surrogates that are not the MD5 of their parts, keys without exactly one current row, and
     versions whose end is not the start of the next one."""

@@ -51,6 +51,12 @@ def test_fk_default(spark):
     assert (out.row_count, out.unknown_count, out.null_count, out.orphan_count, out.status) == (5, 1, 1, 1, "FAIL")
 
 
+def test_negative_values(spark):
+    df = spark.createDataFrame([(1, -1), (0, -5), (None, 3)], "a long, b long")
+    out = [tuple(r) for r in quality.negative_values(df, "t", ["a", "b"]).collect()]
+    assert out == [("t", "a", 2, 0, 0, "PASS"), ("t", "b", 3, 2, -5, "FAIL")]
+
+
 def test_schema_contract(spark):
     spec = TABLES["ods_qa_evaluation"]
     good = spark.createDataFrame([tuple("k" if c == "qa_form_id" else None for c in spec.names)], spec.schema)

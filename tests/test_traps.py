@@ -106,6 +106,17 @@ def test_schedule_drops_unknown_shift_and_repeats_per_shift_row(spark):
     shift = [{"shift_id": 1, "shift_code": c, "load_date": d} for c, d in (("A", DAY), ("B", dt.date(2024, 1, 14)))]
     out = cleanse.schedule(table(spark, "stg_wfm_schedule", *sched), table(spark, "stg_wfm_shift", *shift), DAY)
     assert sorted((r.schedule_id, r.shift_code, r.sched_date) for r in out.collect()) == [(1, "A", DAY), (1, "B", DAY)]
+    newest = cleanse.schedule(table(spark, "stg_wfm_schedule", *sched), table(spark, "stg_wfm_shift", *shift), DAY, newest_shift=True)
+    assert [(r.schedule_id, r.shift_code) for r in newest.collect()] == [(1, "A")]
+
+
+def test_ticket_category_delivered_twice(spark):
+    tickets = table(spark, "ods_ticket_acid", {"ticket_id": 1, "category_id": 1, "created_ts": dt.datetime(2024, 1, 15)})
+    days = ((dt.date(2024, 1, 14), "OLD"), (DAY, "NEW"))
+    categories = table(spark, "stg_tkt_category", *[{"category_id": 1, "category_code": c, "load_date": d} for d, c in days])
+    args = (tickets, table(spark, "stg_tkt_ticket_event"), categories, table(spark, "dim_agent"), DAY)
+    assert sorted(r.category_code for r in facts.fact_ticket(*args).collect()) == ["NEW", "OLD"]
+    assert [r.category_code for r in facts.fact_ticket(*args, newest_category=True).collect()] == ["NEW"]
 
 
 def test_ivr_path_order_and_exit_key_across_clients(spark):
