@@ -4,10 +4,11 @@ import pytest
 from conftest import FOLDER
 
 import __spark_entry__
+from checks import registry
 from checks.compare import differences
 
-QUERIES = __spark_entry__.queries()
-ORACLES = __spark_entry__.oracle_sql()
+QUERIES = registry.queries()
+ORACLES = registry.oracle_sql()
 
 
 def test_every_query_has_an_oracle():
