@@ -6,11 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from switchboard.llm import near_dedup
+from switchboard.llm import near_dedup, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op2_suffix_dedup": suffix_dedup.op2,
         "op8_near_dedup": near_dedup.op8,
     }
 
