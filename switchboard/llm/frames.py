@@ -114,10 +114,16 @@ def lowered(values: np.ndarray) -> np.ndarray:
     return _LOWER[values]
 
 
-def word_spans(values: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Starts and ends of the words (runs without white space) and the row of each."""
+# White space and ASCII marks; letters of other alphabets are bytes from 128 on.
+MARKS = np.array([not (chr(b).isalnum() or b >= 128) for b in range(256)])
+
+
+def word_spans(
+    values: np.ndarray, offsets: np.ndarray, gap: np.ndarray = _GAP
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words (runs without white space, or without ``gap``) and the row of each."""
     inside = np.zeros(len(values) + 2, np.int8)
-    inside[1:-1] = ~_GAP[values]
+    inside[1:-1] = ~gap[values]
     change = np.diff(inside)
     cuts = offsets[1:-1]
     cuts = np.unique(cuts[(cuts > 0) & (cuts < len(values))])
