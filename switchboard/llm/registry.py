@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from switchboard.llm import near_dedup, suffix_dedup, toxicity
+from switchboard.llm import bpe, near_dedup, packing, suffix_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_suffix_dedup": suffix_dedup.op2,
+        "op5_bpe": bpe.op5,
         "op8_near_dedup": near_dedup.op8,
+        "op9_packing": packing.op9,
         "op10_toxicity": toxicity.op10,
     }
 
