@@ -9,7 +9,6 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.storagelevel import StorageLevel
 
 # Rows of one Arrow batch, and bytes of text worked on at once inside a task.
 BATCH_ROWS = 1000
@@ -26,6 +25,17 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+def spare(df: DataFrame, *names: str) -> list[str]:
+    """The names, lengthened where ``df`` has them already."""
+    taken, out = {c.lower() for c in df.columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def text_of(column: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(column), F.lit(""))
@@ -36,10 +46,6 @@ def text_key(column: str = "text") -> Column:
     return F.unhex(F.md5(text_of(column)))
 
 
-def disk(df: DataFrame) -> DataFrame:
-    return df.persist(StorageLevel.DISK_ONLY)
-
-
 def chunks(
     batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from switchboard.llm.components import connected
-from switchboard.llm.frames import Hasher, as_bytes, chunks, lowered, mix, small_batches, text_key, text_of, word_spans
+from switchboard.llm.frames import Hasher, as_bytes, chunks, lowered, mix, small_batches, spare, text_key, text_of, word_spans
 from switchboard.session import store
 
 REGISTERS = 128
@@ -327,10 +327,11 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     kept = kept.groupBy("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("own")).agg(
         F.min(F.struct("doc_id", "key")).alias("kept")
     )
-    kept = kept.select(F.col("kept.doc_id").alias("_id"), F.col("kept.key").alias("_key"))
-    rows = docs.withColumns({"_id": F.col("doc_id").cast("long"), "_key": text_key()})
-    same = rows["_id"].eqNullSafe(kept["_id"]) & (rows["_key"] == kept["_key"])
-    return rows.join(kept, same, "left_semi").dropDuplicates(["_id", "_key"]).drop("_id", "_key")
+    own, key = spare(docs, "_id", "_key")
+    kept = kept.select(F.col("kept.doc_id").alias(own), F.col("kept.key").alias(key))
+    rows = docs.withColumns({own: F.col("doc_id").cast("long"), key: text_key()})
+    same = rows[own].eqNullSafe(kept[own]) & (rows[key] == kept[key])
+    return rows.join(kept, same, "left_semi").dropDuplicates([own, key]).drop(own, key)
 
 
 def op8(spark, folder: str) -> DataFrame:

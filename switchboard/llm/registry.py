@@ -6,13 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from switchboard.llm import bpe, near_dedup, packing, suffix_dedup, toxicity
+from switchboard.llm import bpe, near_dedup, packing, quality, span_dedup, suffix_dedup, topk, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op2_suffix_dedup": suffix_dedup.op2,
+        "op3_topk": topk.op3,
+        "op4_quality": quality.op4,
         "op5_bpe": bpe.op5,
+        "op7_span_dedup": span_dedup.op7,
         "op8_near_dedup": near_dedup.op8,
         "op9_packing": packing.op9,
         "op10_toxicity": toxicity.op10,
@@ -20,4 +23,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op3_topk": topk.ORACLE}

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.frames import Hasher, as_bytes, chunks, mix, small_batches, text_key, text_of
+from switchboard.llm.frames import Hasher, as_bytes, chunks, mix, small_batches, spare, text_key, text_of
 from switchboard.session import store
 
 GRAM = 16
@@ -375,14 +375,14 @@ def cut_repeats(docs: DataFrame, length: int = 256) -> DataFrame:
     (where rows share that doc_id too, they are one document written twice, and all keep it);
     the others become empty. n_chars follows the text. All rows stay.
     """
-    changed = repeated_bytes(docs, length, keep_first=True, text=True).select(F.col("key").alias("_key"), "kept")
-    rows = docs.withColumn("_key", text_key())
-    firsts = rows.where(F.octet_length("text") >= length).groupBy("_key").agg(F.min("doc_id").alias("_least"))
-    told = store(firsts.join(changed, "_key", "left"), "changed")
-    rows = rows.join(told, "_key", "left")
-    copy = F.col("_least").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("_least"))
-    text = F.when(copy, F.lit("")).otherwise(F.coalesce("kept", "text"))
-    rows = rows.withColumn("text", text)
+    key, least, kept = spare(docs, "_key", "_least", "_kept")
+    found = repeated_bytes(docs, length, keep_first=True, text=True)
+    rows = docs.withColumn(key, text_key())
+    firsts = rows.where(F.octet_length("text") >= length).groupBy(key).agg(F.min("doc_id").alias(least))
+    changed = found.select(F.col("key").alias(key), F.col("kept").alias(kept))
+    rows = rows.join(store(firsts.join(changed, key, "left"), "changed"), key, "left")
+    copy = F.col(least).isNotNull() & ~F.col("doc_id").eqNullSafe(F.col(least))
+    rows = rows.withColumn("text", F.when(copy, F.lit("")).otherwise(F.coalesce(kept, "text")))
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.char_length("text")).cast("long"))
     return rows.select(*docs.columns)
