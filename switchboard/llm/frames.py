@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 # Rows of one Arrow batch, and bytes of text worked on at once inside a task.
 BATCH_ROWS = 1000
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:

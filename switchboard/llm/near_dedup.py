@@ -7,10 +7,10 @@ registers' agreement (less the collisions expected by chance) drops hopeless one
 full sets decide. Equal sets form one class first, so copies cost nothing after that.
 
 Pairs of a bucket are never listed. First every class meets only the smallest class of its
-bucket; what these links connect needs no further test. In buckets that still hold several
-components, tasks compare registers block by block and report which members hang together, one
-row per member. Each such cluster is then compared on its full sets, block by block again, and
-one link per document and component comes out.
+bucket. In buckets whose members don't hang together by then, tasks compare registers block by
+block and report who does, one row per member at most. The clusters that come out hold every pair
+that can be near. They are then compared on the full sets, block by block again; a task reports
+fewer links than it has documents.
 
 Two sets at a similarity of 0.85 share one of the 32 bands of four registers but for a chance
 of about 1e-10, at 0.8 of 1e-7. The registers drop a pair only if they agree in less than the
@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -152,98 +151,100 @@ def _estimated(percent: int):
     return run
 
 
-def _verified(words: int, percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in chunks(iter([batch]), "text_a"):
-                for some in chunks(iter([part]), "text_b"):
-                    sets = []
-                    for side in ("text_a", "text_b"):
-                        # A text that stands in many pairs of the batch is read once.
-                        once = pc.dictionary_encode(some.column(side))
-                        hashes, places = distinct(*shingles(*as_bytes(once.dictionary), words))
-                        sets.append([hashes[places[i] : places[i + 1]] for i in once.indices.to_pylist()])
-                    keep = []
-                    for x, y in zip(*sets, strict=True):
-                        shared = len(np.intersect1d(x, y, assume_unique=True))
-                        keep.append(100 * shared >= percent * (len(x) + len(y) - shared))
-                    yield some.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def one_text(texts: DataFrame, wanted: DataFrame) -> DataFrame:
-    """One text of each class: rows with one key are equal, so any of them will do."""
-    return store(texts.join(wanted, "key").groupBy("cls").agg(F.any_value("text").alias("text")), "texts")
-
-
-def _confirm(pairs: DataFrame, classes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The candidate pairs ``a``, ``b`` whose full sets reach the threshold."""
+def _estimate(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """The pairs ``a``, ``b`` that the registers hold for near."""
     side = lambda c: classes.select(
         F.col("cls").alias(c), F.col("registers").alias(f"registers_{c}"), F.col("n_shingles").alias(f"n_{c}")
     )
-    hopeful = pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_estimated(percent), "a binary, b binary")
-    hopeful = store(hopeful, "candidates")
-    ends = hopeful.select(F.col("a").alias("cls")).union(hopeful.select(F.col("b").alias("cls"))).distinct()
-    texts = one_text(texts, classes.join(ends, "cls", "left_semi").select("cls", "key"))
-    one = lambda c: texts.select(F.col("cls").alias(c), F.col("text").alias(f"text_{c}"))
-    return hopeful.join(one("a"), "a").join(one("b"), "b").mapInArrow(_verified(words, percent), "a binary, b binary")
+    return pairs.join(side("a"), "a").join(side("b"), "b").mapInArrow(_estimated(percent), "a binary, b binary")
+
+
+def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+    """The rows of each key together, from rows in the order of keys."""
+    kept: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        codes = [batch.column(n).dictionary_encode().indices.to_numpy() for n in names]
+        new = np.any([c[1:] != c[:-1] for c in codes], axis=0)
+        cuts = [0, *(np.flatnonzero(new) + 1).tolist(), batch.num_rows]
+        for start, stop in zip(cuts[:-1], cuts[1:], strict=True):
+            key = tuple(batch.column(n)[start].as_py() for n in names)
+            if key != last and kept:
+                yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+                kept = []
+            kept.append(batch.slice(start, stop - start))
+            last = key
+    if kept:
+        yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
+
+
+def _links(cls: pa.Array, a, b) -> pa.RecordBatch:
+    take = lambda at: cls.take(pa.array(np.asarray(at, np.int64)))
+    return pa.RecordBatch.from_arrays([take(a), take(b)], ["a", "b"])
 
 
 def _clusters(percent: int):
     """Links that join the members of one bucket's two blocks which the registers hold for near."""
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        rows = np.frombuffer(b"".join(group.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
-        sizes, block = group.column("n_shingles").to_numpy(), group.column("block").to_numpy()
-        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        right, label = np.flatnonzero(block == high), np.arange(len(rows))
-        for i in np.flatnonzero(block == low):
-            others = right[label[right] != label[i]]
-            met = np.unique(label[others[_hopeful(rows[i][None], rows[others], sizes[i], sizes[others], percent)]])
-            label[np.isin(label, met)] = label[i]
-        cls = group.column("cls").combine_chunks()
-        moved = np.flatnonzero(label != np.arange(len(rows)))
-        return pa.table({"a": cls.take(pa.array(moved)), "b": cls.take(pa.array(label[moved]))})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, ["bucket", "low", "high"]):
+            rows = np.frombuffer(b"".join(group.column("registers").to_pylist()), np.uint16).reshape(-1, REGISTERS)
+            sizes, block = group.column("n_shingles").to_numpy(), group.column("block").to_numpy()
+            _, first, code = np.unique(
+                group.column("root").dictionary_encode().indices.to_numpy(), return_index=True, return_inverse=True
+            )
+            before = first[code]  # rows that hang together already have the first one's number
+            label = before.copy()
+            left, right = (np.flatnonzero(block == group.column(c)[0].as_py()) for c in ("low", "high"))
+            step = max(1, (1 << 22) // (REGISTERS * max(len(right), 1)))
+            for at in range(0, len(left), step):
+                some = left[at : at + step]
+                near = _hopeful(rows[some][:, None], rows[right][None], sizes[some][:, None], sizes[right][None], percent)
+                near &= label[some][:, None] != label[right][None]
+                for k in np.flatnonzero(near.any(axis=1)):
+                    met = np.unique(label[right[near[k]]])
+                    label[np.isin(label, met)] = label[some[k]]
+            moved = np.flatnonzero(label != before)
+            yield _links(group.column("cls"), moved, label[moved])
 
     return run
 
 
 def _exact(words: int, percent: int):
-    """Links between different components of one cluster's two blocks, from the full sets.
+    """Links within one cluster's two blocks, from the full sets.
 
-    One link for each document and component is enough, so the result stays linear.
+    Documents that links found before join already are not compared again, so there are fewer
+    links than documents.
     """
 
-    def run(group: pa.Table) -> pa.Table:
-        group = group.combine_chunks()
-        hashes, places = distinct(*shingles(*as_bytes(group.column("text").combine_chunks()), words))
-        _, ids = np.unique(hashes, return_inverse=True)
-        sizes, block = np.diff(places), group.column("block").to_numpy()
-        root = group.column("root").combine_chunks().dictionary_encode().indices.to_numpy().copy()
-        low, high = group.column("low")[0].as_py(), group.column("high")[0].as_py()
-        right, found = np.flatnonzero(block == high), []
-        seen = np.zeros(len(ids) + 1, np.int64)
-        for i in np.flatnonzero(block == low):
-            others = right[root[right] != root[i]]
-            if not len(others):
-                continue
-            mine = ids[places[i] : places[i + 1]]
-            seen[mine] = 1
-            ends = places[others + 1]
-            lengths = sizes[others]
-            cuts = np.concatenate([[0], np.cumsum(lengths)[:-1]])
-            picked = ids[np.repeat(ends - np.cumsum(lengths), lengths) + np.arange(lengths.sum())]
-            shared = np.add.reduceat(seen[picked], cuts)
-            seen[mine] = 0
-            for j in others[100 * shared >= percent * (sizes[i] + lengths - shared)]:
-                if root[j] != root[i]:
-                    found.append((i, j))
-                    root[root == root[j]] = root[i]
-        at = np.array(found, np.int64).reshape(-1, 2)
-        cls = group.column("cls").combine_chunks()
-        return pa.table({"a": cls.take(pa.array(at[:, 0])), "b": cls.take(pa.array(at[:, 1]))})
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for group in _grouped(batches, ["cluster", "low", "high"]):
+            hashes, places = distinct(*shingles(*as_bytes(group.column("text")), words))
+            _, ids = np.unique(hashes, return_inverse=True)
+            sizes, block = np.diff(places), group.column("block").to_numpy()
+            left, right = (np.flatnonzero(block == group.column(c)[0].as_py()) for c in ("low", "high"))
+            label, found = np.arange(group.num_rows), []
+            seen = np.zeros(len(ids) + 1, np.int8)
+            for i in left:
+                others = right[label[right] != label[i]]
+                close = np.minimum(sizes[others], sizes[i]) * 100 >= np.maximum(sizes[others], sizes[i]) * percent
+                others = others[close]
+                if not len(others):
+                    continue
+                mine = ids[places[i] : places[i + 1]]
+                seen[mine] = 1
+                lengths = sizes[others]
+                ends = np.cumsum(lengths)
+                picked = ids[np.repeat(places[others + 1] - ends, lengths) + np.arange(ends[-1])]
+                shared = np.add.reduceat(seen[picked], ends - lengths, dtype=np.int64)
+                seen[mine] = 0
+                for j in others[100 * shared >= percent * (sizes[i] + lengths - shared)]:
+                    if label[j] != label[i]:
+                        found.append((i, j))
+                        label[label == label[j]] = label[i]
+            yield _links(group.column("cls"), [f[0] for f in found], [f[1] for f in found])
 
     return run
 
@@ -255,24 +256,25 @@ def _blocked(rows: DataFrame, groups: DataFrame, name: str) -> DataFrame:
     return dealt.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other", "blocks")
 
 
-def _mixed(rows: DataFrame, name: str, weight: str) -> DataFrame:
-    """The groups that hold several components, with the number of blocks that keeps each block small."""
-    sizes = rows.groupBy(name).agg(
-        F.count(F.lit(1)).alias("n"), F.sum(weight).alias("w"), F.min("root").alias("first"), F.max("root").alias("last")
-    )
-    blocks = F.ceil(F.greatest(F.col("n") / BLOCK, F.col("w") / BLOCK_SHINGLES)).cast("int")
-    return sizes.where("first != last").select(name, F.greatest(blocks, F.lit(1)).alias("blocks"))
+def _together(rows: DataFrame, name: str) -> DataFrame:
+    """Rows of a pair of blocks in one task, side by side."""
+    return rows.repartition(name, "low", "high").sortWithinPartitions(name, "low", "high")
+
+
+def _blocks(members, shingles_):
+    """How many blocks keep each of them small."""
+    return F.greatest(F.ceil(F.greatest(members / BLOCK, shingles_ / BLOCK_SHINGLES)), F.lit(1)).cast("int")
 
 
 def near_components(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
     """Per row of ``docs``: doc_id, key, n_shingles, component_id (smallest doc_id reachable)."""
     small_batches(docs.sparkSession)
+    pair = "a binary, b binary"
     sets = store(shingle_sets(docs, words), "sets")
     classes = sets.where("cls is not null").groupBy("cls").agg(
         F.min("key").alias("key"), F.any_value("n_shingles").alias("n_shingles"), F.any_value("registers").alias("registers")
     )
     classes = store(classes, "classes")
-    texts = docs.select(text_key().alias("key"), text_of().alias("text"))
     bands = F.transform(
         F.sequence(F.lit(0), F.lit(REGISTERS // BAND - 1)),
         lambda k: F.xxhash64(k, F.expr("registers").substr(k * F.lit(2 * BAND) + 1, F.lit(2 * BAND))),
@@ -280,37 +282,30 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     members = classes.select("cls", F.explode(bands).alias("bucket"))
     heads = members.groupBy("bucket").agg(F.min("cls").alias("b"), F.count(F.lit(1)).alias("members")).where("members > 1")
     heads = store(heads, "heads")
-    stars = members.join(heads.select("bucket", "b"), "bucket").where("cls != b").select(F.col("cls").alias("a"), "b")
-    links = store(_confirm(stars.distinct(), classes, texts, words, percent), "links")
+    shared = store(members.join(heads, "bucket"), "members")
+    stars = shared.where("cls != b").select(F.col("cls").alias("a"), "b").distinct()
+    stars = store(_estimate(stars, classes, percent), "stars")
+    joined = store(connected(stars), "joined")
+    # Buckets whose members don't hang together yet are compared in full, by registers.
+    rooted = shared.where("members > 2").join(joined.withColumnRenamed("node", "cls"), "cls", "left")
+    rooted = store(rooted.select("bucket", "cls", F.coalesce("root", "cls").alias("root")), "rooted")
+    mixed = rooted.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min("root").alias("low"), F.max("root").alias("high"))
+    mixed = mixed.where("low != high").select("bucket", _blocks(F.col("n"), F.lit(0)).alias("blocks"))
+    dealt = _blocked(rooted, mixed, "bucket").join(classes.select("cls", "n_shingles", "registers"), "cls")
+    near = _together(dealt, "bucket").mapInArrow(_clusters(percent), pair)
+    clusters = store(connected(stars.union(near)), "clusters").select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
+    # Clusters are compared on their full sets. Texts move once, by the same plan at every size.
+    wanted = store(clusters.join(classes.select("cls", "key", "n_shingles"), "cls"), "clustered")
+    sizes = wanted.groupBy("cluster").agg(_blocks(F.count(F.lit(1)), F.sum("n_shingles")).alias("blocks"))
+    texts = docs.select(text_key().alias("key"), text_of().alias("text"))
+    texts = texts.join(wanted.select("cls", "key").hint("merge"), "key")
+    # One text per class: rows with one key are equal, so any of them will do.
+    texts = store(texts.groupBy("key", "cls").agg(F.any_value("text").alias("text")).drop("key"), "texts")
+    dealt = _blocked(wanted.select("cluster", "cls"), sizes, "cluster").join(texts, "cls")
+    links = _together(dealt, "cluster").mapInArrow(_exact(words, percent), pair)
     roots = store(connected(links), "roots")
-    # Buckets that hold more than one component still: which members can be near, by registers.
-    rooted = (
-        members.join(heads.where("members > 2").select("bucket"), "bucket")
-        .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-        .withColumns({"root": F.coalesce("root", "cls"), "w": F.lit(0)})
-    )
-    rooted = store(rooted, "rooted")
-    dealt = _blocked(rooted.select("bucket", "cls"), _mixed(rooted, "bucket", "w"), "bucket")
-    dealt = dealt.join(classes.select("cls", "n_shingles", "registers"), "cls")
-    near = dealt.groupBy("bucket", "low", "high").applyInArrow(_clusters(percent), "a binary, b binary")
-    clusters = store(connected(near), "clusters")
-    # The clusters are compared on the full sets.
-    clustered = (
-        clusters.select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
-        .join(roots.withColumnRenamed("node", "cls"), "cls", "left")
-        .withColumn("root", F.coalesce("root", "cls"))
-        .join(classes.select("cls", "key", "n_shingles"), "cls")
-    )
-    clustered = store(clustered, "clustered")
-    dealt = _blocked(clustered, _mixed(clustered, "cluster", "n_shingles"), "cluster")
-    told = one_text(texts, clustered.join(_mixed(clustered, "cluster", "n_shingles"), "cluster").select("cls", "key"))
-    more = (
-        dealt.join(told, "cls")
-        .groupBy("cluster", "low", "high")
-        .applyInArrow(_exact(words, percent), "a binary, b binary")
-    )
-    roots = store(connected(links.union(more)), "roots")
-    placed = sets.join(roots.withColumnRenamed("node", "cls"), "cls", "left").withColumn("root", F.coalesce("root", "cls"))
+    placed = sets.drop("registers").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
+    placed = placed.withColumn("root", F.coalesce("root", "cls"))
     least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "root", "left").select(
         "doc_id", "key", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
