@@ -105,6 +105,11 @@ class Hasher:
         self.sums = np.zeros(len(values) + 1, np.uint64)
         np.cumsum(letters[values] * powers(base, len(values)), out=self.sums[1:])
 
+    def grams(self, size: int) -> np.ndarray:
+        """Hashes of all ranges of ``size`` bytes, in order."""
+        n = max(len(self.sums) - size, 0)
+        return mix((self.sums[size:] - self.sums[:n]) * powers(self.inverse, n) + np.uint64(size))
+
     def ranges(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         back = powers(self.inverse, len(self.sums))
         return mix((self.sums[ends] - self.sums[starts]) * back[starts] + (ends - starts).astype(np.uint64))

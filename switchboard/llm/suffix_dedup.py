@@ -66,9 +66,8 @@ class Runs:
         sizes = np.diff(offsets)
         if not (sizes >= length).any():
             return
-        places = np.arange(len(values) - GRAM + 1)
-        grams = self.hasher.ranges(places, places + GRAM)
-        grams = (grams >> np.uint64(32) << np.uint64(32)) | places.astype(np.uint64)
+        grams = self.hasher.grams(GRAM) & np.uint64(0xFFFFFFFF00000000)
+        grams |= np.arange(len(grams), dtype=np.uint64)
         anchor = (least_ahead(grams, length - GRAM + 1) & np.uint64(0xFFFFFFFF)).astype(np.int64)
         rows = np.flatnonzero(sizes >= length)
         count = sizes[rows] - length + 1
@@ -163,7 +162,7 @@ def sorted_suffixes(symbols: np.ndarray, depth: int) -> np.ndarray:
     key = np.zeros(n, np.uint64)
     for k in range(fits):
         key <<= bits
-        key[: n - k] |= symbols[k:].astype(np.uint64)
+        key[: max(n - k, 0)] |= symbols[k:].astype(np.uint64)
     have = fits
     while True:
         order = np.argsort(key)
@@ -173,7 +172,7 @@ def sorted_suffixes(symbols: np.ndarray, depth: int) -> np.ndarray:
         if have >= depth:
             return order
         key = rank * np.uint64(n + 1)
-        key[: n - have] += rank[have:] + np.uint64(1)
+        key[: max(n - have, 0)] += rank[have:] + np.uint64(1)
         have *= 2
 
 
@@ -246,8 +245,11 @@ def _transform(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     weight, least, at, single = name("n"), name("least"), name("at"), name("single")
     (left, begins), (right, ends) = as_bytes(block.column("left")), as_bytes(block.column("right"))
     a, b = np.diff(begins), np.diff(ends)
+    # A core with one context needs no sorting: its windows are as often there as the context.
+    lone = np.bincount(core)[core] == 1
+    made = [(np.flatnonzero(lone & (weight >= 2)), None)]
     for alone in (True, False):
-        pick = np.flatnonzero(single == alone)
+        pick = np.flatnonzero(~lone & (single == alone))
         if not len(pick):
             continue
         lengths = a[pick] + b[pick] + 2
@@ -263,11 +265,12 @@ def _transform(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _, dense = np.unique(symbols, return_inverse=True)
         repeated, first = _search(lengths, dense, 1 if alone else STEP, weight[pick], least[pick], at[pick])
         some = np.add.reduceat(repeated, close - lengths) > 0
-        marks = [
-            [np.packbits(bits[e - n : e]).tobytes() for e, n in zip(close[some], lengths[some], strict=True)]
-            for bits in (repeated, first)
-        ]
-        where = pa.array(pick[some])
+        spans = list(zip((close - lengths)[some], close[some], strict=True))
+        made.append((pick[some], [[np.packbits(bits[s:e]).tobytes() for s, e in spans] for bits in (repeated, first)]))
+    for pick, marks in made:
+        if marks is None:  # a one for each window
+            marks = [[np.packbits(np.ones(n, np.uint8)).tobytes() for n in np.where(single, 1, a + b + 2 - STEP)[pick]]] * 2
+        where = pa.array(pick)
         yield pa.RecordBatch.from_arrays(
             [*(block.column(c).take(where) for c in ("c1", "c2", "least", "at")), *(pa.array(m, pa.binary()) for m in marks)],
             ["c1", "c2", "least", "at", "repeated", "first"],
