@@ -6,15 +6,28 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from switchboard.llm import bpe, near_dedup, packing, quality, span_dedup, suffix_dedup, topk, toxicity
+from switchboard.llm import (
+    bpe,
+    fingerprints,
+    kd_shards,
+    near_dedup,
+    packing,
+    quality,
+    span_dedup,
+    suffix_dedup,
+    topk,
+    toxicity,
+)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
+        "op1_fingerprints": fingerprints.op1,
         "op2_suffix_dedup": suffix_dedup.op2,
         "op3_topk": topk.op3,
         "op4_quality": quality.op4,
         "op5_bpe": bpe.op5,
+        "op6_kd_shards": kd_shards.op6,
         "op7_span_dedup": span_dedup.op7,
         "op8_near_dedup": near_dedup.op8,
         "op9_packing": packing.op9,
