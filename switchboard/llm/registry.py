@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+import corpus_pipeline
 from switchboard.llm import (
     bpe,
     fingerprints,
@@ -32,6 +33,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": near_dedup.op8,
         "op9_packing": packing.op9,
         "op10_toxicity": toxicity.op10,
+        "pipeline": corpus_pipeline.run,
     }
 
 
