@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from switchboard.operators.skew import HOT_ROWS, spread_join
+from switchboard.operators.skew import spread_join
 from switchboard.session import store
 
 # monotonically_increasing_id() holds the partition above, the row in it below this bit.
@@ -42,9 +42,7 @@ def row_positions(df: DataFrame, order: Sequence[Column], out: str = "position")
     )
 
 
-def tie_ranks(
-    df: DataFrame, order: Sequence[Column], out: str = "rank", *, min_rows: int = HOT_ROWS
-) -> DataFrame:
+def tie_ranks(df: DataFrame, order: Sequence[Column], out: str = "rank") -> DataFrame:
     """Add ``<out>`` (rank), ``<out>_dense`` and ``<out>_total``; equal keys share a rank.
 
     Ranks are computed once per distinct key and joined back, so rows that all tie cost one
@@ -60,7 +58,7 @@ def tie_ranks(
         (F.col("_keys_before") + F.col("_in") + 1).alias(f"{out}_dense"),
         F.col("_total").alias(f"{out}_total"),
     )
-    return spread_join(df, placed, "_k", how="inner", min_rows=min_rows).drop("_k")
+    return spread_join(df, placed, "_k", how="inner").drop("_k")
 
 
 def percent_rank(rank: Column, total: Column) -> Column:
@@ -75,6 +73,15 @@ def ntile(tiles: int, position: Column, total: Column) -> Column:
     return F.when(position <= wide, F.floor((position - 1) / (size + 1)) + 1).otherwise(narrow).cast("long")
 
 
+def ordered_ranges(df: DataFrame, order: Sequence[Column]) -> DataFrame:
+    """``df`` written in ``order``: its range ``_range`` and its 0-based row ``_in`` there.
+
+    Rows that tie share a range and stand in any order.
+    """
+    key = [c.alias(f"_{n}") for n, c in enumerate(order)]
+    return _ranges(df.withColumn("_k", F.struct(*key))).drop("_k")
+
+
 def _ranges(keyed: DataFrame) -> DataFrame:
     """``keyed`` written in ``_k`` order: its range ``_range`` and its 0-based row ``_in`` there."""
     numbered = (

@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from switchboard.functions.text import surrogate, utc_text
 from switchboard.operators.dedup import greatest_by
-from switchboard.operators.skew import HOT_ROWS, hot_keys
 from switchboard.operators.slices import neighbour
 
 
@@ -19,8 +18,6 @@ def history(
     tracked: Sequence[str],
     ts: str,
     id_column: str,
-    *,
-    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Version history of ``keys`` from timed observations.
 
@@ -31,12 +28,11 @@ def history(
     same rows.
     """
     rows = observed.where(F.col(ts).isNotNull())
-    hot = hot_keys(rows, keys, min_rows=min_rows)
     rows = greatest_by(rows, [*keys, ts], [F.col(c) for c in tracked], tracked)
-    rows = neighbour(rows, keys, ts, [], tracked, "_before", hot=hot)
+    rows = neighbour(rows, keys, ts, [], tracked, "_before")
     values = F.struct(*tracked)
     starts = rows.where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(values)).drop("_before")
-    starts = neighbour(starts, keys, ts, [], [ts], "_next", following=True, hot=hot)
+    starts = neighbour(starts, keys, ts, [], [ts], "_next", following=True)
     return starts.select(
         surrogate(*[F.col(k) for k in keys], utc_text(F.col(ts))).alias(id_column),
         *keys,

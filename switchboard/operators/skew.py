@@ -1,72 +1,31 @@
-"""Joins that stay balanced when one key, or NULL, holds a large share of the rows."""
+"""Joins that stay balanced when one key, or NULL, holds a large share of the rows.
 
-from __future__ import annotations
+Adaptive execution measures the shuffled partitions of a join and splits those that are much
+larger than the others: on either side of an inner join, on the left side of a left join. The
+forms below arrange the joins so that the large side is one that can be split, at any size and
+without a list of hot keys.
+"""
 
-from collections.abc import Sequence
+from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# At most this many keys are treated as hot, the most frequent ones: any other key is then
-# outnumbered by each of them and holds less than 1 / HOT_LIMIT of all rows.
-HOT_LIMIT = 2000
-# Below this many rows a key fits one task anyway.
-HOT_ROWS = 1_000_000
-FAN = 64
-
-
-def hot_keys(df: DataFrame, keys: Sequence[str], *, min_rows: int = HOT_ROWS) -> DataFrame | None:
-    """The most frequent keys with at least ``min_rows`` rows, or None if there are none.
-
-    Found by one aggregation with partial counts over the key columns alone. The list has at
-    most `HOT_LIMIT` keys at any data size, which is what makes broadcasting it safe. NULL
-    keys are not listed. With None the caller uses the plain form of its computation.
-    """
-    known = df.select(*keys).where(_all_known(keys))
-    counts = known.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") >= min_rows)
-    top = counts.orderBy(F.col("_n").desc(), *keys).limit(HOT_LIMIT).select(*keys)
-    found = top.collect()
-    return df.sparkSession.createDataFrame(found, top.schema) if found else None
-
 
-def flag_hot(df: DataFrame, keys: Sequence[str], hot: DataFrame) -> DataFrame:
-    """``df`` with a boolean ``_hot``; the list of hot keys is bounded, see `HOT_LIMIT`."""
-    flags = F.broadcast(hot.select(*keys, F.lit(True).alias("_h")))
-    return df.join(flags, list(keys), "left").withColumn("_hot", F.col("_h").isNotNull()).drop("_h")
+def spread_join(left: DataFrame, right: DataFrame, key: str, *, how: str = "left") -> DataFrame:
+    """Equi join of two large tables on ``key``; left rows with a NULL key are spread."""
+    return lookup(left, right, key) if how == "left" else left.join(right, key, how)
 
 
-def spread_join(
-    left: DataFrame, right: DataFrame, key: str, *, how: str = "left", fan: int = FAN, min_rows: int = HOT_ROWS
-) -> DataFrame:
-    """Equi join of two large tables on ``key``, balanced when few keys hold many left rows.
-
-    Left rows of a hot key are spread over ``fan`` salts and the matching right rows are
-    copied once per salt; rows with a NULL key match nothing and are spread as well. All
-    other rows keep salt 0. Every pair of the plain join appears exactly once.
-    """
-    hot = hot_keys(left, [key], min_rows=min_rows)
-    if hot is None:
-        return lookup(left, right, key) if how == "left" else left.join(right, key, how)
-    salt = F.pmod(F.xxhash64(*left.columns), F.lit(fan)).cast("int")
-    lhs = flag_hot(left, [key], hot)
-    lhs = lhs.withColumn("_salt", F.when(F.col("_hot") | F.col(key).isNull(), salt).otherwise(0))
-    copies = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(fan - 1))).otherwise(F.array(F.lit(0)))
-    rhs = flag_hot(right.where(F.col(key).isNotNull()), [key], hot)
-    rhs = rhs.withColumn("_salt", F.explode(copies)).drop("_hot")
-    return lhs.drop("_hot").join(rhs, [key, "_salt"], how).drop("_salt")
-
-
-def join_many(left: DataFrame, right: DataFrame, key: str, *, min_rows: int = HOT_ROWS) -> DataFrame:
+def join_many(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """Left join to a table that may repeat a key very often.
 
-    Spark cannot split the right side of a left join. If ``right`` has hot keys the matches
-    are therefore found from its side, where a hot key can be spread, and left rows without
-    a match are added.
+    The right side of a left join cannot be split. The matches are therefore an inner join,
+    whose sides both can, and left rows without a match are added.
     """
-    if hot_keys(right, [key], min_rows=min_rows) is None:
-        return lookup(left, right, key)
-    matched = spread_join(right, left, key, how="inner", min_rows=min_rows)
-    alone = left.join(right.select(key).distinct(), key, "left_anti")
+    matched = left.join(right, key)
+    keys = right.select(key).distinct().withColumnRenamed(key, "_dim_key")
+    alone = lookup(left, keys.withColumn("_met", F.lit(True)), key, "_dim_key").where("_met is null").drop("_met")
     return matched.unionByName(alone, allowMissingColumns=True)
 
 
@@ -74,18 +33,11 @@ def lookup(fact: DataFrame, dim: DataFrame, key: str, dim_key: str | None = None
     """Left join of a fact to a dimension.
 
     Whether the dimension is broadcast is left to Spark, which checks its size. If it is
-    not, fact rows without a key are spread over salts instead of meeting in one task, and
-    adaptive execution splits the partitions of hot keys by their measured size.
+    not, fact rows without a key are spread by a hash of the row instead of meeting in one
+    task, and adaptive execution splits the partitions of hot keys by their measured size.
     """
-    spread = F.pmod(F.xxhash64(*[c for c in fact.columns if c != key]), F.lit(FAN)).cast("int")
-    lhs = fact.withColumn("_salt", F.when(F.col(key).isNull(), spread).otherwise(0))
-    rhs = dim.withColumnRenamed(dim_key or key, "_dim_key").withColumn("_dim_salt", F.lit(0))
+    spread = F.xxhash64(*[c for c in fact.columns if c != key])
+    lhs = fact.withColumn("_salt", F.when(F.col(key).isNull(), spread).otherwise(F.lit(0)))
+    rhs = dim.withColumnRenamed(dim_key or key, "_dim_key").withColumn("_dim_salt", F.lit(0).cast("long"))
     on = (lhs[key] == rhs["_dim_key"]) & (lhs["_salt"] == rhs["_dim_salt"])
     return lhs.join(rhs, on, "left").drop("_dim_key", "_dim_salt", "_salt")
-
-
-def _all_known(keys: Sequence[str]) -> Column:
-    cond = F.lit(True)
-    for k in keys:
-        cond = cond & F.col(k).isNotNull()
-    return cond

@@ -1,22 +1,19 @@
-"""Ordered per-key computations that split a hot key into time slices.
+"""Ordered per-key computations whose tasks don't depend on the size of any key.
 
-A window over ``PARTITION BY key`` puts every row of a key into one task. Here the hot keys
-(a bounded list) are cut into fixed slices of the time axis; each slice is its own window
-partition and a small table with one row per hot key and slice carries values across.
-All other keys use one plain window.
+A window over ``PARTITION BY key`` puts every row of a key, NULL included, into one task. Here rows are
+range-partitioned by key and time, so a key fills as many ranges as it needs; each range is its
+own window partition, and one row per range carries values across.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from itertools import accumulate
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from switchboard.operators.skew import HOT_ROWS, flag_hot, hot_keys
-
-SLICE_SECONDS = 3600
-FIND = "find"
+from switchboard.operators.ranking import ordered_ranges
 
 
 def neighbour(
@@ -28,42 +25,23 @@ def neighbour(
     out: str,
     *,
     following: bool = False,
-    hot: DataFrame | None | str = FIND,
-    slice_seconds: int = SLICE_SECONDS,
-    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Add ``out``: a struct of ``value`` from the previous (or following) row of the key.
 
     Order is ``ts``, then ``tiebreak``; ``ts`` must not be NULL. ``out`` is NULL at the end.
-    ``hot`` is the result of `hot_keys` if the caller has it already.
     """
-    step = F.lead if following else F.lag
-    payload = F.struct(*value)
-    if hot is FIND:
-        hot = hot_keys(df, keys, min_rows=min_rows)
-    if hot is None:
-        return df.withColumn(out, step(payload).over(Window.partitionBy(*keys).orderBy(ts, *tiebreak)))
-    rows = flag_hot(df, keys, hot).withColumn(
-        "_slice", F.when(F.col("_hot"), F.floor(F.unix_seconds(ts) / slice_seconds)).otherwise(F.lit(0))
-    )
-    inside = Window.partitionBy(*keys, "_slice").orderBy(ts, *tiebreak)
-    rows = rows.withColumn("_near", step(payload).over(inside))
-
-    nearest = F.min if following else F.max
-    edges = (
-        flag_hot(df, keys, hot)
-        .where("_hot")
-        .withColumn("_slice", F.floor(F.unix_seconds(ts) / slice_seconds))
-        .groupBy(*keys, "_slice")
-        .agg(nearest(F.struct(ts, *tiebreak, payload.alias("_v"))).alias("_edge"))
-    )
-    across = Window.partitionBy(*keys).orderBy("_slice")
-    carry = edges.select(*keys, "_slice", step(F.col("_edge._v")).over(across).alias("_carry"))
-    return (
-        rows.join(carry, [*keys, "_slice"], "left")
-        .withColumn(out, F.coalesce("_near", "_carry"))
-        .select(*df.columns, out)
-    )
+    step, edge = (F.lead, F.min_by) if following else (F.lag, F.max_by)
+    rows = ordered_ranges(df, [F.col(c) for c in (*keys, ts, *tiebreak)])
+    whole = F.struct(F.struct(*keys).alias("k"), F.struct(*value).alias("v"))
+    near = step(whole).over(Window.partitionBy("_range").orderBy("_in"))
+    # One row per range.
+    edges = rows.groupBy("_range").agg(edge(whole, "_in").alias("_carry"))
+    listed = sorted(edges.collect(), key=lambda r: r["_range"], reverse=following)
+    shifted = [(b["_range"], a["_carry"]) for a, b in zip([{"_carry": None}, *listed], listed, strict=False)]
+    carry = df.sparkSession.createDataFrame(shifted, edges.schema)
+    met = rows.withColumn("_near", near).join(F.broadcast(carry), "_range")
+    found = F.coalesce("_near", "_carry")
+    return met.withColumn(out, F.when(found["k"].eqNullSafe(F.struct(*keys)), found["v"])).select(*df.columns, out)
 
 
 def count_following(
@@ -75,91 +53,44 @@ def count_following(
     carry: Sequence[str],
     *,
     asks: str | None = None,
-    slice_seconds: int = SLICE_SECONDS,
-    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """For each row, the number of rows of the same key that start in ``(end, end + horizon]``.
 
-    This is the size of the interval self-join without its pairs: a difference of two running
-    counts along the key's time axis. The result has the key, ``end``, ``carry``, ``matches``
-    and ``rows``, the number of input rows an answer stands for. ``asks`` is an optional
-    boolean column: only rows where it holds are answered, all rows are counted. A NULL key
-    or NULL ``end`` matches nothing.
+    This is the size of the interval self-join without its pairs. Starts are points and a
+    question has two marks, at ``end`` and at the horizon. In the order of key and time, the
+    points up to the second mark less those up to the first are the answer, whatever comes
+    before, so one running count over the whole order serves all keys. The result has the
+    key, ``end``, ``carry``, ``matches`` and ``rows``, the number of input rows an answer stands for.
+    ``asks`` is an optional boolean column: only rows where it holds are answered, all rows are
+    counted. A NULL key or NULL ``end`` matches nothing.
     """
     micros = horizon_seconds * 1_000_000
     asked = F.coalesce(F.col(asks), F.lit(False)) if asks else F.lit(True)
     timed = df.select(key, *carry, asked.alias("_asks"), F.unix_micros(start).alias("_s"), F.unix_micros(end).alias("_t"))
     open_ended = F.col(key).isNull() | F.col("_t").isNull()
-    answers = timed.where(F.col("_asks") & open_ended).select(
+    nothing = timed.where(F.col("_asks") & open_ended).select(
         key, "_t", *carry, F.lit(1).cast("long").alias("rows"), F.lit(0).cast("long").alias("matches")
     )
     keyed = timed.where(F.col(key).isNotNull())
-    hot = hot_keys(keyed, [key], min_rows=min_rows)
-    if hot is None:
-        answers = answers.unionByName(_by_frames(keyed, key, carry, micros))
-    else:
-        keyed = flag_hot(keyed, [key], hot)
-        answers = answers.unionByName(_by_frames(keyed.where("not _hot"), key, carry, micros))
-        answers = answers.unionByName(_by_slices(keyed.where("_hot"), key, carry, micros, slice_seconds))
-    return answers.withColumn(end, F.timestamp_micros("_t")).drop("_t")
-
-
-def _by_frames(keyed: DataFrame, key: str, carry: Sequence[str], micros: int) -> DataFrame:
-    """Both running counts as growing RANGE frames of one window: one scan, one shuffle.
-
-    Every row becomes a point at its start and, if it asks, a question at its end.
-    """
-    blank = [F.when(F.lit(False), F.col(c)).alias(c) for c in carry]
-    point = F.struct(F.col("_s").alias("_at"), F.lit(1).alias("_w"), F.lit(0).alias("_q"), *blank)
-    question = F.struct(F.col("_t").alias("_at"), F.lit(0).alias("_w"), F.lit(1).alias("_q"), *carry)
-    marks = F.filter(
-        F.array(
-            F.when(F.col("_s").isNotNull(), point),
-            F.when(F.col("_asks") & F.col("_t").isNotNull(), question),
-        ),
-        lambda m: m.isNotNull(),
-    )
-    both = keyed.select(key, F.inline(marks))
-    w = Window.partitionBy(key).orderBy("_at")
-    seen = F.sum("_w").over(w.rangeBetween(Window.unboundedPreceding, 0))
-    ahead = F.sum("_w").over(w.rangeBetween(Window.unboundedPreceding, micros))
-    return (
-        both.withColumn("matches", ahead - seen)
-        .where("_q = 1")
-        .select(key, F.col("_at").alias("_t"), *carry, F.lit(1).cast("long").alias("rows"), "matches")
-    )
-
-
-def _by_slices(keyed: DataFrame, key: str, carry: Sequence[str], micros: int, slice_seconds: int) -> DataFrame:
-    """The same for hot keys: count inside a slice plus the total of the slices before it.
-
-    Rows that start together, and questions that agree, are merged before anything is shuffled
-    by time.
-    """
-    which = F.floor(F.col("_at") / (slice_seconds * 1_000_000))
-    points = keyed.where(F.col("_s").isNotNull()).groupBy(key, F.col("_s").alias("_at")).agg(
-        F.count(F.lit(1)).alias("_w")
-    )
-    points = points.withColumn("_slice", which)
+    # Rows that start together, and questions that agree, are merged before anything is shuffled by time.
+    points = keyed.where(F.col("_s").isNotNull()).groupBy(key, F.col("_s").alias("_at")).agg(F.count(F.lit(1)).alias("_w"))
     questions = keyed.where(F.col("_asks") & F.col("_t").isNotNull())
     questions = questions.groupBy(key, "_t", *carry).agg(F.count(F.lit(1)).alias("rows"))
     ends = F.array(
         F.struct(F.col("_t").alias("_at"), F.lit(-1).alias("_sign")),
         F.struct((F.col("_t") + micros).alias("_at"), F.lit(1).alias("_sign")),
     )
-    questions = questions.select("*", F.inline(ends)).withColumn("_slice", which)
-    totals = points.groupBy(key, "_slice").agg(F.sum("_w").alias("_in"))
-    # A question may fall into a slice without points, so list the slices of both sides.
-    listed = totals.unionByName(
-        questions.select(key, "_slice").distinct().withColumn("_in", F.lit(0).cast("long"))
-    ).groupBy(key, "_slice").agg(F.sum("_in").alias("_in"))
-    before = Window.partitionBy(key).orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = listed.select(key, "_slice", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"))
-
-    both = points.unionByName(questions, allowMissingColumns=True)
-    inside = Window.partitionBy(key, "_slice").orderBy("_at").rangeBetween(Window.unboundedPreceding, 0)
-    running = both.withColumn("_seen", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-    answered = running.where(F.col("rows").isNotNull()).join(offsets, [key, "_slice"], "left")
-    value = F.col("_sign") * (F.col("_seen") + F.coalesce("_before", F.lit(0)))
-    matches = F.sum(value).cast("long").alias("matches")
-    return answered.groupBy(key, "_t", *carry, "rows").agg(matches).select(key, "_t", *carry, "rows", "matches")
+    marks = points.unionByName(questions.select("*", F.inline(ends)), allowMissingColumns=True)
+    rows = ordered_ranges(marks, [F.col(key), F.col("_at"), F.col("rows").isNotNull()])
+    # One row per range.
+    totals = rows.groupBy("_range").agg(F.coalesce(F.sum("_w"), F.lit(0)).alias("_in_range"))
+    listed = sorted(totals.collect())
+    before = [0, *accumulate(r["_in_range"] for r in listed)]
+    offsets = [(r["_range"], b) for r, b in zip(listed, before, strict=False)]
+    offsets = df.sparkSession.createDataFrame(offsets, "_range long, _before long")
+    inside = Window.partitionBy("_range").orderBy("_in").rowsBetween(Window.unboundedPreceding, 0)
+    seen = rows.withColumn("_seen", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
+    answered = seen.where(F.col("rows").isNotNull()).join(F.broadcast(offsets), "_range")
+    matches = F.sum(F.col("_sign") * (F.col("_seen") + F.col("_before"))).cast("long").alias("matches")
+    answers = answered.groupBy(key, "_t", *carry, "rows").agg(matches).select(key, "_t", *carry, "rows", "matches")
+    return nothing.unionByName(answers).withColumn(end, F.timestamp_micros("_t")).drop("_t")

@@ -7,9 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.operators.skew import HOT_ROWS, flag_hot, hot_keys
-
-SLICE_MILLIS = 60_000
+from switchboard.operators.ranking import ordered_ranges
 
 
 def ordered_join(
@@ -21,21 +19,16 @@ def ordered_join(
     out: str,
     *,
     also: Sequence[Column] = (),
-    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Texts of a key in (``millis``, text) order, joined by ``sep``; NULL texts are skipped.
 
-    ``also`` lists further aggregates of the same groups, computed in the same pass. The rows
-    of a hot key are joined per minute first, so that no task gathers all of them; the second
-    step then only concatenates those parts.
+    ``also`` lists further aggregates of the same groups. Rows are range-partitioned by key and
+    order; each range joins its own part of a key, and one part per range is left to concatenate,
+    so no task gathers the rows of a key.
     """
-    hot = hot_keys(df, keys, min_rows=min_rows)
-    if hot is None:
-        return df.groupBy(*keys).agg(_join(millis, text, sep).alias(out), *also)
-    minute = F.when(F.col("_hot"), F.floor(F.col(millis) / SLICE_MILLIS)).otherwise(F.lit(0))
-    rows = flag_hot(df.select(*keys, millis, text), keys, hot).withColumn("_slice", minute)
-    parts = rows.groupBy(*keys, "_slice").agg(_join(millis, text, sep).alias("_part"))
-    whole = parts.groupBy(*keys).agg(_join("_slice", "_part", sep).alias(out))
+    rows = ordered_ranges(df.select(*keys, millis, text), [F.col(c) for c in (*keys, millis, text)])
+    parts = rows.groupBy(*keys, "_range").agg(_join("_in", text, sep).alias("_part"))
+    whole = parts.groupBy(*keys).agg(_join("_range", "_part", sep).alias(out))
     return same_groups(whole, df.groupBy(*keys).agg(*also), keys) if also else whole
 
 

@@ -10,7 +10,6 @@ from switchboard.functions.numbers import count_if, ratio, round_long
 from switchboard.functions.text import EMBEDDED_REF, call_driver, first_group
 from switchboard.operators import ranking
 from switchboard.operators.dedup import greatest_by
-from switchboard.operators.skew import HOT_ROWS
 from switchboard.operators.slices import count_following, neighbour
 from switchboard.operators.tree import root_paths
 from switchboard.plans.aggs import HANDLE_STATES, PROMOTER, READY
@@ -91,7 +90,7 @@ def call_driver_regex(call: DataFrame, disposition: DataFrame) -> DataFrame:
     )
 
 
-def repeat_contact_window(interaction: DataFrame, *, min_rows: int = HOT_ROWS) -> DataFrame:
+def repeat_contact_window(interaction: DataFrame) -> DataFrame:
     """Previous contact of the customer and whether it was within 72 hours.
 
     Contacts that start together are ordered by interaction id. Customers with very many
@@ -108,7 +107,6 @@ def repeat_contact_window(interaction: DataFrame, *, min_rows: int = HOT_ROWS) -
         ["interaction_id", "channel"],
         ["start_ts"],
         "_prev",
-        min_rows=min_rows,
     )
     timed = timed.withColumn("prev_contact_ts", F.col("_prev.start_ts")).drop("_prev")
     both = timed.unionByName(untimed, allowMissingColumns=True)
@@ -259,7 +257,6 @@ def first_contact_resolution(
     interaction: DataFrame,
     *,
     per_interaction: bool = False,
-    min_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Share of resolved interactions without another contact of the customer within 7 days.
 
@@ -276,7 +273,6 @@ def first_contact_resolution(
         FOLLOW_UP_SECONDS,
         ["date_key", "program_sk"],
         asks="resolved_flag",
-        min_rows=min_rows,
     )
     weight = F.col("rows") if per_interaction else F.col("rows") * F.greatest("matches", F.lit(1))
     grouped = counted.groupBy("date_key", "program_sk").agg(

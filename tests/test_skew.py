@@ -33,35 +33,22 @@ def contacts(spark):
     )
 
 
-def test_hot_keys_are_the_frequent_ones(contacts):
-    assert skew.hot_keys(contacts, ["customer_ref"], min_rows=900).collect() == [("hot",)]
-    assert skew.hot_keys(contacts, ["customer_ref"]) is None
-
-
-def test_hot_key_list_is_bounded(spark, monkeypatch):
-    monkeypatch.setattr(skew, "HOT_LIMIT", 5)
-    df = spark.range(1000).select((F.col("id") % 50).alias("k"))
-    assert skew.hot_keys(df, ["k"], min_rows=1).count() == 5
-
-
 @pytest.mark.parametrize("how", ["left", "inner"])
-@pytest.mark.parametrize("min_rows", [30, 10**9])
-def test_spread_join_equals_plain_join(spark, contacts, rows, how, min_rows):
+def test_spread_join_equals_plain_join(spark, contacts, rows, how):
     left = contacts.select("id", "customer_ref")
     right = spark.createDataFrame(
         [("hot", 1), ("hot", 2), ("c1", 3), ("c2", 4), (None, 5)], "customer_ref string, v long"
     )
     plain = left.join(right, "customer_ref", how).select("id", "customer_ref", "v")
-    spread = skew.spread_join(left, right, "customer_ref", how=how, min_rows=min_rows, fan=7)
+    spread = skew.spread_join(left, right, "customer_ref", how=how)
     assert rows(spread, "id", "customer_ref", "v") == rows(plain)
 
 
-@pytest.mark.parametrize("min_rows", [30, 10**9])
-def test_join_many_equals_plain_left_join(spark, contacts, rows, min_rows):
+def test_join_many_equals_plain_left_join(spark, contacts, rows):
     left = spark.createDataFrame([("hot", 1), ("c1", 3), ("nobody", 4), (None, 5)], "customer_ref string, v long")
     right = contacts.select("customer_ref", "id")
     plain = left.join(right, "customer_ref", "left").select("customer_ref", "v", "id")
-    assert rows(skew.join_many(left, right, "customer_ref", min_rows=min_rows), "customer_ref", "v", "id") == rows(plain)
+    assert rows(skew.join_many(left, right, "customer_ref"), "customer_ref", "v", "id") == rows(plain)
 
 
 def test_lookup_keeps_rows_without_a_key(spark, contacts, rows):
@@ -73,21 +60,19 @@ def test_lookup_keeps_rows_without_a_key(spark, contacts, rows):
 
 
 @pytest.mark.parametrize("following", [False, True])
-@pytest.mark.parametrize("min_rows", [60, 10**9])
-def test_neighbour_equals_plain_window(contacts, rows, following, min_rows):
-    df = contacts.where("customer_ref is not null").select("id", "customer_ref", "start_ts")
+def test_neighbour_equals_plain_window(contacts, rows, following):
+    df = contacts.select("id", "customer_ref", "start_ts")
     w = Window.partitionBy("customer_ref").orderBy("start_ts", "id")
     step = F.lead if following else F.lag
     plain = df.select("id", step("id").over(w), step("start_ts").over(w))
     out = slices.neighbour(
-        df, ["customer_ref"], "start_ts", ["id"], ["id", "start_ts"], "n", following=following, min_rows=min_rows
+        df, ["customer_ref"], "start_ts", ["id"], ["id", "start_ts"], "n", following=following
     )
     assert rows(out, "id", "n.id", "n.start_ts") == rows(plain)
 
 
-@pytest.mark.parametrize("min_rows", [60, 10**9])
 @pytest.mark.parametrize("per_interaction", [False, True])
-def test_first_contact_resolution_equals_interval_join(contacts, rows, min_rows, per_interaction):
+def test_first_contact_resolution_equals_interval_join(contacts, rows, per_interaction):
     f, r = contacts.alias("f"), contacts.alias("r")
     joined = f.where("resolved_flag").join(
         r,
@@ -100,18 +85,22 @@ def test_first_contact_resolution_equals_interval_join(contacts, rows, min_rows,
     brute = joined.groupBy("f.date_key", "f.program_sk").agg(
         total, F.count(F.when(F.col("r.id").isNull(), 1))
     )
-    out = views.first_contact_resolution(contacts, min_rows=min_rows, per_interaction=per_interaction)
+    out = views.first_contact_resolution(contacts, per_interaction=per_interaction)
     assert rows(out, "date_key", "program_sk", "resolved_interactions", "fcr_count") == rows(brute)
 
 
-def test_repeat_contacts_do_not_depend_on_slicing(contacts, rows):
-    assert rows(views.repeat_contact_window(contacts, min_rows=60)) == rows(views.repeat_contact_window(contacts))
+def test_repeat_contacts_do_not_depend_on_ranges(spark, contacts, rows):
+    whole = rows(views.repeat_contact_window(contacts))
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        assert rows(views.repeat_contact_window(contacts)) == whole
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
-@pytest.mark.parametrize("min_rows", [60, 10**9])
-def test_ordered_join_equals_sorted_concatenation(contacts, min_rows):
+def test_ordered_join_equals_sorted_concatenation(contacts):
     df = contacts.select("customer_ref", (F.unix_seconds("start_ts") * 1000).alias("ms"), "interaction_id")
-    out = textagg.ordered_join(df, ["customer_ref"], "ms", "interaction_id", ">", "path", min_rows=min_rows)
+    out = textagg.ordered_join(df, ["customer_ref"], "ms", "interaction_id", ">", "path")
     got = {r.customer_ref: r.path for r in out.collect()}
     want = {}
     for r in sorted(df.collect(), key=lambda r: (r.ms, r.interaction_id)):
@@ -119,12 +108,16 @@ def test_ordered_join_equals_sorted_concatenation(contacts, min_rows):
     assert got == {k: ">".join(v) for k, v in want.items()}
 
 
-def test_history_does_not_depend_on_slicing(contacts, rows):
+def test_history_does_not_depend_on_ranges(spark, contacts, rows):
     seen = contacts.where("customer_ref is not null").select(
         F.col("customer_ref").alias("agent_id"), (F.col("id") % 2).alias("unit"), F.col("start_ts").alias("seen_ts")
     )
-    plain = history(seen, ["agent_id"], ["unit"], "seen_ts", "h")
-    assert rows(history(seen, ["agent_id"], ["unit"], "seen_ts", "h", min_rows=60)) == rows(plain)
+    whole = rows(history(seen, ["agent_id"], ["unit"], "seen_ts", "h"))
+    spark.conf.set("spark.sql.shuffle.partitions", "23")
+    try:
+        assert rows(history(seen, ["agent_id"], ["unit"], "seen_ts", "h")) == whole
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 def _scores(spark):
@@ -141,12 +134,11 @@ def test_positions_and_tiles_equal_global_windows(spark, rows):
     assert rows(out, "id", "position", *tiles) == rows(plain)
 
 
-@pytest.mark.parametrize("min_rows", [10, 10**9])
-def test_tie_ranks_equal_global_windows(spark, rows, min_rows):
+def test_tie_ranks_equal_global_windows(spark, rows):
     df = _scores(spark)
     order = Window.orderBy(F.col("score").asc_nulls_first())
     plain = df.select("id", F.rank().over(order), F.dense_rank().over(order), F.percent_rank().over(order))
-    out = ranking.tie_ranks(df, ranking.ascending("score"), "r", min_rows=min_rows)
+    out = ranking.tie_ranks(df, ranking.ascending("score"), "r")
     pct = ranking.percent_rank(F.col("r"), F.col("r_total"))
     assert rows(out, "id", "r", "r_dense", pct) == rows(plain)
 
@@ -160,8 +152,7 @@ def test_ranking_of_nothing_and_of_one_row(spark):
     ]
 
 
-def test_billing_keeps_every_line_of_a_hot_invoice(spark, monkeypatch, rows):
-    monkeypatch.setattr(facts, "spread_join", lambda *a, **k: skew.spread_join(*a, **k, min_rows=10))
+def test_billing_keeps_every_line_of_a_hot_invoice(spark):
     day = dt.date(2024, 1, 15)
     line = spark.range(100).select(
         F.col("id").alias("invoice_line_id"),
