@@ -19,9 +19,12 @@ def ratio(num: Column, den: Column) -> Column:
 
 
 def exact_ratio(num: Column, den: Column, precision: int, scale: int) -> Column:
-    """Quotient of two integers as a decimal, rounded half away from zero once."""
+    """Quotient of two integers as a decimal, rounded half away from zero once.
+
+    NULL where it does not fit the declared type, so that one row cannot abort a load.
+    """
     den = F.nullif(den, F.lit(0)).cast(EXACT)
-    return (num.cast(EXACT) / den).cast(f"decimal({precision},{scale})")
+    return (num.cast(EXACT) / den).try_cast(f"decimal({precision},{scale})")
 
 
 def count_if(cond: Column) -> Column:

@@ -10,15 +10,23 @@ PATH_SEPARATOR = " > "
 
 
 def root_paths(
-    nodes: DataFrame, node: str, parent: str, name: str, keep: list[str], max_depth: int = MAX_DEPTH
+    nodes: DataFrame,
+    node: str,
+    parent: str,
+    name: str,
+    keep: list[str],
+    max_depth: int = MAX_DEPTH,
+    within: str | None = None,
 ) -> DataFrame:
     """Every node reachable from a root within ``max_depth`` steps, with root, depth and path.
 
     Each node climbs to its ancestors by ``max_depth`` equi joins on the parent id, all in one
     plan. A node that has not met a root by then is deeper or sits on a cycle and is left out,
-    as in the top-down recursion.
+    as in the top-down recursion. ``within`` names a kept column that holds separate trees apart,
+    such as the day of a snapshot.
     """
     up = nodes.select(
+        *([F.col(within).alias("_of")] if within else []),
         F.col(node).alias("_id"), F.col(parent).alias("_up"), F.col(name).alias("_name"), F.lit(1).alias("_hit")
     )
     walk = nodes.select(
@@ -29,7 +37,8 @@ def root_paths(
         F.col(name).alias("path_names"),
     )
     for _ in range(max_depth):
-        joined = walk.join(up, walk["_next"] == up["_id"], "left")
+        met = walk["_next"] == up["_id"]
+        joined = walk.join(up, met & walk[within].eqNullSafe(up["_of"]) if within else met, "left")
         climbed = F.col("_hit").isNotNull()
         walk = joined.select(
             *keep,

@@ -10,9 +10,12 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from switchboard.operators.merge import DELETED
 from switchboard.operators.sink import merge_partitions, read_table, replace_partition, replace_table
 from switchboard.plans import aggs, cleanse, dims, facts, history, merges, views
 from switchboard.schemas import TABLES, layer_of
@@ -235,7 +238,7 @@ VIEWS: dict[str, tuple[Callable[..., DataFrame], tuple[str, ...]]] = {
     ),
     "vw_program_margin": (
         views.program_margin,
-        ("agg_billing_monthly", "ods_timesheet", "ods_payroll_adjustment", "ods_contract_line"),
+        ("agg_billing_monthly", "ods_timesheet", "ods_payroll_adjustment", "ods_contract_line", "ods_contract"),
     ),
     "vw_client_executive_summary": (
         views.client_executive_summary,
@@ -267,7 +270,8 @@ def run_day(
     """Load every table of ``root`` for ``run_date``, in order; ``staging`` gives the raw inputs.
 
     Running a day again replaces what it wrote and leaves other days alone. Change feeds are
-    merged from extract date ``changes_from`` on: the run date in daily use, None for all.
+    merged from extract date ``changes_from`` on, the run date unless told otherwise. Keys that
+    they delete are remembered under ``tombstones``, so that an older change that comes later does not bring them back.
     Aggregates are refreshed for the run's period and for every period that late rows or
     changes of this run have touched.
     """
@@ -293,7 +297,8 @@ def run_day(
             value = step.partition_value(step.period(run_date)[0])
             written[step.target] = replace_partition(step.run(get, run_date), path, step.target, value)
         elif step.write == STATE and TABLES[step.target].partition:
-            written[step.target] = _merge(spark, step, get, run_date, path, changes_from)
+            graves = f"{root}/tombstones/{step.target}"
+            written[step.target] = _merge(spark, step, get, run_date, path, changes_from or run_date, graves)
         elif step.write == STATE:
             # The result reads the table it replaces, so it is written aside first.
             merged = store(step.run(get, run_date, get(step.target)), step.target)
@@ -308,15 +313,30 @@ def _merge(
     get: Callable[[str], DataFrame],
     run_date: dt.date,
     path: str,
-    changes_from: dt.date | None,
+    changes_from: dt.date,
+    graves: str,
 ) -> set:
     """Merge a change feed into a stored table: only the partitions it touches are rewritten."""
+    spec = TABLES[step.target]
+    feed = get(step.inputs[0])
+    feed = feed.where(F.col("extract_date") >= F.lit(changes_from))
+    keys = feed.select(*spec.pk).distinct()
+    known = T.StructType([*(f for f in spec.schema.fields if f.name in spec.pk), T.StructField("change_ms", T.LongType())])
+    try:
+        dead = spark.read.schema(known).parquet(graves)
+    except AnalysisException:  # nothing was deleted yet
+        dead = spark.createDataFrame([], known)
+    dead = dead.join(keys, list(spec.pk), "left_semi").withColumn("op", F.lit(DELETED))
+    feed = store(feed.unionByName(dead, allowMissingColumns=True), f"changes-{step.target}")
+    # Written first: a run that fails after this one writes the same deletes again, which changes nothing.
+    deletes = feed.where((F.col("op") == DELETED) & (F.col("change_ms").isNotNull())).groupBy(*spec.pk).agg(
+        F.max("change_ms").alias("change_ms")
+    )
+    deletes.write.mode("append").parquet(graves)
 
     def arriving(name: str) -> DataFrame:
-        rows = get(name)
-        return rows if changes_from is None else rows.where(F.col("extract_date") >= F.lit(changes_from))
+        return feed if name == step.inputs[0] else get(name)
 
-    keys = arriving(step.inputs[0]).select(*TABLES[step.target].pk).distinct()
     return merge_partitions(spark, path, step.target, keys, lambda stored: step.run(arriving, run_date, stored))
 
 

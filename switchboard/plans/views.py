@@ -23,7 +23,22 @@ LABOUR_RATE = 18.50
 OPEN_STATUSES = ("OPEN", "PENDING")
 
 
+def newest(df: DataFrame, keys: list[str], day: str = "snapshot_date") -> DataFrame:
+    """Rows of the newest snapshot of each key, or of the whole table without keys."""
+    last = df.groupBy(*keys).agg(F.max(day).alias("_last"))
+    if not keys:  # one row
+        return df.join(F.broadcast(last), F.col(day).eqNullSafe(F.col("_last"))).drop("_last")
+    last = last.withColumnsRenamed({k: f"_{k}" for k in keys})
+    same = F.col(day).eqNullSafe(F.col("_last"))
+    for k in keys:
+        same &= F.col(k).eqNullSafe(F.col(f"_{k}"))
+    return df.join(last, same).drop("_last", *[f"_{k}" for k in keys])
+
+
 def org_hierarchy(org_unit: DataFrame) -> DataFrame:
+    """Paths of all units, of the newest snapshot where the table holds several."""
+    if "snapshot_date" in org_unit.columns:
+        org_unit = newest(org_unit, [])
     keep = ["org_unit_id", "unit_code", "unit_name", "unit_type", "site_code"]
     rows = root_paths(org_unit, "org_unit_id", "parent_unit_id", "unit_name", keep)
     return rows.select(*keep, "root_unit_id", "depth", "path_names")
@@ -360,19 +375,22 @@ def program_margin(
     contract_line: DataFrame,
     contract: DataFrame | None = None,
     *,
-    by_program: bool = False,
+    by_program: bool = True,
 ) -> DataFrame:
     """Revenue less estimated labour and payroll adjustments, with committed minimums.
 
-    The literal query joins labour on the month alone and then puts every contract's minimum
-    next to every row, so its result has rows x programs x contracts rows by definition; use
-    it on the small inputs it was made for. ``by_program`` joins labour on program and month
-    and adds up the minimums of the program's contracts: one row per billing row, at any size.
+    Labour is joined on program and month, and the minimums of the program's contracts are added
+    up, each as of its newest snapshot: one row per billing row, at any size. The literal query
+    (``by_program=False``) joins labour on the month alone and then puts every contract's minimum next to
+    every row, so its result has rows x programs x contracts rows by definition; use it on the
+    small inputs it was made for.
     """
     labour = timesheet.groupBy("program_id", F.col("work_month").alias("period_month")).agg(
         F.sum("billable_minutes").alias("minutes")
     )
     adjustments = adjustment.groupBy("period_month").agg(F.sum("amount").alias("total_adjustments"))
+    if by_program:
+        contract_line, contract = newest(contract_line, ["contract_id"]), newest(contract, ["contract_id"])
     minimums = contract_line.groupBy("contract_id").agg(F.sum("min_commit").alias("committed_min"))
     if by_program:
         labour = labour.withColumnRenamed("program_id", "program_sk")

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from switchboard.functions import text, time
 from switchboard.functions.numbers import exact_ratio, round_long
+from switchboard.operators import tree
 from switchboard.plans import aggs, cleanse, dims, facts, history, merges, views
 from switchboard.schemas import TABLES
+from switchboard.sources import feeds
 
 DAY = dt.date(2024, 1, 15)
 MIDNIGHT = 1705276800  # DAY 00:00 UTC
@@ -463,18 +465,45 @@ def test_margin_literal_form_is_the_product(spark):
     labour = table(spark, "ods_timesheet", *[{"program_id": p, "billable_minutes": m, "work_month": month} for p, m in ((1, 60), (1, 60), (2, 30))])
     adjustments = table(spark, "ods_payroll_adjustment", {"amount": Decimal(5), "period_month": month})
     lines = table(spark, "ods_contract_line", *[{"contract_id": c, "min_commit": Decimal(m)} for c, m in ((7, 1), (7, 2), (8, 4))])
-    out = views.program_margin(billing, labour, adjustments, lines)
+    out = views.program_margin(billing, labour, adjustments, lines, by_program=False)
     got = sorted((r.program_sk, r.est_labor_cost, r.est_margin, r.committed_min) for r in out.collect())
     assert got == [
         (1, 9.25, 75.75, Decimal(3)), (1, 9.25, 75.75, Decimal(4)), (1, 37.0, 48.0, Decimal(3)), (1, 37.0, 48.0, Decimal(4)),
         (2, None, None, Decimal(3)), (2, None, None, Decimal(4)),
     ]
-    assert views.program_margin(billing, labour, adjustments, lines.where("false")).count() == 3
+    assert views.program_margin(billing, labour, adjustments, lines.where("false"), by_program=False).count() == 3
     contracts = table(spark, "ods_contract", {"contract_id": 7, "program_id": 1}, {"contract_id": 8, "program_id": 1})
-    single = views.program_margin(billing, labour, adjustments, lines, contracts, by_program=True)
+    single = views.program_margin(billing, labour, adjustments, lines, contracts)
     assert sorted((r.program_sk, r.est_margin, r.committed_min) for r in single.collect()) == [(1, 48.0, Decimal(7)), (2, None, None)]
 
 
+def test_margin_counts_each_minimum_once(spark):
+    """Three days of one contract line with minimum 7 commit 7."""
+    days = [dt.date(2024, 1, d) for d in (1, 2, 3)]
+    billing = table(spark, "agg_billing_monthly", {"program_sk": 1, "net_revenue": Decimal(90), "period_month": days[0]})
+    lines = table(spark, "ods_contract_line", *[{"contract_id": 7, "min_commit": Decimal(7), "snapshot_date": d} for d in days])
+    contracts = table(spark, "ods_contract", *[{"contract_id": 7, "program_id": 1, "snapshot_date": d} for d in days])
+    nothing = [table(spark, n) for n in ("ods_timesheet", "ods_payroll_adjustment")]
+    assert [r.committed_min for r in views.program_margin(billing, *nothing, lines, contracts).collect()] == [Decimal(7)]
+
+
+def test_units_of_several_snapshots_climb_once(spark):
+    rows = [{"org_unit_id": i, "parent_unit_id": i - 1 if i > 1 else None, "unit_name": f"n{i}", "snapshot_date": dt.date(2024, 1, d)}
+            for d in (1, 2, 3) for i in range(1, 5)]
+    units = table(spark, "ods_org_unit", *rows)
+    assert views.org_hierarchy(units).count() == 4
+    every = tree.root_paths(units, "org_unit_id", "parent_unit_id", "unit_name", ["org_unit_id", "snapshot_date"], within="snapshot_date")
+    assert every.count() == 12
+
+
+def test_values_that_do_not_fit_are_no_reason_to_abort(spark):
+    one = spark.createDataFrame([(-450, 30)], "gap long, paid long")
+    assert one.select(exact_ratio(F.col("gap") * 100, F.col("paid"), 5, 2).alias("r")).first().r is None
+    lines = spark.createDataFrame([("9" * 23 + "|A-1|MENU:x;KEY:1|t",), ("5|A-1|MENU:x;KEY:1|t",)], "value string")
+    good, bad = feeds.parse_ivr(lines, "value")
+    assert [r.event_ms for r in good.collect()] == [5] and bad.count() == 1
+
+
 def test_call_driver_classes(spark):
     cases = {
         "Invoice and password": ("BILLING", None),
