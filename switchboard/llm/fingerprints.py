@@ -25,17 +25,18 @@ from pyspark.sql import functions as F
 
 from switchboard.llm.frames import table, text_of
 from switchboard.operators.ranking import row_positions
+from switchboard.session import store
 
 WIDTH = 128
-PIECE = 48
+PIECE = 24
 LANES = WIDTH // 2  # sums of two components each
 _MASK = 1 | 1 << 32
 _MODULUS = 1 << 16
 
 
 def elements(text: Column) -> Column:
-    """Paragraphs and their pieces."""
-    pieces = F.regexp_extract_all(text, F.lit(rf"[^.!?\n]{{0,{PIECE}}}[.!?\n]+|[^.!?\n]{{1,{PIECE}}}"), F.lit(0))
+    """Paragraphs and their pieces; line breaks only part them, so their order leaves no trace."""
+    pieces = F.regexp_extract_all(text, F.lit(rf"[^.!?\n]{{0,{PIECE}}}[.!?]+|[^.!?\n]{{1,{PIECE}}}"), F.lit(0))
     return F.concat(F.split(text, "\n"), pieces)
 
 
@@ -64,29 +65,40 @@ def combined(a: Column, b: Column, sign: int = 1) -> Column:
 
 def text_form(vector: Column) -> Column:
     """The vector as hexadecimal text."""
-    part = lambda k: F.shiftleft(vector[k], 16 * (k % 4))
+    part = lambda k: vector[k].cast("long").bitwiseAND(F.lit(_MODULUS - 1))
     groups = []
     for at in range(0, WIDTH, 4):
         packed = part(at)
-        for k in range(at + 1, at + 4):
-            packed = packed.bitwiseOR(part(k))
+        for k in range(1, 4):
+            packed = packed.bitwiseOR(F.shiftleft(part(at + k), 16 * k))
         groups.append(F.lpad(F.hex(packed), 16, "0"))
-    return F.concat(*groups, F.lpad(F.hex(vector[WIDTH]), 4, "0"))
+    return F.concat(*groups, F.lpad(F.hex(part(WIDTH)), 4, "0"))
+
+
+def _centred(x: Column) -> Column:
+    """A component between -2**15 and 2**15."""
+    return F.pmod(x + _MODULUS // 2, F.lit(_MODULUS)) - _MODULUS // 2
+
+
+def short_form(vector: Column) -> Column:
+    """The vector in two bytes per component."""
+    return F.transform(vector, lambda x: _centred(x).cast("smallint"))
 
 
 def _square(vector: Column) -> Column:
-    """Mean square of 2 * component - number, with components taken between -2**15 and 2**15."""
-    centred = F.transform(vector, lambda x: x - F.when(x >= _MODULUS // 2, _MODULUS).otherwise(0))
-    number = F.element_at(centred, -1)
-    total = F.aggregate(
-        F.slice(centred, 1, WIDTH), F.lit(0.0), lambda a, x: a + F.pow((2 * x - number).cast("double"), F.lit(2.0))
-    )
-    return total / WIDTH
+    """Mean square of 2 * component - number, from the sums of components and of their squares."""
+    components = F.slice(vector, 1, WIDTH)
+    zero = F.lit(0).cast("long")
+    first = F.aggregate(components, zero, lambda a, x: a + _centred(x.cast("long")))
+    second = F.aggregate(components, zero, lambda a, x: a + _centred(x.cast("long")) * _centred(x.cast("long")))
+    number = _centred(F.element_at(vector, -1).cast("long"))
+    return (4 * second - 4 * number * first) / F.lit(WIDTH) + number * number
 
 
 def likeness(a: Column, b: Column) -> Column:
     both = _square(a) + _square(b)
-    unlike = _square(combined(a, b, -1)) / F.nullif(both, F.lit(0.0))
+    apart = F.zip_with(a, b, lambda x, y: x.cast("long") - y.cast("long"))
+    unlike = _square(apart) / F.nullif(both, F.lit(0.0))
     return F.when(a == b, F.lit(1.0)).otherwise(F.greatest(F.lit(0.0), 1 - F.coalesce(unlike, F.lit(1.0))))
 
 
@@ -127,6 +139,10 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     made = sums(rows, *keys, "which")
     own, edited = (F.max(F.when(F.col("which") == k, F.col("vector"))) for k in (0, 1))
     made = made.groupBy(*keys).agg(own.alias("vector"), edited.alias("edited_vector"))
+    # Written once, two bytes per component: the next document's vector comes from the same rows.
+    near = likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited")
+    short = [short_form(F.col(c)).alias(c) for c in ("vector", "edited_vector")]
+    made = store(made.select(*keys, *short, near), "vectors")
     following = made.where("row = 1 and doc_id is not null").select(
         F.col("doc_id").alias("next_id"), F.col("vector").alias("next_vector")
     )
@@ -136,7 +152,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.lower(F.hex("edited_sha")).alias("edited_sha256"),
         text_form(F.col("vector")).alias("fingerprint"),
         text_form(F.col("edited_vector")).alias("edited_fingerprint"),
-        likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"),
+        "near_edited",
         F.when(F.col("next_id").isNotNull(), likeness(F.col("vector"), F.col("next_vector"))).alias("near_next"),
     )
 

@@ -267,7 +267,8 @@ def _blocks(members, shingles_):
 
 
 def near_components(docs: DataFrame, words: int = 3, percent: int = 85) -> DataFrame:
-    """Per row of ``docs``: doc_id, key, n_shingles, component_id (smallest doc_id reachable)."""
+    """Per row of ``docs``: doc_id, key, n_shingles, root (one per component, null without words)
+    and component_id (smallest doc_id reachable)."""
     small_batches(docs.sparkSession)
     pair = "a binary, b binary"
     sets = store(shingle_sets(docs, words), "sets")
@@ -308,7 +309,11 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     placed = placed.withColumn("root", F.coalesce("root", "cls"))
     least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
     return placed.join(least, "root", "left").select(
-        "doc_id", "key", "n_shingles", F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id")
+        "doc_id",
+        "key",
+        "n_shingles",
+        "root",
+        F.when(F.col("root").isNull(), F.col("doc_id")).otherwise(F.col("least")).alias("component_id"),
     )
 
 
@@ -318,12 +323,11 @@ def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     Texts without words are all kept. Rows that repeat the kept document, id and text, go too.
     """
     found = near_components(docs, words, percent)
-    kept = found.where(F.col("n_shingles").eqNullSafe(0) | F.col("doc_id").eqNullSafe(F.col("component_id")))
-    kept = kept.groupBy("component_id", F.when(F.col("n_shingles") == 0, F.col("doc_id")).alias("own")).agg(
-        F.min(F.struct("doc_id", "key")).alias("kept")
-    )
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("kept")
+    kept = found.where("root is not null").groupBy("root").agg(first).select("kept.doc_id", "kept.key")
+    kept = kept.union(found.where("root is null").select("doc_id", "key").distinct())
     own, key = spare(docs, "_id", "_key")
-    kept = kept.select(F.col("kept.doc_id").alias(own), F.col("kept.key").alias(key))
+    kept = kept.select(F.col("doc_id").alias(own), F.col("key").alias(key))
     rows = docs.withColumns({own: F.col("doc_id").cast("long"), key: text_key()})
     same = rows[own].eqNullSafe(kept[own]) & (rows[key] == kept[key])
     return rows.join(kept, same, "left_semi").dropDuplicates([own, key]).drop(own, key)
