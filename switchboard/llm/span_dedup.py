@@ -123,7 +123,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
     spans = store(rows.select("doc_id", "tag", "text").mapInArrow(_spans, schema), "spans")
     place = F.struct("doc_id", "tag", "place")
     firsts = spans.groupBy("h1", "h2").agg(F.min(place).alias("first"), F.max(place).alias("last"))
-    firsts = firsts.where("first != last").select("h1", "h2", "first")
+    # Written first, so that the join meets two plain shuffles and a span with many places can be split.
+    firsts = store(firsts.where("first != last").select("h1", "h2", "first"), "firsts")
     later = spans.join(firsts, ["h1", "h2"]).where(place != F.col("first"))
     marks = later.groupBy("doc_id", "tag").agg(F.collect_set(F.struct("place", "size")).alias("marks"))
     told = rows.join(store(marks, "marks"), ["doc_id", "tag"], "left")

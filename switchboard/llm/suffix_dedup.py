@@ -344,7 +344,8 @@ def repeated_bytes(docs: DataFrame, length: int = 400, *, keep_first: bool = Fal
     cores = store(rows.select("key", "text").mapInArrow(_cores(length), "core long, key binary, at long"), "cores")
     place = F.xxhash64("key", "at")
     twice = cores.groupBy("core").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n"))
-    twice = twice.where("a != b").select("core", (F.col("n") > HOT).alias("hot"))
+    # Written first, so that the join meets two plain shuffles and a core with many places can be split.
+    twice = store(twice.where("a != b").select("core", (F.col("n") > HOT).alias("hot")), "twice")
     flags = cores.join(twice, "core").groupBy("key").agg(F.collect_set(F.struct("at", "hot")).alias("flags"))
     # One text per key: rows with one key are equal, so any of them will do.
     texts = rows.groupBy("key").agg(F.any_value("text").alias("text"), F.min("doc_id").alias("least"))

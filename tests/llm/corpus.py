@@ -1,11 +1,10 @@
-import os
+"""Inputs shared by the tests of the corpus operators."""
+
 import random
-import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
-
+FOLDER = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, _key string, score string"
 
 

@@ -2,6 +2,7 @@
 
 import brute
 import pytest
+from corpus import documents, nothing, odd, texts  # noqa: F401
 from pyspark.sql import functions as F
 
 from switchboard.llm import components, near_dedup, span_dedup, suffix_dedup

@@ -5,6 +5,7 @@ import zlib
 import numpy as np
 import pyarrow as pa
 import pytest
+from corpus import nothing, odd  # noqa: F401
 from pyspark.sql import functions as F
 
 from switchboard.llm import quality, toxicity

@@ -1,7 +1,7 @@
 """The registered queries and the pipeline, stage by stage."""
 
 import brute
-from conftest import FOLDER
+from corpus import FOLDER
 
 import __spark_entry__
 import corpus_pipeline

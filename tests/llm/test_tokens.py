@@ -6,6 +6,7 @@ import zlib
 
 import numpy as np
 import pytest
+from corpus import documents, nothing, odd, texts  # noqa: F401
 from tokenizers import Tokenizer
 
 from switchboard.llm import bpe, packing
