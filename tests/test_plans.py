@@ -85,10 +85,12 @@ def test_states_are_reduced_before_the_lookups(wh):
     assert "Aggregate [agent_id" in below
 
 
-def test_first_contacts_scan_and_shuffle_once(spark, wh):
+def test_first_contacts_need_no_pairs_and_no_task_per_customer(spark, wh):
     plan = physical(views.first_contact_resolution(wh.get("fact_interaction")))
     assert plan.count("hashpartitioning(customer_ref") == 1
-    assert "SortMergeJoin" not in plan and "BroadcastHashJoin" not in plan
+    # The only join adds one row per range; windows run within ranges.
+    assert "SortMergeJoin" not in plan and plan.count("BroadcastHashJoin [") == plan.count("BroadcastHashJoin [_range")
+    assert "windowspecdefinition(customer_ref" not in plan and "windowspecdefinition(_range" in plan
 
 
 def test_runtime_settings(spark):
