@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from switchboard.llm.frames import Hasher, as_bytes, chunks, lowered, small_batches, spare, table, word_spans
 
 TERMS, SHAPES, PAGE = 512, 12, 256
-PER_LABEL, POOL = 2000, 2000
+PER_LABEL, POOL = 1500, 1500
 ROUNDS, SHARE = 4, 0.1
 KEEP = 0.5
 PAGE_COLUMNS = ("source", "lang", "n_chars")
