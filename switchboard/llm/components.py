@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from switchboard.session import store
@@ -27,8 +27,11 @@ def connected(links: DataFrame) -> DataFrame:
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         joined = large.join(least, "a")
         small = joined.where("b != m").select(F.col("b").alias("a"), F.col("m").alias("b")).union(least.select("a", F.col("m").alias("b")))
-        edges = store(small.where("a != b").distinct(), "links")
-        now = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
+        # Counted and summed up while they are written.
+        seen = Observation()
+        sums = (F.count(F.lit(1)).alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x"))
+        edges = store(small.where("a != b").distinct().observe(seen, *sums), "links")
+        now = seen.get
         if now == before:
             break
         before = now
