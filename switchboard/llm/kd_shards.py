@@ -59,8 +59,9 @@ class Cut:
         return known & F.col(self.column).between(self.low, self.high)
 
     def bin(self) -> Column:
-        offset = F.col(self.column).cast("decimal(38,0)") - F.lit(self.low).cast("decimal(38,0)")
-        return F.floor(offset / F.lit(self.width).cast("decimal(38,0)")).cast("int")
+        """Whole division of decimals: exact over the range of a long."""
+        number = lambda x: f"cast({x} as decimal(20,0))"
+        return F.expr(f"cast(({number(self.column)} - {number(self.low)}) div {number(self.width)} as int)")
 
     def left(self) -> Column:
         """Rows before the cut: less than (fixed..., low) in the order."""
@@ -117,7 +118,8 @@ def _cuts(rows: DataFrame, whole: dict[str, tuple[int, int]], nodes: dict) -> di
         )
         for node, cut in open_.items():
             at = cut.before
-            for found in sorted((s.bin, s.bytes, s.rows) for s in sums if s.node == node):
+            mine = sorted((s.bin, s.bytes, s.rows) for s in sums if s.node == node)
+            for found in mine:
                 if at + found[1] >= cut.half:
                     break
                 at += found[1]
