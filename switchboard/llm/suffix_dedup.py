@@ -17,8 +17,8 @@ the transform are extended to the left breadth first, which gives the common pre
 neighbouring suffixes by increasing value, and the extension stops at the window's length:
 neighbours without a value there share a whole window. Groups of weight two or more are repeats.
 
-A core with more than ``HOT`` places would make a large block; its windows are dealt one by one,
-each a core by itself. Equal texts of at least ``length`` bytes are one text with a count; each of
+A core with many places would make a large block. Its runs are cut finer (``STEPS``), with longer cores and
+shorter sides; at the finest step each window is a core by itself, and its places merge into one row. Equal texts of at least ``length`` bytes are one text with a count; each of
 its bytes is a repeat by definition. Null texts are empty; texts shorter than ``length`` and empty
 tables lose nothing; rows that repeat a doc_id are places like any others.
 """
@@ -38,7 +38,8 @@ from switchboard.session import store
 
 GRAM = 16
 STEP = 128
-HOT = 4000
+# The step of a run, and the number of places of its core up to which it is used; the last is for all others.
+STEPS = ((STEP, 4000), (16, 60_000), (1, None))
 CHUNK = 1 << 20
 # Symbols of one transformed block.
 BLOCK = 1 << 20
@@ -121,16 +122,21 @@ def _contexts(length: int, whole: bool):
             flags = part.column("flags")
             told = flags.flatten()
             row = np.repeat(np.arange(part.num_rows), np.diff(flags.offsets.to_numpy()))
-            marked = (row << 33) + told.field("at").to_numpy() * 2 + told.field("hot").to_numpy(zero_copy_only=False)
-            mine = (runs.row << 33) + (runs.first - runs.offsets[runs.row]) * 2
-            cold, hot = np.isin(mine, marked), np.isin(mine + 1, marked)
-            width = runs.last[hot] - runs.first[hot] + 1
-            single = np.arange(width.sum()) + np.repeat(runs.first[hot] - np.cumsum(width) + width, width)
-            first = np.concatenate([runs.first[cold], single])
-            last = np.concatenate([runs.last[cold], single])
-            begin = np.concatenate([runs.core[cold], single])
-            end = np.concatenate([runs.core[cold] + length - STEP + 1, single + length])
-            row = np.concatenate([runs.row[cold], np.repeat(runs.row[hot], width)])
+            marked = (row << 33) + told.field("at").to_numpy()
+            mine = (runs.row << 33) + runs.first - runs.offsets[runs.row]
+            order = np.argsort(marked)
+            found = np.minimum(np.searchsorted(marked[order], mine), max(len(marked) - 1, 0))
+            hit = marked[order][found] == mine if len(marked) else np.zeros(len(mine), bool)
+            step = told.field("step").to_numpy()[order][found[hit]].astype(np.int64)
+            first, last, core, row = (x[hit] for x in (runs.first, runs.last, runs.core, runs.row))
+            # Each run is cut into its parts of ``step`` window starts.
+            low, high = (core - last) // step, (core - first) // step
+            count = high - low + 1
+            of = np.repeat(np.arange(len(step)), count)
+            part_ = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[of]
+            step, row, begin = step[of], row[of], core[of] - step[of] * part_
+            first, last = np.maximum(first[of], begin - step + 1), np.minimum(last[of], begin)
+            end = begin + length - step + 1
             stop = last + length
             second = Hasher(runs.values, 0xD1342543DE82EF95, 2)
             ids = []
@@ -142,10 +148,10 @@ def _contexts(length: int, whole: bool):
             columns += [part.column("least").take(pa.array(row)), pa.array(first - runs.offsets[row])]
             if whole:
                 columns += [_cut(runs.values, first, begin), _cut(runs.values, end, stop)]
-                columns += [pa.array(end - begin == length)]
+                columns += [pa.array(step)]
             else:
                 columns += [part.column("key").take(pa.array(row))]
-            yield pa.RecordBatch.from_arrays(columns, [*CONTEXT, *(["left", "right", "single"] if whole else ["key"])])
+            yield pa.RecordBatch.from_arrays(columns, [*CONTEXT, *(["left", "right", "step"] if whole else ["key"])])
 
     return run
 
@@ -242,14 +248,14 @@ def _transform(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     new = np.ones(block.num_rows, bool)
     new[1:] = (np.diff(name("core1")) != 0) | (np.diff(name("core2")) != 0)
     core = np.cumsum(new) - 1
-    weight, least, at, single = name("n"), name("least"), name("at"), name("single")
+    weight, least, at, steps = name("n"), name("least"), name("at"), name("step")
     (left, begins), (right, ends) = as_bytes(block.column("left")), as_bytes(block.column("right"))
     a, b = np.diff(begins), np.diff(ends)
     # A core with one context needs no sorting: its windows are as often there as the context.
     lone = np.bincount(core)[core] == 1
     made = [(np.flatnonzero(lone & (weight >= 2)), None)]
-    for alone in (True, False):
-        pick = np.flatnonzero(~lone & (single == alone))
+    for step_ in np.unique(steps):
+        pick = np.flatnonzero(~lone & (steps == step_))
         if not len(pick):
             continue
         lengths = a[pick] + b[pick] + 2
@@ -263,13 +269,13 @@ def _transform(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
             symbols[np.repeat(to, size) + step] = values[np.repeat(places[:-1][pick], size) + step].astype(np.int64) + 1
         _, dense = np.unique(symbols, return_inverse=True)
-        repeated, first = _search(lengths, dense, 1 if alone else STEP, weight[pick], least[pick], at[pick])
+        repeated, first = _search(lengths, dense, int(step_), weight[pick], least[pick], at[pick])
         some = np.add.reduceat(repeated, close - lengths) > 0
         spans = list(zip((close - lengths)[some], close[some], strict=True))
         made.append((pick[some], [[np.packbits(bits[s:e]).tobytes() for s, e in spans] for bits in (repeated, first)]))
     for pick, marks in made:
         if marks is None:  # a one for each window
-            marks = [[np.packbits(np.ones(n, np.uint8)).tobytes() for n in np.where(single, 1, a + b + 2 - STEP)[pick]]] * 2
+            marks = [[np.packbits(np.ones(n, np.uint8)).tobytes() for n in (a + b + 2 - steps)[pick]]] * 2
         where = pa.array(pick)
         yield pa.RecordBatch.from_arrays(
             [*(block.column(c).take(where) for c in ("c1", "c2", "least", "at")), *(pa.array(m, pa.binary()) for m in marks)],
@@ -331,6 +337,13 @@ def _removed(length: int, keep_first: bool, text: bool):
     return run
 
 
+def _step(places):
+    out = F.lit(STEPS[-1][0])
+    for step, most in STEPS[-2::-1]:
+        out = F.when(places <= most, step).otherwise(out)
+    return out.cast("int")
+
+
 def repeated_bytes(docs: DataFrame, length: int = 400, *, keep_first: bool = False, text: bool = False) -> DataFrame:
     """Per distinct text that loses bytes: key, n_removed, n_spans and ``kept``: SHA-256 or the text.
 
@@ -345,18 +358,18 @@ def repeated_bytes(docs: DataFrame, length: int = 400, *, keep_first: bool = Fal
     place = F.xxhash64("key", "at")
     twice = cores.groupBy("core").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n"))
     # Written first, so that the join meets two plain shuffles and a core with many places can be split.
-    twice = store(twice.where("a != b").select("core", (F.col("n") > HOT).alias("hot")), "twice")
-    flags = cores.join(twice, "core").groupBy("key").agg(F.collect_set(F.struct("at", "hot")).alias("flags"))
+    twice = store(twice.where("a != b").select("core", _step(F.col("n")).alias("step")), "twice")
+    flags = cores.join(twice, "core").groupBy("key").agg(F.collect_set(F.struct("at", "step")).alias("flags"))
     # One text per key: rows with one key are equal, so any of them will do.
     texts = rows.groupBy("key").agg(F.any_value("text").alias("text"), F.min("doc_id").alias("least"))
     texts = store(texts.join(flags, "key").withColumn("least", F.coalesce("least", F.lit(-1))), "flagged")
-    contexts = texts.mapInArrow(_contexts(length, True), f"{_CONTEXT_SCHEMA}, left binary, right binary, single boolean")
+    contexts = texts.mapInArrow(_contexts(length, True), f"{_CONTEXT_SCHEMA}, left binary, right binary, step long")
     merged = contexts.groupBy("core1", "core2", "c1", "c2").agg(
         F.count(F.lit(1)).alias("n"),
         F.min(F.struct("least", "at")).alias("head"),
-        *(F.any_value(c).alias(c) for c in ("left", "right", "single")),
+        *(F.any_value(c).alias(c) for c in ("left", "right", "step")),
     )
-    merged = merged.select("core1", "core2", "c1", "c2", "n", "head.least", "head.at", "left", "right", "single")
+    merged = merged.select("core1", "core2", "c1", "c2", "n", "head.least", "head.at", "left", "right", "step")
     dealt = merged.repartition("core1", "core2").sortWithinPartitions("core1", "core2")
     marks = dealt.mapInArrow(_blocks, "c1 long, c2 long, least long, at long, repeated binary, first binary")
     places = texts.mapInArrow(_contexts(length, False), f"{_CONTEXT_SCHEMA}, key binary")

@@ -47,9 +47,9 @@ def test_connected_components_of_a_chain_and_a_star(spark):
     assert {r.node: r.root for r in got} == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
 
 
-@pytest.mark.parametrize("hot", [4000, 1])
-def test_repeated_strings_equal_all_windows(documents, texts, monkeypatch, hot):
-    monkeypatch.setattr(suffix_dedup, "HOT", hot)
+@pytest.mark.parametrize("most", [(4000, 60_000), (1, 60_000), (2, 4), (1, 1)])
+def test_repeated_strings_equal_all_windows(documents, texts, monkeypatch, most):
+    monkeypatch.setattr(suffix_dedup, "STEPS", ((128, most[0]), (16, most[1]), (1, None)))
     rows = {3 * i + 1: w for i, w in enumerate(brute.repeats(texts, 400))}
     found = {r.key: r for r in suffix_dedup.repeated_bytes(documents, 400).collect()}
     keyed = documents.select("doc_id", near_dedup.text_key().alias("key")).collect()
