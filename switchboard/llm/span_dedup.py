@@ -1,11 +1,14 @@
 """Removal of repeated passages by sliding spans of sentences.
 
-A sentence ends at ``.``, ``!`` or ``?`` after a word, at a line break, and with the text. A span begins at
-each sentence and takes the fewest consecutive sentences, two at least, that have ``WORDS`` words
-or more; a sentence of ``LONG`` words is a span by itself. Spans are compared by a 128-bit hash of
-their words (runs without white space, A-Z lowered), so line breaks and spacing don't matter. All
-places of a span but the first (smallest doc_id, then sentence) lose their sentences. A text
-whose sentences all go becomes empty.
+A sentence ends at ``.``, ``!`` or ``?`` after a word, at a line break, and with the text. From each
+sentence on, and up to each sentence, a span takes the fewest consecutive sentences, two at least,
+that have ``WORDS`` words or more; a sentence of ``LONG`` words is a span by itself as well. Spans are
+compared by a 128-bit hash of their words (runs without white space, A-Z lowered), so line breaks and
+spacing don't matter. All places of a span but the first (smallest doc_id, then sentence) lose their
+sentences. A text whose sentences all go becomes empty.
+
+These spans, at most three a sentence, stand for all longer runs: each sentence of a run lies in the
+span that begins with it, or, where that one would leave the run, in the span that ends the run.
 
 First places are minima with partial aggregates; the places are then joined with the spans found
 more than once. Only texts that lose something meet their list of sentences, which is never
@@ -56,10 +59,17 @@ class Sentences:
         """First and last sentence of all spans."""
         n = len(self.row)
         at = np.arange(n)
+        if not n:
+            return at, at
         reach = np.searchsorted(self.stop, self.first + WORDS)  # the sentence in which enough words are there
-        reach = np.where(self.stop - self.first >= LONG, at, np.maximum(reach, at + SENTENCES - 1))
-        inside = reach < self.end[self.row] if n else np.zeros(0, bool)
-        return at[inside], reach[inside]
+        reach = np.maximum(reach, at + SENTENCES - 1)
+        back = np.searchsorted(self.first, self.stop - WORDS, side="right") - 1  # the same towards the start
+        back = np.minimum(back, at - SENTENCES + 1)
+        on, to = reach < self.end[self.row], back >= self.begin[self.row]
+        # A span that is found from both ends counts once.
+        to &= (reach[back] != at) | (back < 0)
+        alone = self.stop - self.first >= LONG
+        return np.concatenate([at[on], back[to], at[alone]]), np.concatenate([reach[on], at[to], at[alone]])
 
     def hashes(self, a: np.ndarray, b: np.ndarray) -> list[np.ndarray]:
         """Two hashes of the words from sentence ``a`` to sentence ``b``."""

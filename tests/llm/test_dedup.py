@@ -1,5 +1,7 @@
 """Near-duplicate, substring and span removal against plain versions."""
 
+import random
+
 import brute
 import pytest
 from corpus import documents, nothing, odd, texts  # noqa: F401
@@ -86,3 +88,37 @@ def test_spans_of_odd_tables(odd, nothing):
     assert span_dedup.without_repeats(odd).where(F.col("n_removed") > 0).count() == 0
     assert span_dedup.without_repeats(odd).count() == odd.count()
     assert span_dedup.without_repeats(nothing).count() == 0
+
+
+def all_runs(cut, words=20, long=40):
+    """Per document, the sentences in any run that stands elsewhere before; ``cut`` has lists of sentences."""
+    first, runs = {}, []
+    for i in sorted(cut):
+        for a in range(len(cut[i])):
+            for b in range(a, len(cut[i])):
+                n = sum(len(s.split()) for s in cut[i][a : b + 1])
+                if n >= (words if b > a else long):
+                    key = " ".join(cut[i][a : b + 1])
+                    first.setdefault(key, (i, a))
+                    runs.append((key, i, a, b))
+    gone = {i: set() for i in cut}
+    for key, i, a, b in runs:
+        if first[key] != (i, a):
+            gone[i] |= set(range(a, b + 1))
+    return gone
+
+
+def test_longer_runs_go_whole(spark):
+    rng = random.Random(3)
+    sentence = lambda n: " ".join(rng.choice("abcdefgh") * 3 + str(rng.randrange(10**6)) for _ in range(n)) + "."
+    passages = [[sentence(n) for n in sizes] for sizes in ((45, 39), (30, 5, 10), (5, 45, 3), (39, 45), (3, 3, 16, 2, 1), (12, 30, 6, 41, 2, 2))]
+    cut = {}
+    for k in range(48):
+        p = passages[k % 6] if k < 24 else rng.choice(passages)[rng.randrange(2) :]
+        cut[k] = [sentence(rng.randint(1, 25)) for _ in range(k % 3)] + p + [sentence(rng.randint(1, 50)) for _ in range(1 + k % 2)]
+    want = all_runs(cut)
+    assert want[6] == {0, 1} and want[7] == {1, 2, 3}
+    docs = spark.createDataFrame([(i, " ".join(s)) for i, s in cut.items()], "doc_id long, text string")
+    got = {r.doc_id: (r.n_removed, r.text.split()) for r in span_dedup.without_repeats(docs).collect()}
+    kept = {i: " ".join(s for k, s in enumerate(cut[i]) if k not in want[i]).split() for i in cut}
+    assert got == {i: (len(want[i]), kept[i]) for i in cut}
