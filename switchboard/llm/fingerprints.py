@@ -7,12 +7,13 @@ the fingerprint of a changed document is that of the old one plus what came and
 (``combined``). Documents with the same paragraphs have equal fingerprints; others agree in all 128
 components by chance only.
 
-Likeness of two fingerprints: with x = 2 * component - number, the squared difference of two
-vectors estimates the number of unlike paragraphs and pieces, the squares of each their sizes;
-1 - difference / (size + size), cut to 0..1. Equal ones have 1.
+Likeness of two texts: with x = 2 * component - number, the squared difference of two vectors
+estimates the number of unlike paragraphs and pieces, the squares of each their sizes;
+1 - difference / (size + size), cut to 0..1. Equal ones have 1. It is taken from the sums
+before they are reduced, so it holds for texts with any number of pieces.
 
 All of it is Spark's own expressions. Null texts are empty and have one empty paragraph. Sums stay
-below a long for any text a column can hold. Rows without doc_id stand in no order: the text that
+below 2 ** 31 for any text a column can hold. Rows without doc_id stand in no order: the text that
 would come from the next document is empty, and near_next is null. Rows that share a doc_id have the same next document,
 the one of the next larger doc_id whose text is smallest; after the last comes the first, which
 for a single document is itself. Empty tables give no rows.
@@ -31,6 +32,7 @@ WIDTH = 128
 PIECE = 24
 LANES = WIDTH // 2  # sums of two components each
 _MASK = 1 | 1 << 32
+_HALF = (1 << 32) - 1
 _MODULUS = 1 << 16
 
 
@@ -41,7 +43,7 @@ def elements(text: Column) -> Column:
 
 
 def sums(rows: DataFrame, *keys: str) -> DataFrame:
-    """``vector`` per key: the components' sums and the number of elements, of the column text.
+    """``vector`` per key: the components' sums and the number of elements, of the column text, not reduced.
 
     Keys must tell rows apart. Nothing is shuffled where rows are dealt by some of the keys.
     """
@@ -52,10 +54,9 @@ def sums(rows: DataFrame, *keys: str) -> DataFrame:
         for k in range(LANES)
     ]
     total = hashed.groupBy(*keys).agg(*lanes, F.count(F.lit(1)).alias("n"))
-    low = [F.col(f"s{k}").bitwiseAND(F.lit(_MODULUS - 1)) for k in range(LANES)]
-    high = [F.shiftright(f"s{k}", 32).bitwiseAND(F.lit(_MODULUS - 1)) for k in range(LANES)]
-    number = F.col("n").bitwiseAND(F.lit(_MODULUS - 1))
-    return total.select(*keys, F.array(*low, *high, number).alias("vector"))
+    low = [F.col(f"s{k}").bitwiseAND(F.lit(_HALF)) for k in range(LANES)]
+    high = [F.shiftright(f"s{k}", 32) for k in range(LANES)]
+    return total.select(*keys, F.array(*low, *high, F.col("n")).alias("vector"))
 
 
 def combined(a: Column, b: Column, sign: int = 1) -> Column:
@@ -75,27 +76,26 @@ def text_form(vector: Column) -> Column:
     return F.concat(*groups, F.lpad(F.hex(part(WIDTH)), 4, "0"))
 
 
-def _centred(x: Column) -> Column:
-    """A component between -2**15 and 2**15."""
-    return F.pmod(x + _MODULUS // 2, F.lit(_MODULUS)) - _MODULUS // 2
-
-
 def short_form(vector: Column) -> Column:
-    """The vector in two bytes per component."""
-    return F.transform(vector, lambda x: _centred(x).cast("smallint"))
+    """The sums in four bytes per component."""
+    return F.transform(vector, lambda x: x.cast("int"))
 
 
 def _square(vector: Column) -> Column:
-    """Mean square of 2 * component - number, from the sums of components and of their squares."""
+    """Mean square of 2 * component - number, from the sums of components and of their squares.
+
+    In doubles: exact up to a million elements, and for any number to many digits.
+    """
     components = F.slice(vector, 1, WIDTH)
-    zero = F.lit(0).cast("long")
-    first = F.aggregate(components, zero, lambda a, x: a + _centred(x.cast("long")))
-    second = F.aggregate(components, zero, lambda a, x: a + _centred(x.cast("long")) * _centred(x.cast("long")))
-    number = _centred(F.element_at(vector, -1).cast("long"))
+    zero = F.lit(0.0)
+    first = F.aggregate(components, zero, lambda a, x: a + x.cast("double"))
+    second = F.aggregate(components, zero, lambda a, x: a + x.cast("double") * x.cast("double"))
+    number = F.element_at(vector, -1).cast("double")
     return (4 * second - 4 * number * first) / F.lit(WIDTH) + number * number
 
 
 def likeness(a: Column, b: Column) -> Column:
+    """Likeness of the texts of two vectors that are not reduced."""
     both = _square(a) + _square(b)
     apart = F.zip_with(a, b, lambda x, y: x.cast("long") - y.cast("long"))
     unlike = _square(apart) / F.nullif(both, F.lit(0.0))
@@ -139,7 +139,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     made = sums(rows, *keys, "which")
     own, edited = (F.max(F.when(F.col("which") == k, F.col("vector"))) for k in (0, 1))
     made = made.groupBy(*keys).agg(own.alias("vector"), edited.alias("edited_vector"))
-    # Written once, two bytes per component: the next document's vector comes from the same rows.
+    # Written once, four bytes per component: the next document's vector comes from the same rows.
     near = likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited")
     short = [short_form(F.col(c)).alias(c) for c in ("vector", "edited_vector")]
     made = store(made.select(*keys, *short, near), "vectors")

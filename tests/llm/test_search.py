@@ -3,9 +3,11 @@
 import collections
 import hashlib
 import math
+import re
 import zlib
 
 import numpy as np
+import pytest
 from corpus import FOLDER, documents, nothing, odd, texts  # noqa: F401
 from pyspark.sql import functions as F
 
@@ -117,3 +119,43 @@ def test_fingerprints_of_odd_tables(odd, nothing):
     assert len(rows) == odd.count()
     assert all(r.near_next is None for r in rows if r.doc_id is None)
     assert fingerprints.fingerprints(nothing).count() == 0
+
+
+def plain_vector(text):
+    """Sums of the components of all elements, and their number, from single hashes."""
+    pieces = re.findall(rf"[^.!?\n]{{0,{fingerprints.PIECE}}}[.!?]+|[^.!?\n]{{1,{fingerprints.PIECE}}}", text)
+    return collections.Counter(text.split("\n") + pieces)
+
+
+def test_likeness_of_long_texts(spark):
+    lines = ["\n".join(f"{'xyz'[k]} line {i}" for i in range(n)) for k, n in enumerate((55_000, 25_000, 70_000))]
+    texts = [*lines, lines[0][: len(lines[0]) // 2] + lines[1], "\n" * 150_000 + "some words", "\n" * 150_000 + "other words"]
+    counted = [plain_vector(t) for t in texts]
+    df = spark.createDataFrame(sorted(set().union(*counted)), "string").select(
+        "value", F.xxhash64("value").alias("h0"), F.xxhash64("value", F.lit(1)).alias("h1")
+    )
+    at, bits = {}, []
+    for k, r in enumerate(df.collect()):
+        at[r.value] = k
+        bits.append([r.h0, r.h1])
+    bits = np.array(bits, np.int64).view(np.uint64)
+    vectors = []
+    for c in counted:
+        rows, times = np.array([at[e] for e in c]), np.array([*c.values()], np.int64)
+        # Bit b of the lower half of lane b, bit 32 + b of its upper half.
+        ones = [[int((times * (bits[rows, k // 32] >> np.uint64(k % 32 + up) & np.uint64(1)).astype(np.int64)).sum()) for k in range(64)] for up in (0, 32)]
+        vectors.append([*ones[0], *ones[1], int(times.sum())])
+    assert max(v[-1] for v in vectors) > 100_000
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    got = {r.doc_id: r for r in fingerprints.fingerprints(docs).collect()}
+    size = lambda v: float(((2 * v[:-1] - v[-1]).astype(object) ** 2).sum()) / 128
+    for k, v in enumerate(vectors):
+        assert got[k].fingerprint == "".join(f"{x % 65536:04X}" for x in got_order(v))
+        a, b = np.array(v), np.array(vectors[(k + 1) % len(vectors)])
+        assert got[k].near_next == pytest.approx(max(0.0, 1 - size(a - b) / (size(a) + size(b))), abs=1e-9)
+    assert got[0].near_next < 0.3 and 0.5 < got[0].near_edited < 0.95
+
+
+def got_order(vector):
+    """Components in the order of the hexadecimal text: groups of four, the last of a group first."""
+    return [vector[k + j] for k in range(0, 128, 4) for j in (3, 2, 1, 0)] + [vector[128]]
