@@ -101,3 +101,29 @@ def test_scores_are_the_same_in_any_batch(tables):
     whole = toxicity.score_texts(model, *as_bytes(pa.array(texts)))
     single = [toxicity.score_texts(model, *as_bytes(pa.array([t])))[0] for t in texts]
     assert np.allclose(whole, single, atol=1e-4)
+
+
+def test_toxicity_learns_from_long_texts(tables):
+    docs, labels = tables
+    long = docs.where("n_chars > 3000")
+    model = toxicity.fit(long, labels)
+    assert model is not None
+    texts = {r.doc_id: r.text for r in long.select("doc_id", "text").collect()}
+    told = {r.doc_id: r.toxic for r in labels.collect() if r.doc_id in texts and r.toxic is not None}
+    scores = dict(zip(told, toxicity.score_texts(model, *as_bytes(pa.array([texts[i] for i in told])))))
+    toxic, clean = ([scores[i] for i, t in told.items() if t == k] for k in (1, 0))
+    # Few texts are left to learn from; without any, all scores were 0.
+    assert np.mean([a > b for a in toxic for b in clean]) > 0.6
+
+
+def test_training_in_parts_equals_training_at_once(monkeypatch):
+    rng = np.random.default_rng(1)
+    word = lambda: f"w{rng.integers(40)}"
+    texts = [" ".join([word() for _ in range(int(rng.integers(1, 400)))] + ["vile"] * (k % 2)) for k in range(24)]
+    labels, models = [k % 2 for k in range(24)], []
+    for at_once, chunk in ((10**6, 1 << 20), (5, 500)):
+        monkeypatch.setattr(toxicity, "AT_ONCE", at_once)
+        monkeypatch.setattr(toxicity, "CHUNK", chunk)
+        models.append(toxicity.train(texts, labels))
+    whole, parts = (toxicity.score_texts(m, *as_bytes(pa.array(texts))) for m in models)
+    assert parts == pytest.approx(whole, abs=1e-3)
