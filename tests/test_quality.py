@@ -6,6 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from checks import registry
 from switchboard.operators.tree import root_paths
 from switchboard.plans import quality, views
 from switchboard.schemas import TABLES
@@ -151,3 +152,10 @@ def test_tree_equals_recursive_query(spark, units, rows):
         ) SELECT * FROM t""")
     walked = root_paths(units, "org_unit_id", "parent_unit_id", "unit_name", ["org_unit_id"])
     assert rows(walked, "org_unit_id", "root_unit_id", "depth", "path_names") == rows(recursive)
+
+
+def test_table_diff_compares_every_call(wh):
+    lines = {r.column_name: r for r in registry.table_diff(wh).collect()}
+    calls = wh.get("ods_call").count()
+    assert calls and all(r.compared == calls for r in lines.values())
+    assert lines["(coverage)"].differing == 0
