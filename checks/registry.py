@@ -13,13 +13,13 @@ from pyspark.sql import functions as F
 
 from checks import oracles as sql
 from checks.compare import plain
-from checks.fixtures import RUN_DATE
+from checks.fixtures import RECIPES, RUN_DATE
 from checks.warehouse import Warehouse, warehouse
 from switchboard.functions import time
 from switchboard.functions.text import EMBEDDED_REF, call_driver, first_group, json_key
 from switchboard.operators import dedup, ranking, sink, slices, textagg, tree
 from switchboard.plans import aggs, merges, quality, views
-from switchboard.plans.daily import VIEWS
+from switchboard.plans.daily import STEPS, VIEWS
 from switchboard.schemas import TABLES
 from switchboard.session import fresh_path
 from switchboard.sources import calendar, feeds
@@ -358,7 +358,8 @@ def dq_pk_unique(w: Warehouse) -> DataFrame:
     return out
 
 
-POPULATED = ["stg_tel_call", "stg_tel_call_segment", "ods_call", "ods_interaction", "dim_queue", "fact_interaction"]
+# Every declared table that the warehouse builds.
+POPULATED = [t for t in TABLES if t in RECIPES or t in {s.target for s in STEPS}]
 
 
 def dq_table_populated(w: Warehouse) -> DataFrame:
