@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 import corpus_pipeline
 from switchboard.llm import (
     bpe,
+    fill_middle,
     fingerprints,
     kd_shards,
     near_dedup,
     packing,
+    pieces,
     quality,
     span_dedup,
     suffix_dedup,
@@ -33,9 +35,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": near_dedup.op8,
         "op9_packing": packing.op9,
         "op10_toxicity": toxicity.op10,
+        "op12_pieces": pieces.op12,
+        "op13_fill_middle": fill_middle.op13,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": topk.ORACLE}
+    return {"op3_topk": topk.ORACLE, "op13_fill_middle": fill_middle.ORACLE}
