@@ -15,6 +15,7 @@ from switchboard.llm import (
     near_dedup,
     packing,
     pieces,
+    prefix_trie,
     quality,
     span_dedup,
     suffix_dedup,
@@ -35,6 +36,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_near_dedup": near_dedup.op8,
         "op9_packing": packing.op9,
         "op10_toxicity": toxicity.op10,
+        "op11_prefix_trie": prefix_trie.op11,
         "op12_pieces": pieces.op12,
         "op13_fill_middle": fill_middle.op13,
         "pipeline": corpus_pipeline.run,
@@ -42,4 +44,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op3_topk": topk.ORACLE, "op13_fill_middle": fill_middle.ORACLE}
+    return {"op3_topk": topk.ORACLE, "op11_prefix_trie": prefix_trie.ORACLE, "op13_fill_middle": fill_middle.ORACLE}
