@@ -322,7 +322,7 @@ RECIPES = {
                event_id % 3 = 0 AS certified,
                ep(ts) AS effective_ts,
                ep(ts) + 31536000 AS expiry_ts,
-               DATE '2024-01-15' AS load_date
+               DATE '2024-01-15' - CAST(event_id % 3 AS INT) AS load_date
         FROM events
     """,
     "stg_hr_attrition_event_delta": """
@@ -346,7 +346,7 @@ RECIPES = {
                1000 + user_id % 10 AS from_org_unit_id,
                1000 + (user_id + 1) % 10 AS to_org_unit_id,
                event_type AS reason_code,
-               DATE '2024-01-15' AS load_date
+               DATE '2024-01-15' - CAST(event_id % 3 AS INT) AS load_date
         FROM events
     """,
     "stg_hr_org_unit": """
@@ -471,7 +471,7 @@ RECIPES = {
                l_suppkey AS actor_agent_id,
                'OPEN' AS old_value,
                CASE WHEN l_linestatus = 'F' THEN 'RESOLVED' ELSE 'OPEN' END AS new_value,
-               DATE '2024-01-15' AS load_date
+               DATE '2024-01-15' - CAST(l_linenumber % 3 AS INT) AS load_date
         FROM lineitem
     """,
     "stg_tkt_worklog_delta": """
@@ -623,16 +623,65 @@ DUPLICATES = {
     ),
 }
 
+# Deliveries of other days: table: [(day, rows that came on it, {column: its value then})]. The masters' values of some
+# keys are newer in an earlier delivery. The other tables are read by the run date alone.
+_OTHERS = ("2024-01-14", "2024-01-16")
+OTHER_DAYS = {
+    "stg_crm_client": [
+        ("2024-01-13", "client_id % 3 <> 0", {"updated_ts": "updated_ts - 7200", "status": "'NEW'"}),
+        ("2024-01-14", "client_id % 2 = 0", {"updated_ts": "updated_ts + 3600 * (client_id % 4 - 1)", "industry": "'OTHER'"}),
+    ],
+    "stg_hr_agent": [
+        ("2024-01-13", "agent_id % 5 <> 1", {"job_grade": "'G' || ((agent_id + 1) % 5)", "status": "'ACTIVE'"}),
+        ("2024-01-14", "agent_id % 7 <> 2", {"job_grade": "'G' || ((agent_id + agent_id % 2) % 5)"}),
+    ],
+    "stg_tkt_ticket": [
+        ("2024-01-13", "ticket_id % 8 = 0", {"updated_ms": "updated_ms + 50000", "status": "'PENDING'"}),
+        ("2024-01-14", "ticket_id % 3 = 0", {"updated_ms": "updated_ms - 50000", "status": "'NEW'"}),
+    ],
+    "stg_fin_invoice": [
+        ("2024-01-13", "invoice_id % 9 = 0", {"issued_ts_sec": "issued_ts_sec + 86400000", "status": "'X'"}),
+        ("2024-01-14", "invoice_id % 6 = 0", {"issued_ts_sec": "issued_ts_sec - 86400000", "total_amount": "total_amount - 1"}),
+    ],
+    **{
+        table: [(day, where, changed) for day in _OTHERS]
+        for table, where, changed in [
+            ("stg_crm_client_contact", "contact_id % 40 = 3", {"created_ts": "created_ts + 999", "full_name": "'other'"}),
+            ("stg_crm_contract", "contract_id % 40 = 3", {"status": "'executed'", "billing_model": "'other'"}),
+            ("stg_crm_contract_line", "contract_line_id % 40 = 3", {"min_commit": "min_commit + 1", "uom": "'other'"}),
+            ("stg_crm_program", "program_id % 40 = 3", {"go_live_ts": "go_live_ts + 999", "status": "'other'"}),
+            ("stg_file_chat_transcripts", "started_ms % 40 = 0", {"client_code": "'CL1'"}),
+            ("stg_file_dialer_result", "CAST(substr(attempt_id, 2) AS BIGINT) % 9 = 3", {"result_code": "'BUSY'", "attempt_ms": "attempt_ms + 120000"}),
+            ("stg_file_email_interaction", "received_ms % 40 = 0", {"received_ms": "received_ms + 999", "mailbox": "'other'"}),
+            ("stg_file_interaction_export", "length(interaction_ref) % 2 = 0", {"customer_ref": "'other'"}),
+            ("stg_file_ivr_logs", "event_ms % 40 = 0", {"event_ms": "event_ms + 999", "menu_path": "'other'"}),
+            ("stg_file_qa_forms", "length(qa_form_id) % 2 = 0", {"interaction_ref": "'other'"}),
+            ("stg_file_survey_csat", "CAST(substr(survey_id, 2) AS BIGINT) % 40 = 3", {"survey_ms": "survey_ms + 999", "csat_score": "1"}),
+            ("stg_fin_rate_card", "rate_card_id % 4 = 3", {"rate": "rate + 1"}),
+            ("stg_hr_org_unit", "org_unit_id % 7 = 3", {"created_ts": "created_ts + 999", "unit_name": "'other'"}),
+            ("stg_tel_agent_state_event", "state_event_id % 40 = 3", {"end_epoch": "end_epoch + 999"}),
+            ("stg_tel_call", "call_id % 40 = 3", {"end_epoch": "end_epoch + 999", "recording_id": "'other'"}),
+            ("stg_tel_call_segment", "call_id % 40 = 3", {}),
+            ("stg_tel_disposition_code", "TRUE", {"created_epoch": "created_epoch + 999", "category": "'other'"}),
+            ("stg_tel_queue", "queue_id % 7 = 3", {"created_epoch": "created_epoch + 999", "queue_name": "'other'"}),
+            ("stg_wfm_adherence_event", "adherence_event_id % 40 = 3", {"start_epoch": "start_epoch + 999"}),
+            ("stg_wfm_schedule", "schedule_id % 40 = 3", {"start_epoch": "start_epoch + 999", "paid_minutes": "paid_minutes + 1"}),
+        ]
+    },
+}
+# Deliveries in the order in which the stored forms of masters, histories and merges take them: one comes late.
+DELIVERY_DAYS = [dt.date(2024, 1, 13), RUN_DATE, dt.date(2024, 1, 14)]
+
 
 def duck_sql(name: str) -> str:
     """Recipe as DuckDB SQL over the base tables."""
-    return _with_duplicates(name, _recipe(name, duck=True))
+    return _all_rows(name, duck=True)
 
 
 def staging(spark: SparkSession, base: dict[str, DataFrame], name: str) -> DataFrame:
     """Recipe as a Spark DataFrame over the base tables."""
     used = {t: df for t, df in base.items() if re.search(rf"\b{t}\b", RECIPES[name])}
-    sql = _with_duplicates(name, _recipe(name, duck=False)).replace("VARCHAR", "STRING")
+    sql = _all_rows(name, duck=False).replace("VARCHAR", "STRING")
     sql = sql.replace("{", "{{").replace("}", "}}")
     for table in used:
         sql = re.sub(rf"\b(FROM|JOIN) {table}\b", rf"\1 {{{table}}}", sql)
@@ -660,14 +709,22 @@ def _recipe(name: str, duck: bool) -> str:
     return f"SELECT {', '.join(casts)} FROM ({sql}) r"
 
 
-def _with_duplicates(name: str, sql: str) -> str:
-    if name not in DUPLICATES:
-        return sql
-    where, changed = DUPLICATES[name]
+def _all_rows(name: str, duck: bool) -> str:
+    """The recipe, the changed copies of its day, and the rows of other days."""
+    sql = first = _recipe(name, duck)
+    if name in DUPLICATES:
+        where, changed = DUPLICATES[name]
+        sql = f"SELECT * FROM ({first}) a UNION ALL {_copies(name, first, where, changed)}"
+    for day, where, changed in OTHER_DAYS.get(name, []):
+        sql += f" UNION ALL {_copies(name, first, where, changed | {TABLES[name].partition: f'DATE {chr(39)}{day}{chr(39)}'})}"
+    return sql
+
+
+def _copies(name: str, sql: str, where: str, changed: dict[str, str]) -> str:
     types = dict(TABLES[name].columns)
     copy = [f"CAST({changed[c]} AS {types[c]}) AS {c}" if c in changed else c for c in types]
     copy = [c.replace("AS STRING)", "AS VARCHAR)") for c in copy]
-    return f"SELECT * FROM ({sql}) a UNION ALL SELECT {', '.join(copy)} FROM ({sql}) b WHERE {where}"
+    return f"SELECT {', '.join(copy)} FROM ({sql}) b WHERE {where}"
 
 
 def _call(sql: str, name: str, template: str) -> str:

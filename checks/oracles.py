@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import re
 
-from checks.fixtures import RECIPES, duck_sql
+from checks.fixtures import OTHER_DAYS, RECIPES, duck_sql
 from switchboard.schemas import TABLES
 
 RUN = "DATE '2024-01-15'"
@@ -213,6 +213,11 @@ PARTS: dict[str, str] = {
         SELECT *, {ms('attempt_ms')} AS attempt_ts, result_code = 'CONNECT' AS connected_flag,
                CAST({ms('attempt_ms')} AS DATE) AS event_date
         FROM ({newest('stg_file_dialer_result', 'attempt_id', 'attempt_ms')})""",
+    "dialer_runs": f"""
+        SELECT *, {ms('attempt_ms')} AS attempt_ts, result_code = 'CONNECT' AS connected_flag,
+               CAST({ms('attempt_ms')} AS DATE) AS event_date
+        FROM ({newest('stg_file_dialer_result', 'feed_date, attempt_id', 'attempt_ms')})
+        QUALIFY row_number() OVER (PARTITION BY event_date, attempt_id ORDER BY feed_date DESC) = 1""",
     # Masters and change feeds.
     "ods_client_acid": f"""
         SELECT * REPLACE ({ts('created_ts')} AS created_ts, {ts('updated_ts')} AS updated_ts)
@@ -220,15 +225,16 @@ PARTS: dict[str, str] = {
     "ods_agent_acid": f"""
         SELECT * REPLACE ({ts('hire_ts')} AS hire_ts, {ts('term_ts')} AS term_ts),
                first_name || ' ' || last_name AS full_name
-        FROM stg_hr_agent""",
+        FROM stg_hr_agent QUALIFY row_number() OVER (PARTITION BY agent_id ORDER BY load_date DESC) = 1""",
     "ods_ticket_acid": f"""
         SELECT t.*, {ms('created_ms')} AS created_ts, {ms('updated_ms')} AS updated_ts, r.resolved_ts
-        FROM stg_tkt_ticket t LEFT JOIN (
+        FROM ({newest('stg_tkt_ticket', 'ticket_id', 'updated_ms')}) t LEFT JOIN (
             SELECT ticket_id, {ms('max(event_ms)')} AS resolved_ts FROM stg_tkt_ticket_event
             WHERE event_type = 'STATUS' AND new_value IN ('RESOLVED', 'CLOSED') GROUP BY ticket_id
         ) r USING (ticket_id)""",
     "ods_invoice_acid": f"""
-        SELECT *, {ms('issued_ts_sec')} AS issued_ts, {ms('due_ts_sec')} AS due_ts FROM stg_fin_invoice""",
+        SELECT *, {ms('issued_ts_sec')} AS issued_ts, {ms('due_ts_sec')} AS due_ts
+        FROM ({newest('stg_fin_invoice', 'invoice_id', 'issued_ts_sec')})""",
     "ods_timesheet": last_change(
         "stg_fin_timesheet_delta",
         "timesheet_id",
@@ -284,7 +290,7 @@ PARTS: dict[str, str] = {
                    CAST(load_date AS TIMESTAMP) AS seen_ts FROM stg_hr_agent
             UNION ALL
             SELECT e.agent_id, a.employee_no, e.to_org_unit_id, a.job_grade, a.employment_type, a.status, {ts('e.event_ts')}
-            FROM stg_hr_employment_event e JOIN stg_hr_agent a USING (agent_id)""",
+            FROM stg_hr_employment_event e JOIN stg_hr_agent a USING (agent_id, load_date)""",
         "agent_id",
         "employee_no, org_unit_id, job_grade, employment_type, status",
         "agent_history_id",
@@ -677,12 +683,34 @@ PARTS: dict[str, str] = {
 }
 
 
+# Parts that read the deliveries of all days; the others read those of the run date.
+ALL_DAYS = {
+    "ods_client_acid": "stg_crm_client",
+    "ods_agent_acid": "stg_hr_agent",
+    "ods_ticket_acid": "stg_tkt_ticket",
+    "ods_invoice_acid": "stg_fin_invoice",
+    "ods_agent_scd2": "stg_hr_agent",
+    "vw_billing_reconciliation": "stg_fin_invoice",
+    "dialer_runs": "stg_file_dialer_result",
+}
+TODAY = "_today"
+
+
 def part(name: str) -> str:
-    return duck_sql(name) if name in RECIPES else PARTS[name]
+    if name in RECIPES:
+        return duck_sql(name)
+    if name.endswith(TODAY):
+        table = name.removesuffix(TODAY)
+        return f"SELECT * FROM {table} WHERE {TABLES[table].partition} = {RUN}"
+    sql = PARTS[name]
+    for table in OTHER_DAYS:
+        if ALL_DAYS.get(name) != table:
+            sql = re.sub(rf"\b{table}\b", table + TODAY, sql)
+    return sql
 
 
 def _references(sql: str) -> list[str]:
-    known = {*RECIPES, *PARTS}
+    known = {*RECIPES, *PARTS, *[t + TODAY for t in OTHER_DAYS]}
     return [n for n in dict.fromkeys(re.findall(r"\b\w+\b", sql)) if n in known]
 
 
@@ -709,7 +737,7 @@ def compose(sql: str) -> str:
 PLAIN = {"DATE": "strftime({0}, '%Y-%m-%d')", "STRING": "CAST({0} AS VARCHAR)"}
 
 
-def plain(name: str, columns: list[str] | None = None) -> str:
+def plain(name: str, columns: list[str] | None = None, source: str | None = None) -> str:
     """Projection of a declared table to plain types."""
     out = []
     for column, kind in TABLES[name].columns:
@@ -717,7 +745,7 @@ def plain(name: str, columns: list[str] | None = None) -> str:
             continue
         form = PLAIN.get(kind, "CAST({0} AS DOUBLE)" if kind.startswith("DECIMAL") else f"CAST({{0}} AS {kind})")
         out.append(f"{form.format(column)} AS {column}")
-    return f"SELECT {', '.join(out)} FROM {name}"
+    return f"SELECT {', '.join(out)} FROM {source or name}"
 
 
 def oracle(name: str) -> str:

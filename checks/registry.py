@@ -6,6 +6,7 @@ Every entry runs over whole base tables. Tables and analyst queries take their i
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,12 +14,12 @@ from pyspark.sql import functions as F
 
 from checks import oracles as sql
 from checks.compare import plain
-from checks.fixtures import RECIPES, RUN_DATE
+from checks.fixtures import DELIVERY_DAYS, RECIPES, RUN_DATE
 from checks.warehouse import Warehouse, warehouse
 from switchboard.functions import time
 from switchboard.functions.text import EMBEDDED_REF, call_driver, first_group, json_key
-from switchboard.operators import dedup, ranking, sink, slices, textagg, tree
-from switchboard.plans import aggs, merges, quality, views
+from switchboard.operators import dedup, ranking, runs, sink, slices, textagg, tree
+from switchboard.plans import aggs, cleanse, history, masters, merges, quality, views
 from switchboard.plans.daily import STEPS, VIEWS
 from switchboard.schemas import TABLES
 from switchboard.session import fresh_path
@@ -61,13 +62,6 @@ PIPELINES = {
     "load_fact_ticket": "fact_ticket",
     "load_fact_ivr_path": "fact_ivr_path",
     "merge_rate_card": "ods_rate_card",
-    "scd2_agent": "ods_agent_scd2",
-    "scd2_agent_skill": "ods_agent_skill_scd2",
-    "scd2_agent_assignment": "ods_agent_assignment_scd2",
-    "upsert_client": "ods_client_acid",
-    "upsert_agent": "ods_agent_acid",
-    "upsert_ticket": "ods_ticket_acid",
-    "upsert_invoice": "ods_invoice_acid",
     "agg_agent_daily": "agg_agent_daily",
     "agg_agent_weekly": "agg_agent_weekly",
     "agg_queue_hourly": "agg_queue_hourly",
@@ -78,7 +72,7 @@ PIPELINES = {
     **{v: v for v in VIEWS if v not in ("vw_active_agents_ndv", "vw_program_margin")},
 }
 
-# Change feeds, merged in two deliveries: the state after the first is the input of the second.
+# Stored states: each is loaded in three deliveries, of which the second comes last, and then read.
 MERGES = {
     "merge_timesheet": (merges.timesheet, "stg_fin_timesheet_delta", "ods_timesheet"),
     "merge_payroll_adjustment": (
@@ -96,13 +90,58 @@ MERGES = {
     "merge_ticket_worklog": (merges.ticket_worklog, "stg_tkt_worklog_delta", "ods_ticket_worklog"),
     "merge_attrition_event": (merges.attrition_event, "stg_hr_attrition_event_delta", "ods_attrition_event"),
 }
+UPSERTS = {
+    "upsert_client": "ods_client_acid",
+    "upsert_agent": "ods_agent_acid",
+    "upsert_ticket": "ods_ticket_acid",
+    "upsert_invoice": "ods_invoice_acid",
+}
+SPLICED = {
+    "scd2_agent": "ods_agent_scd2",
+    "scd2_agent_skill": "ods_agent_skill_scd2",
+    "scd2_agent_assignment": "ods_agent_assignment_scd2",
+}
+# Days that cut the changes and assignments of a month into three deliveries.
+CUTS = (dt.date(2024, 1, 11), dt.date(2024, 1, 21))
 
 
-def _two_deliveries(merge, delta: str) -> Query:
+def _thirds(rows: DataFrame, column: str) -> list[DataFrame]:
+    """The first, the last and then the middle part of the month."""
+    low, high = (F.lit(d) for d in CUTS)
+    day = F.col(column).cast("date")
+    return [rows.where(day < low), rows.where(day >= high), rows.where((day >= low) & (day < high))]
+
+
+def _merged(merge, delta: str, table: str) -> Query:
+    def run(w: Warehouse) -> DataFrame:
+        path = fresh_path(w.spark, table)
+        for feed in _thirds(w.get(delta), "extract_date"):
+            masters.merge_changes(w.spark, path, table, feed, merge)
+        return sink.read_table(w.spark, path, table)
+
+    return run
+
+
+def _upserted(table: str) -> Query:
     def run(w: Warehouse) -> DataFrame:
-        changes = w.get(delta)
-        first = merge(None, changes.where(F.col("extract_date") < F.lit(RUN_DATE)))
-        return merge(first, changes.where(F.col("extract_date") >= F.lit(RUN_DATE)))
+        path = fresh_path(w.spark, table)
+        for day in DELIVERY_DAYS:
+            masters.load_master(w.spark, path, table, w.get, day)
+        return sink.read_table(w.spark, path, table)
+
+    return run
+
+
+def _spliced(table: str) -> Query:
+    def run(w: Warehouse) -> DataFrame:
+        path = fresh_path(w.spark, table)
+        if table == "ods_agent_assignment_scd2":
+            parts = [history.assignments_seen(o) for o in _thirds(w.get("obs_assignment"), "seen_ts")]
+        else:
+            parts = [masters.observed_on(table, w.get, day) for day in DELIVERY_DAYS]
+        for day, observed in zip(DELIVERY_DAYS, parts, strict=True):
+            masters.splice_history(w.spark, path, table, observed, day)
+        return sink.read_table(w.spark, path, table)
 
     return run
 
@@ -215,7 +254,8 @@ def rollup_grouping(w: Warehouse) -> DataFrame:
 
 def recursive_tree(w: Warehouse) -> DataFrame:
     keep = ["org_unit_id", "unit_type"]
-    return tree.root_paths(w.get("stg_hr_org_unit"), "org_unit_id", "parent_unit_id", "unit_code", keep)
+    units = cleanse.loaded(w.get("stg_hr_org_unit"), RUN_DATE)
+    return tree.root_paths(units, "org_unit_id", "parent_unit_id", "unit_code", keep)
 
 
 def json_map_get(w: Warehouse) -> DataFrame:
@@ -265,6 +305,20 @@ def partition_replace(w: Warehouse) -> DataFrame:
     return sink.read_table(w.spark, path, "ods_dialer_attempt")
 
 
+def partition_isolation(w: Warehouse) -> DataFrame:
+    """Three run dates that deliver rows of each other's days, run out of order and again.
+
+    One run first delivers what it should not have: rows that belong to another run. Running it
+    again takes them away from every partition, and what the other runs delivered stays.
+    """
+    name, path = "ods_dialer_attempt", fresh_path(w.spark, "ods_dialer_attempt")
+    dialer = w.get("stg_file_dialer_result")
+    before, after = RUN_DATE - dt.timedelta(days=1), RUN_DATE + dt.timedelta(days=1)
+    for run, delivered in [(after, after), (before, RUN_DATE), (RUN_DATE, RUN_DATE), (before, before), (after, after)]:
+        runs.deliver(cleanse.dialer_attempt(dialer, delivered), path, name, run)
+    return sink.read_table(w.spark, path, name)
+
+
 # --- feeds -------------------------------------------------------------------------------
 # Each writes the staging rows as a file feed, adds lines that do not fit, and reads it back.
 # A rejected line appears as a row that holds only its text, in the feed's reference column.
@@ -469,7 +523,9 @@ def dq_report(w: Warehouse) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     **{q: (lambda w, t=t: w.build(t)) for q, t in PIPELINES.items()},
-    **{q: _two_deliveries(m, d) for q, (m, d, _) in MERGES.items()},
+    **{q: _merged(m, d, t) for q, (m, d, t) in MERGES.items()},
+    **{q: _upserted(t) for q, t in UPSERTS.items()},
+    **{q: _spliced(t) for q, t in SPLICED.items()},
     "load_dim_date": load_dim_date,
     "vw_program_margin": program_margin,
     "vw_active_agents_ndv": active_agents_ndv,
@@ -486,6 +542,7 @@ QUERIES: dict[str, Query] = {
     "pivot_states": pivot_states,
     "approx_distinct": approx_distinct,
     "partition_replace": partition_replace,
+    "partition_isolation": partition_isolation,
     "feed_csv": feed_csv,
     "feed_pipe": feed_pipe,
     "feed_json": feed_json,
@@ -667,10 +724,10 @@ ORACLES: dict[str, str] = {
     "recursive_tree": """
         WITH RECURSIVE walk AS (
             SELECT org_unit_id, unit_type, org_unit_id AS root_unit_id, CAST(0 AS BIGINT) AS depth, unit_code AS path_names
-            FROM stg_hr_org_unit WHERE parent_unit_id IS NULL
+            FROM stg_hr_org_unit_today WHERE parent_unit_id IS NULL
             UNION ALL
             SELECT c.org_unit_id, c.unit_type, w.root_unit_id, w.depth + 1, w.path_names || ' > ' || c.unit_code
-            FROM walk w JOIN stg_hr_org_unit c ON c.parent_unit_id = w.org_unit_id WHERE w.depth <= 5
+            FROM walk w JOIN stg_hr_org_unit_today c ON c.parent_unit_id = w.org_unit_id WHERE w.depth <= 5
         ) SELECT * FROM walk""",
     "json_map_get": """
         SELECT event_type, count(k) AS with_key, CAST(sum(k) AS BIGINT) AS key_sum, max(k) AS key_max
@@ -689,6 +746,7 @@ ORACLES: dict[str, str] = {
         SELECT o_orderpriority, count(DISTINCT o_custkey) AS customers, TRUE AS within_bound
         FROM orders GROUP BY o_orderpriority""",
     "partition_replace": sql.plain("ods_dialer_attempt"),
+    "partition_isolation": sql.plain("ods_dialer_attempt", source="dialer_runs"),
     "feed_csv": _feed("stg_file_survey_csat", "survey_id", "'S-' || doc_id || ',V,not-a-number,,,,,,'"),
     "feed_pipe": _feed("stg_fin_timesheet_delta", "work_date", "'no-number-' || doc_id"),
     "feed_json": """
@@ -745,5 +803,5 @@ ORACLES: dict[str, str] = {
 
 def oracle_sql() -> dict[str, str]:
     tables = {q: sql.oracle(t) for q, t in PIPELINES.items()}
-    merged = {q: sql.oracle(t) for q, (_, _, t) in MERGES.items()}
-    return {**tables, **merged, **{q: sql.compose(text) for q, text in ORACLES.items()}}
+    states = {q: sql.oracle(t) for q, t in ({q: t for q, (_, _, t) in MERGES.items()} | UPSERTS | SPLICED).items()}
+    return {**tables, **states, **{q: sql.compose(text) for q, text in ORACLES.items()}}

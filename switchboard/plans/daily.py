@@ -10,26 +10,25 @@ from collections.abc import Callable
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from switchboard.operators.merge import DELETED
-from switchboard.operators.sink import merge_partitions, read_table, replace_partition, replace_table
-from switchboard.plans import aggs, cleanse, dims, facts, history, merges, views
+from switchboard.operators.runs import deliver
+from switchboard.operators.sink import read_table, replace_partition, replace_table
+from switchboard.plans import aggs, cleanse, dims, facts, history, masters, merges, views
 from switchboard.schemas import TABLES, layer_of
-from switchboard.session import apply_settings, store
+from switchboard.session import apply_settings
 
-DAY, WEEK, MONTH, WHOLE, STATE = "day", "week", "month", "whole", "state"
+DAY, WEEK, MONTH, WHOLE, STATE, HISTORY = "day", "week", "month", "whole", "state", "history"
 
 
 @dataclass(frozen=True)
 class Step:
     """``build(*inputs, run_date)`` makes ``target``; a STATE step also gets the stored table first.
 
-    ``write`` says what a run replaces: the partition of its day, week or month, the table, or
-    the table merged with what it held before. A step with ``scoped`` inputs can be limited to
+    ``write`` says what a run replaces: what it delivered before for its day or month, the partition
+    of its day, week or month, or the table; or that its delivery is merged into the stored state
+    or history. A step with ``scoped`` inputs can be limited to
     some periods: it then reads only their days from these inputs.
     """
 
@@ -94,8 +93,12 @@ def _state(target: str, build, *inputs: str) -> Step:
     return Step(target, build, inputs, STATE, dated=False)
 
 
-def _whole(target: str, build, *inputs: str, dated: bool = True) -> Step:
-    return Step(target, build, inputs, WHOLE, dated)
+def _history(target: str, build, *inputs: str) -> Step:
+    return Step(target, build, inputs, HISTORY, dated=False)
+
+
+def _whole(target: str, build, *inputs: str) -> Step:
+    return Step(target, build, inputs, WHOLE)
 
 
 def _day(target: str, build, *inputs: str) -> Step:
@@ -116,9 +119,9 @@ STEPS: list[Step] = [
     _state("ods_ticket_worklog", merges.ticket_worklog, "stg_tkt_worklog_delta"),
     _state("ods_attrition_event", merges.attrition_event, "stg_hr_attrition_event_delta"),
     _day("ods_rate_card", merges.rate_card, "stg_fin_rate_card", "stg_fin_rate_card_change_delta"),
-    _whole("ods_agent_scd2", history.agent, "stg_hr_agent", "stg_hr_employment_event", dated=False),
-    _whole("ods_agent_skill_scd2", history.agent_skill, "stg_hr_agent_skill", "stg_hr_skill", dated=False),
-    _whole("ods_agent_assignment_scd2", history.agent_assignment, "obs_assignment", dated=False),
+    _history("ods_agent_scd2", history.agent, "stg_hr_agent", "stg_hr_employment_event"),
+    _history("ods_agent_skill_scd2", history.agent_skill, "stg_hr_agent_skill", "stg_hr_skill"),
+    _history("ods_agent_assignment_scd2", history.agent_assignment, "obs_assignment"),
     # Cleansing.
     _day("ods_program", cleanse.program, "stg_crm_program"),
     _day("ods_contract", cleanse.contract, "stg_crm_contract"),
@@ -269,11 +272,12 @@ def run_day(
 ) -> None:
     """Load every table of ``root`` for ``run_date``, in order; ``staging`` gives the raw inputs.
 
-    Running a day again replaces what it wrote and leaves other days alone. Change feeds are
-    merged from extract date ``changes_from`` on, the run date unless told otherwise. Keys that
-    they delete are remembered under ``tombstones``, so that an older change that comes later does not bring them back.
-    Aggregates are refreshed for the run's period and for every period that late rows or
-    changes of this run have touched.
+    Days may be run in any order, and again. Rows are stored by the run that delivered them, so a
+    run replaces its own rows in every partition and no others. Masters take the run date's delivery,
+    histories its observations, change-merged tables the changes of extract dates from
+    ``changes_from`` on (the run date unless told otherwise); what they keep is decided by the times
+    in the rows. Aggregates are refreshed for the run's period and for every period that late rows
+    or changes of this run have touched. Tables that are replaced whole show the last run.
     """
     apply_settings(spark)
     built = {s.target for s in STEPS}
@@ -294,52 +298,19 @@ def run_day(
             values = {step.partition_value(p) for p in periods}
             written[step.target] = replace_partition(rows, path, step.target, values, mode="strict")
         elif step.write in (DAY, MONTH):
-            value = step.partition_value(step.period(run_date)[0])
-            written[step.target] = replace_partition(step.run(get, run_date), path, step.target, value)
-        elif step.write == STATE and TABLES[step.target].partition:
-            graves = f"{root}/tombstones/{step.target}"
-            written[step.target] = _merge(spark, step, get, run_date, path, changes_from or run_date, graves)
+            written[step.target] = deliver(step.run(get, run_date), path, step.target, step.period(run_date)[0])
+        elif step.write == HISTORY:
+            observed = masters.observed_on(step.target, get, run_date)
+            written[step.target] = masters.splice_history(spark, path, step.target, observed, run_date)
+        elif step.target in masters.MASTERS:
+            masters.load_master(spark, path, step.target, get, run_date)
         elif step.write == STATE:
-            # The result reads the table it replaces, so it is written aside first.
-            merged = store(step.run(get, run_date, get(step.target)), step.target)
-            replace_table(merged, path, step.target)
+            feed = get(step.inputs[0]).where(F.col("extract_date") >= F.lit(changes_from or run_date))
+            written[step.target] = masters.merge_changes(spark, path, step.target, feed, step.build)
         else:
             replace_table(step.run(get, run_date), path, step.target)
 
 
-def _merge(
-    spark: SparkSession,
-    step: Step,
-    get: Callable[[str], DataFrame],
-    run_date: dt.date,
-    path: str,
-    changes_from: dt.date,
-    graves: str,
-) -> set:
-    """Merge a change feed into a stored table: only the partitions it touches are rewritten."""
-    spec = TABLES[step.target]
-    feed = get(step.inputs[0])
-    feed = feed.where(F.col("extract_date") >= F.lit(changes_from))
-    keys = feed.select(*spec.pk).distinct()
-    known = T.StructType([*(f for f in spec.schema.fields if f.name in spec.pk), T.StructField("change_ms", T.LongType())])
-    try:
-        dead = spark.read.schema(known).parquet(graves)
-    except AnalysisException:  # nothing was deleted yet
-        dead = spark.createDataFrame([], known)
-    dead = dead.join(keys, list(spec.pk), "left_semi").withColumn("op", F.lit(DELETED))
-    feed = store(feed.unionByName(dead, allowMissingColumns=True), f"changes-{step.target}")
-    # Written first: a run that fails after this one writes the same deletes again, which changes nothing.
-    deletes = feed.where((F.col("op") == DELETED) & (F.col("change_ms").isNotNull())).groupBy(*spec.pk).agg(
-        F.max("change_ms").alias("change_ms")
-    )
-    deletes.write.mode("append").parquet(graves)
-
-    def arriving(name: str) -> DataFrame:
-        return feed if name == step.inputs[0] else get(name)
-
-    return merge_partitions(spark, path, step.target, keys, lambda stored: step.run(arriving, run_date, stored))
-
-
 def register_views(spark: SparkSession, get: Callable[[str], DataFrame]) -> None:
     """Make the analyst queries available to SQL under their names.
 

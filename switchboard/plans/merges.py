@@ -106,11 +106,12 @@ def client(current: DataFrame | None, incoming: DataFrame) -> DataFrame:
 
 
 def agent(current: DataFrame | None, incoming: DataFrame) -> DataFrame:
-    """Agents by latest delivery: an arriving agent replaces the stored row.
+    """Agents by latest delivery. A stored row without ``delivered_on`` gives way to any that arrives."""
+    return conform(agent_versions(current, incoming), "ods_agent_acid")
 
-    Agents carry no update time, so the delivery date decides within ``incoming`` and any
-    arriving row beats the stored one, which has none.
-    """
+
+def agent_versions(current: DataFrame | None, incoming: DataFrame) -> DataFrame:
+    """Agents with the date they were last delivered on, as agents carry no update time."""
     rows = incoming.withColumns(
         {
             "full_name": F.concat("first_name", F.lit(" "), "last_name"),
@@ -118,23 +119,32 @@ def agent(current: DataFrame | None, incoming: DataFrame) -> DataFrame:
             "term_ts": time.from_seconds("term_ts"),
         }
     )
-    spec = TABLES["ods_agent_acid"]
-    versioned = rows.select(*spec.names, F.col("load_date").alias("_v"))
-    stored = None if current is None else current.withColumn("_v", F.lit(None).cast("date"))
-    return conform(upsert(stored, versioned, ["agent_id"], "_v"), spec.name)
+    versioned = rows.select(*TABLES["ods_agent_acid"].names, F.col("load_date").alias("delivered_on"))
+    if current is not None and "delivered_on" not in current.columns:
+        current = current.withColumn("delivered_on", F.lit(None).cast("date"))
+    return upsert(current, versioned, ["agent_id"], "delivered_on")
+
+
+def closings(event: DataFrame) -> DataFrame:
+    """The last status event that closes each ticket."""
+    closing = event.where((F.col("event_type") == STATUS_EVENT) & F.col("new_value").isin(*CLOSING))
+    return closing.groupBy("ticket_id").agg(time.from_millis(F.max("event_ms")).alias("resolved_ts"))
 
 
 def ticket(current: DataFrame | None, incoming: DataFrame, event: DataFrame) -> DataFrame:
     """Tickets by latest update; resolved at the last status event that closes them."""
-    closing = event.where((F.col("event_type") == STATUS_EVENT) & F.col("new_value").isin(*CLOSING))
-    resolved = closing.groupBy("ticket_id").agg(time.from_millis(F.max("event_ms")).alias("resolved_ts"))
+    return tickets_closed(current, incoming, closings(event))
+
+
+def tickets_closed(current: DataFrame | None, incoming: DataFrame, closed: DataFrame) -> DataFrame:
+    """Tickets by latest update, with the closings known so far; a closing never gets earlier."""
     rows = incoming.withColumn("created_ts", time.from_millis("created_ms")).withColumn(
         "updated_ts", time.from_millis("updated_ms")
     )
     rows = conform(rows.withColumn("resolved_ts", F.lit(None)), "ods_ticket_acid")
     merged = upsert(current, rows, ["ticket_id"], "updated_ts").withColumnRenamed("resolved_ts", "_known")
-    out = merged.join(resolved, "ticket_id", "left")
-    return conform(out.withColumn("resolved_ts", F.coalesce("resolved_ts", "_known")), "ods_ticket_acid")
+    out = merged.join(closed, "ticket_id", "left")
+    return conform(out.withColumn("resolved_ts", F.greatest("resolved_ts", "_known")), "ods_ticket_acid")
 
 
 def invoice(current: DataFrame | None, incoming: DataFrame) -> DataFrame:
