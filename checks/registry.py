@@ -18,7 +18,7 @@ from checks.fixtures import DELIVERY_DAYS, RECIPES, RUN_DATE
 from checks.warehouse import Warehouse, warehouse
 from switchboard.functions import time
 from switchboard.functions.text import EMBEDDED_REF, call_driver, first_group, json_key
-from switchboard.operators import dedup, ranking, runs, sink, slices, textagg, tree
+from switchboard.operators import dedup, orders, ranking, runs, sink, slices, textagg, tree
 from switchboard.plans import aggs, cleanse, history, masters, merges, quality, views
 from switchboard.plans.daily import STEPS, VIEWS
 from switchboard.schemas import TABLES
@@ -228,10 +228,10 @@ def previous_contact(w: Warehouse) -> DataFrame:
 
 
 def global_rank(w: Warehouse) -> DataFrame:
-    orders = w.base["orders"].select("o_orderkey", "o_orderpriority", "o_totalprice")
+    placed = w.base["orders"].select("o_orderkey", "o_orderpriority", "o_totalprice")
     order = [*ranking.descending("o_totalprice"), *ranking.ascending("o_orderkey")]
-    rows = ranking.row_positions(orders, order, "position")
-    rows = ranking.tie_ranks(rows, ranking.ascending("o_orderpriority"), "prio_rank")
+    rows = orders.positions(placed, order, "position")
+    rows = orders.ranks(rows, ranking.ascending("o_orderpriority"), "prio_rank")
     return rows.select(
         "o_orderkey",
         "position",

@@ -12,8 +12,8 @@ from switchboard.functions.text import surrogate, utc_text
 from switchboard.operators import runs
 from switchboard.operators.dedup import greatest_by
 from switchboard.operators.layout import Value
+from switchboard.operators.orders import beside, in_ranges
 from switchboard.operators.sink import read_table, rewrite_partitions
-from switchboard.operators.slices import neighbour
 from switchboard.schemas import TABLES, Table
 from switchboard.session import store
 
@@ -37,10 +37,11 @@ def history(
     """
     rows = observed.where(F.col(ts).isNotNull())
     rows = greatest_by(rows, [*keys, ts], [F.col(c) for c in tracked], tracked)
-    rows = neighbour(rows, keys, ts, [], tracked, "_before")
+    # One order serves both steps: the second looks along the first's rows that are left.
+    rows = beside(in_ranges(rows, [F.col(c) for c in (*keys, ts)]), keys, tracked, "_before")
     values = F.struct(*tracked)
     starts = rows.where(F.col("_before").isNull() | ~F.col("_before").eqNullSafe(values)).drop("_before")
-    starts = neighbour(starts, keys, ts, [], [ts], "_next", following=True)
+    starts = beside(starts, keys, [ts], "_next", following=True)
     return starts.select(
         surrogate(*[F.col(k) for k in keys], utc_text(F.col(ts))).alias(id_column),
         *keys,

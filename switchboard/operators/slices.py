@@ -1,47 +1,19 @@
 """Ordered per-key computations whose tasks don't depend on the size of any key.
 
 A window over ``PARTITION BY key`` puts every row of a key, NULL included, into one task. Here rows are
-range-partitioned by key and time, so a key fills as many ranges as it needs; each range is its
-own window partition, and one row per range carries values across.
+put in ranges of key and time (``orders``), so a key fills as many ranges as it needs.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from itertools import accumulate
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.operators.ranking import ordered_ranges
+from switchboard.operators.orders import Given, in_ranges, neighbour, running_sum
 
-
-def neighbour(
-    df: DataFrame,
-    keys: Sequence[str],
-    ts: str,
-    tiebreak: Sequence[str],
-    value: Sequence[str],
-    out: str,
-    *,
-    following: bool = False,
-) -> DataFrame:
-    """Add ``out``: a struct of ``value`` from the previous (or following) row of the key.
-
-    Order is ``ts``, then ``tiebreak``; ``ts`` must not be NULL. ``out`` is NULL at the end.
-    """
-    step, edge = (F.lead, F.min_by) if following else (F.lag, F.max_by)
-    rows = ordered_ranges(df, [F.col(c) for c in (*keys, ts, *tiebreak)])
-    whole = F.struct(F.struct(*keys).alias("k"), F.struct(*value).alias("v"))
-    near = step(whole).over(Window.partitionBy("_range").orderBy("_in"))
-    # One row per range.
-    edges = rows.groupBy("_range").agg(edge(whole, "_in").alias("_carry"))
-    listed = sorted(edges.collect(), key=lambda r: r["_range"], reverse=following)
-    shifted = [(b["_range"], a["_carry"]) for a, b in zip([{"_carry": None}, *listed], listed, strict=False)]
-    carry = df.sparkSession.createDataFrame(shifted, edges.schema)
-    met = rows.withColumn("_near", near).join(F.broadcast(carry), "_range")
-    found = F.coalesce("_near", "_carry")
-    return met.withColumn(out, F.when(found["k"].eqNullSafe(F.struct(*keys)), found["v"])).select(*df.columns, out)
+__all__ = ["count_following", "neighbour"]
 
 
 def count_following(
@@ -53,6 +25,7 @@ def count_following(
     carry: Sequence[str],
     *,
     asks: str | None = None,
+    bounds: Given = None,
 ) -> DataFrame:
     """For each row, the number of rows of the same key that start in ``(end, end + horizon]``.
 
@@ -81,16 +54,8 @@ def count_following(
         F.struct((F.col("_t") + micros).alias("_at"), F.lit(1).alias("_sign")),
     )
     marks = points.unionByName(questions.select("*", F.inline(ends)), allowMissingColumns=True)
-    rows = ordered_ranges(marks, [F.col(key), F.col("_at"), F.col("rows").isNotNull()])
-    # One row per range.
-    totals = rows.groupBy("_range").agg(F.coalesce(F.sum("_w"), F.lit(0)).alias("_in_range"))
-    listed = sorted(totals.collect())
-    before = [0, *accumulate(r["_in_range"] for r in listed)]
-    offsets = [(r["_range"], b) for r, b in zip(listed, before, strict=False)]
-    offsets = df.sparkSession.createDataFrame(offsets, "_range long, _before long")
-    inside = Window.partitionBy("_range").orderBy("_in").rowsBetween(Window.unboundedPreceding, 0)
-    seen = rows.withColumn("_seen", F.coalesce(F.sum("_w").over(inside), F.lit(0)))
-    answered = seen.where(F.col("rows").isNotNull()).join(F.broadcast(offsets), "_range")
-    matches = F.sum(F.col("_sign") * (F.col("_seen") + F.col("_before"))).cast("long").alias("matches")
+    rows = in_ranges(marks, [F.col(key), F.col("_at"), F.col("rows").isNotNull()], bounds)
+    answered = running_sum(rows, "_w", "_seen").where(F.col("rows").isNotNull())
+    matches = F.sum(F.col("_sign") * F.col("_seen")).cast("long").alias("matches")
     answers = answered.groupBy(key, "_t", *carry, "rows").agg(matches).select(key, "_t", *carry, "rows", "matches")
     return nothing.unionByName(answers).withColumn(end, F.timestamp_micros("_t")).drop("_t")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.operators.ranking import ordered_ranges
+from switchboard.operators.orders import in_ranges
 
 
 def ordered_join(
@@ -26,8 +26,8 @@ def ordered_join(
     order; each range joins its own part of a key, and one part per range is left to concatenate,
     so no task gathers the rows of a key.
     """
-    rows = ordered_ranges(df.select(*keys, millis, text), [F.col(c) for c in (*keys, millis, text)])
-    parts = rows.groupBy(*keys, "_range").agg(_join("_in", text, sep).alias("_part"))
+    rows = in_ranges(df.select(*keys, millis, text), [F.col(c) for c in (*keys, millis, text)])
+    parts = rows.groupBy(*keys, "_range").agg(_join(millis, text, sep).alias("_part"))
     whole = parts.groupBy(*keys).agg(_join("_range", "_part", sep).alias(out))
     return same_groups(whole, df.groupBy(*keys).agg(*also), keys) if also else whole
 

@@ -13,11 +13,12 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from switchboard.operators import orders
 from switchboard.operators.runs import deliver
 from switchboard.operators.sink import read_table, replace_partition, replace_table
 from switchboard.plans import aggs, cleanse, dims, facts, history, masters, merges, views
 from switchboard.schemas import TABLES, layer_of
-from switchboard.session import apply_settings
+from switchboard.session import apply_settings, fresh_path
 
 DAY, WEEK, MONTH, WHOLE, STATE, HISTORY = "day", "week", "month", "whole", "state", "history"
 
@@ -309,12 +310,32 @@ def run_day(
             written[step.target] = masters.merge_changes(spark, path, step.target, feed, step.build)
         else:
             replace_table(step.run(get, run_date), path, step.target)
+    refresh_views(spark)
 
 
-def register_views(spark: SparkSession, get: Callable[[str], DataFrame]) -> None:
+# The views whose ranks, neighbours or counts run along a whole order.
+ORDERED = {"vw_repeat_contact_window", "vw_agent_scorecard", "vw_attrition_risk", "vw_first_contact_resolution"}
+# Per application: what its views were registered over.
+_registered: dict[str, tuple[Callable[[str], DataFrame], orders.Kept]] = {}
+
+
+def register_views(spark: SparkSession, get: Callable[[str], DataFrame], bounds: str | None = None) -> None:
     """Make the analyst queries available to SQL under their names.
 
-    Hot keys and global ranks are determined when this runs, so register again after a load.
+    They are plans over the tables that ``get`` gives; nothing is computed but, the first time, the
+    bounds of the orders, which are kept in the folder ``bounds``. ``run_day`` refreshes the views, so
+    that they show its rows and need not be registered again.
     """
+    kept = orders.Kept(spark, bounds or fresh_path(spark, "bounds"))
+    _registered[spark.sparkContext.applicationId] = (get, kept)
+    refresh_views(spark)
+
+
+def refresh_views(spark: SparkSession) -> None:
+    """Let registered views look at the tables' present files, over the bounds that are kept."""
+    if spark.sparkContext.applicationId not in _registered:
+        return
+    get, kept = _registered[spark.sparkContext.applicationId]
     for name, (build, inputs) in VIEWS.items():
-        build(*[get(i) for i in inputs]).createOrReplaceTempView(name)
+        frames = [get(i) for i in inputs]
+        (build(*frames, kept=kept) if name in ORDERED else build(*frames)).createOrReplaceTempView(name)

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from switchboard.functions.time import date_key
-from switchboard.operators import ranking
+from switchboard.operators import orders, ranking
 from switchboard.operators.dedup import greatest_by, latest
 from switchboard.operators.sink import replace_table
 from switchboard.plans.cleanse import loaded
@@ -128,7 +128,7 @@ def dim_disposition(disposition: DataFrame, run_date: dt.date) -> DataFrame:
     """Dispositions numbered by code. Codes are unique here, so the position is the dense rank."""
     rows = latest(loaded(disposition, run_date), ["disposition_code"], ["created_epoch"])
     order = ranking.ascending("disposition_code")
-    return conform(ranking.row_positions(rows, order, "disposition_sk"), "dim_disposition")
+    return conform(orders.positions(rows, order, "disposition_sk"), "dim_disposition")
 
 
 def _site_value(i: int) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from switchboard.functions import time
 from switchboard.functions.numbers import count_if, ratio, round_long
 from switchboard.functions.text import EMBEDDED_REF, call_driver, first_group
-from switchboard.operators import ranking
+from switchboard.operators import orders, ranking
 from switchboard.operators.dedup import greatest_by
 from switchboard.operators.slices import count_following, neighbour
 from switchboard.operators.tree import root_paths
@@ -105,11 +105,11 @@ def call_driver_regex(call: DataFrame, disposition: DataFrame) -> DataFrame:
     )
 
 
-def repeat_contact_window(interaction: DataFrame) -> DataFrame:
+def repeat_contact_window(interaction: DataFrame, kept: orders.Kept | None = None) -> DataFrame:
     """Previous contact of the customer and whether it was within 72 hours.
 
     Contacts that start together are ordered by interaction id. Customers with very many
-    contacts (a shared mailbox counts as one customer) are processed in time slices.
+    contacts (a shared mailbox counts as one customer) fill several ranges of the order.
     """
     rows = interaction.where(F.col("customer_ref").isNotNull() & (F.col("customer_ref") != "")).select(
         "interaction_id", "customer_ref", "channel", "start_ts"
@@ -122,6 +122,7 @@ def repeat_contact_window(interaction: DataFrame) -> DataFrame:
         ["interaction_id", "channel"],
         ["start_ts"],
         "_prev",
+        bounds=orders.named(kept, "repeat_contact_window"),
     )
     timed = timed.withColumn("prev_contact_ts", F.col("_prev.start_ts")).drop("_prev")
     both = timed.unionByName(untimed, allowMissingColumns=True)
@@ -174,7 +175,9 @@ def agent_roster_current(history: DataFrame, assignment: DataFrame) -> DataFrame
     return newest.join(current, "agent_id", "left")
 
 
-def agent_scorecard(daily: DataFrame, evaluation: DataFrame, skill: DataFrame, agent: DataFrame) -> DataFrame:
+def agent_scorecard(
+    daily: DataFrame, evaluation: DataFrame, skill: DataFrame, agent: DataFrame, kept: orders.Kept | None = None
+) -> DataFrame:
     """Averages per current agent, percent rank of handle time and quartile of QA score.
 
     The quartile orders equal scores by agent.
@@ -198,9 +201,10 @@ def agent_scorecard(daily: DataFrame, evaluation: DataFrame, skill: DataFrame, a
         .join(skills, "agent_id", "left")
         .withColumn("certified_skills", F.coalesce("certified_skills", F.lit(0)))
     )
-    rows = ranking.tie_ranks(rows, ranking.ascending("aht"), "_r")
+    rows = orders.ranks(rows, ranking.ascending("aht"), "_r", orders.named(kept, "agent_scorecard_aht"))
     rows = rows.withColumn("aht_pctile", ranking.percent_rank(F.col("_r"), F.col("_r_total")))
-    rows = ranking.row_positions(rows, [*ranking.descending("avg_qa_pct"), *ranking.ascending("agent_sk")], "_p")
+    order = [*ranking.descending("avg_qa_pct"), *ranking.ascending("agent_sk")]
+    rows = orders.positions(rows, order, "_p", orders.named(kept, "agent_scorecard_qa"))
     return rows.withColumn("qa_quartile", ranking.ntile(4, F.col("_p"), F.col("_p_total"))).select(
         "agent_sk",
         "full_name",
@@ -216,7 +220,9 @@ def agent_scorecard(daily: DataFrame, evaluation: DataFrame, skill: DataFrame, a
     )
 
 
-def attrition_risk(adherence: DataFrame, notice: DataFrame, agent: DataFrame) -> DataFrame:
+def attrition_risk(
+    adherence: DataFrame, notice: DataFrame, agent: DataFrame, kept: orders.Kept | None = None
+) -> DataFrame:
     """Risk of active agents: HIGH in the lowest adherence fifth or with any notice, MEDIUM in the
     second fifth. Weekly volume does not enter the result, so it is not read."""
     adh = adherence.groupBy("agent_sk").agg(F.avg("adherence_pct").alias("adherence_90d"))
@@ -228,7 +234,8 @@ def attrition_risk(adherence: DataFrame, notice: DataFrame, agent: DataFrame) ->
         .join(notices, "agent_id", "left")
         .withColumn("notice_events", F.coalesce("notice_events", F.lit(0)))
     )
-    rows = ranking.row_positions(rows, [*ranking.ascending("adherence_90d"), *ranking.ascending("agent_sk")], "_p")
+    order = [*ranking.ascending("adherence_90d"), *ranking.ascending("agent_sk")]
+    rows = orders.positions(rows, order, "_p", orders.named(kept, "attrition_risk"))
     band = ranking.ntile(5, F.col("_p"), F.col("_p_total"))
     risk = F.when((band == 1) | (F.col("notice_events") > 0), "HIGH").when(band == 2, "MEDIUM").otherwise("LOW")
     return rows.select(
@@ -270,6 +277,7 @@ def queue_sla_attainment(interval: DataFrame, queue: DataFrame, target: DataFram
 
 def first_contact_resolution(
     interaction: DataFrame,
+    kept: orders.Kept | None = None,
     *,
     per_interaction: bool = False,
 ) -> DataFrame:
@@ -288,6 +296,7 @@ def first_contact_resolution(
         FOLLOW_UP_SECONDS,
         ["date_key", "program_sk"],
         asks="resolved_flag",
+        bounds=orders.named(kept, "first_contact_resolution"),
     )
     weight = F.col("rows") if per_interaction else F.col("rows") * F.greatest("matches", F.lit(1))
     grouped = counted.groupBy("date_key", "program_sk").agg(
@@ -385,6 +394,8 @@ def program_margin(
     every row, so its result has rows x programs x contracts rows by definition; use it on the
     small inputs it was made for.
     """
+    if by_program and contract is None:
+        raise ValueError("the contracts are needed to tell which program a minimum belongs to")
     labour = timesheet.groupBy("program_id", F.col("work_month").alias("period_month")).agg(
         F.sum("billable_minutes").alias("minutes")
     )
