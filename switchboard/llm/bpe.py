@@ -1,7 +1,8 @@
 """Byte-pair encoding and decoding with a public tokenizer's vocabulary.
 
 A text is normalised (NFC, lower case), cut at white space, and cut further by the tokenizer's
-pattern. Each distinct word of a chunk is encoded once: a row holds the word's parts side by side,
+pattern. Each distinct word of a chunk is encoded once, and workers keep a bounded number of encoded
+words for the next chunks: a row holds the word's parts side by side,
 and beside them the rank of each adjacent pair. Again and again the smallest rank of the row is
 found, the boundary inside that pair is deleted, the parts move up, and the ranks next to the
 merged part are looked up anew, until no pair has a rank. All words of like length go through
@@ -31,9 +32,43 @@ from switchboard.llm.frames import Hasher, as_bytes, chunks, small_batches, tabl
 
 NONE = np.int32(2**31 - 1)
 SHORT = 64
+# Encoded words that a worker keeps.
+KEPT = 300_000
 CLASSES = (4, 8, 16, 32, SHORT)
 
 
+class Known:
+    """Token ids of words, by their hashes and sizes, from chunk to chunk; a full table begins anew."""
+
+    def __init__(self):
+        self.hashes = np.zeros(0, np.uint64)
+        self.sizes = self.places = self.counts = np.zeros(0, np.int64)
+        self.ids = np.zeros(0, np.int32)
+
+    def find(self, hashes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Whether each word (hashes ascend) is known, and where it is or belongs."""
+        at = np.searchsorted(self.hashes, hashes)
+        near = np.minimum(at, max(len(self.hashes) - 1, 0))
+        if not len(self.hashes):
+            return np.zeros(len(hashes), bool), at
+        return (self.hashes[near] == hashes) & (self.sizes[near] == sizes), at
+
+    def add(self, at: np.ndarray, hashes: np.ndarray, sizes: np.ndarray, ids: np.ndarray, counts: np.ndarray) -> None:
+        """Words that are not known, at the places that ``find`` gave; long ones are not kept."""
+        if len(self.hashes) + len(hashes) > KEPT:
+            self.__init__()
+            at = np.zeros(len(hashes), np.int64)
+        near = np.minimum(at, max(len(self.hashes) - 1, 0))
+        free = self.hashes[near] != hashes if len(self.hashes) else np.ones(len(hashes), bool)
+        keep = np.flatnonzero(free & (sizes <= SHORT))
+        places = (np.cumsum(counts) - counts)[keep]
+        count = counts[keep]
+        begin = len(self.ids) + np.cumsum(count) - count
+        self.ids = np.concatenate([self.ids, ids[np.arange(count.sum()) + np.repeat(places - (begin - len(self.ids)), count)]])
+        for name, values in (("hashes", hashes[keep]), ("sizes", sizes[keep]), ("places", begin), ("counts", count)):
+            setattr(self, name, np.insert(getattr(self, name), at[keep], values))
+
+
 class Encoder:
     """The vocabulary and merges of a tokenizer file with word ends."""
 
@@ -60,6 +95,7 @@ class Encoder:
         self.sizes = np.array([len(s) + 1 for s in strings], np.int64)
         self.places = np.cumsum(self.sizes) - self.sizes
         self.letters = np.frombuffer(b"".join(b" " + s for s in strings), np.uint8)
+        self.known = Known()
 
     def rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
         key = left.astype(np.int64) << 16 | right
@@ -189,8 +225,23 @@ class Encoder:
         starts, ends, row = word_spans(data, offsets)
         if not len(starts):
             return np.zeros(0, np.int32), np.zeros(len(pieces), np.int64)
-        _, first, which = np.unique(Hasher(data).ranges(starts, ends), return_index=True, return_inverse=True)
-        starts, sizes = starts[first], ends[first] - starts[first]
+        hashes, first, which = np.unique(Hasher(data).ranges(starts, ends), return_index=True, return_inverse=True)
+        starts, sizes = starts[first], (ends[first] - starts[first]).astype(np.int64)
+        known, at = self.known.find(hashes, sizes)
+        per, place = np.zeros(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+        per[known], place[known] = self.known.counts[at[known]], self.known.places[at[known]]
+        new = np.flatnonzero(~known)
+        made, per[new] = self._cut(data, starts[new], sizes[new])
+        place[new] = len(self.known.ids) + np.cumsum(per[new]) - per[new]
+        ids = np.concatenate([self.known.ids, made])
+        self.known.add(at[new], hashes[new], sizes[new], made, per[new])
+        # From distinct words to all words, to texts.
+        tokens = per[which]
+        every = np.arange(tokens.sum()) + np.repeat(place[which] - (np.cumsum(tokens) - tokens), tokens)
+        return ids[every], np.bincount(row, tokens, len(pieces)).astype(np.int64)
+
+    def _cut(self, data: np.ndarray, starts: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of words that the pattern cuts into matches, one after another, and how many each has."""
         # Words of a-z alone are one match of the pattern; all others are cut by it.
         other = np.concatenate([[0], np.cumsum((data < 97) | (data > 122))])
         mixed = np.flatnonzero(other[starts + sizes] > other[starts])
@@ -207,12 +258,7 @@ class Encoder:
         length[is_cut[of]] = lengths
         data = np.concatenate([data, np.frombuffer(b"".join(flat), np.uint8)])
         ids, count = self.words(data, begin, length)
-        # From matches to distinct words, to all words, to texts.
-        per = np.bincount(of, count, len(made)).astype(np.int64)
-        place = np.cumsum(per) - per
-        tokens = per[which]
-        at = np.arange(tokens.sum()) + np.repeat(place[which] - (np.cumsum(tokens) - tokens), tokens)
-        return ids[at], np.bincount(row, tokens, len(pieces)).astype(np.int64)
+        return ids, np.bincount(of, count, len(made)).astype(np.int64)
 
     def decode(self, ids: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Bytes of all decoded texts, each with one leading space if it has tokens, and their offsets."""

@@ -320,17 +320,19 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
 def keep_one(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """The rows of ``docs`` with one document of each component: the one with the smallest doc_id.
 
-    Texts without words are all kept. Rows that repeat the kept document, id and text, go too.
+    Rows that repeat the kept document, id and text, go too. Rows without words are linked with
+    nothing, so all of them stay, rows that repeat each other too.
     """
     found = near_components(docs, words, percent)
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("kept")
     kept = found.where("root is not null").groupBy("root").agg(first).select("kept.doc_id", "kept.key")
-    kept = kept.union(found.where("root is null").select("doc_id", "key").distinct())
+    wordless = found.where("root is null").select("key").distinct()
     own, key = spare(docs, "_id", "_key")
     kept = kept.select(F.col("doc_id").alias(own), F.col("key").alias(key))
     rows = docs.withColumns({own: F.col("doc_id").cast("long"), key: text_key()})
     same = rows[own].eqNullSafe(kept[own]) & (rows[key] == kept[key])
-    return rows.join(kept, same, "left_semi").dropDuplicates([own, key]).drop(own, key)
+    others = rows.join(wordless.withColumnRenamed("key", key), key, "left_semi").drop(own, key)
+    return rows.join(kept, same, "left_semi").dropDuplicates([own, key]).drop(own, key).unionByName(others)
 
 
 def op8(spark, folder: str) -> DataFrame:

@@ -17,16 +17,22 @@ the transform are extended to the left breadth first, which gives the common pre
 neighbouring suffixes by increasing value, and the extension stops at the window's length:
 neighbours without a value there share a whole window. Groups of weight two or more are repeats.
 
-A core with many places would make a large block. Its runs are cut finer (``STEPS``), with longer cores and
-shorter sides; at the finest step each window is a core by itself, and its places merge into one row. Equal texts of at least ``length`` bytes are one text with a count; each of
-its bytes is a repeat by definition. Null texts are empty; texts shorter than ``length`` and empty
-tables lose nothing; rows that repeat a doc_id are places like any others.
+A core may have very many different contexts, more than a task should hold (``LIMIT`` symbols). Its
+interval is then extended over all tasks: each context is dealt to the next ``STEPS`` by its core and
+the bytes beside it that all windows of a shorter run share. Equal ones merge again, most extended
+cores have few contexts and are transformed as above, and the others are extended further, up to
+whole windows. A context's marks come back as one bitmap, so a place is always one row per run.
+
+Equal texts of at least ``length`` bytes are one text with a count; each of its bytes is a repeat by
+definition. Null texts are empty; texts shorter than ``length`` and empty tables lose nothing; rows
+that repeat a doc_id are places like any others.
 """
 
 from __future__ import annotations
 
+import struct
 from collections.abc import Iterator
-from hashlib import sha256
+from hashlib import blake2b, sha256
 
 import numpy as np
 import pyarrow as pa
@@ -38,11 +44,12 @@ from switchboard.session import store
 
 GRAM = 16
 STEP = 128
-# The step of a run, and the number of places of its core up to which it is used; the last is for all others.
-STEPS = ((STEP, 4000), (16, 60_000), (1, None))
+# Steps of the runs that the contexts of a crowded core are dealt to, one after the other.
+STEPS = (16, 1)
 CHUNK = 1 << 20
-# Symbols of one transformed block.
+# Symbols of one transformed block, and of the contexts of one core that are transformed in one task.
 BLOCK = 1 << 20
+LIMIT = 3 << 20
 
 
 def least_ahead(values: np.ndarray, width: int) -> np.ndarray:
@@ -120,24 +127,13 @@ def _contexts(length: int, whole: bool):
         for part in chunks(batches, "text", CHUNK):
             runs = Runs(*as_bytes(part.column("text")), length)
             flags = part.column("flags")
-            told = flags.flatten()
             row = np.repeat(np.arange(part.num_rows), np.diff(flags.offsets.to_numpy()))
-            marked = (row << 33) + told.field("at").to_numpy()
+            marked = np.sort((row << 33) + flags.flatten().to_numpy())
             mine = (runs.row << 33) + runs.first - runs.offsets[runs.row]
-            order = np.argsort(marked)
-            found = np.minimum(np.searchsorted(marked[order], mine), max(len(marked) - 1, 0))
-            hit = marked[order][found] == mine if len(marked) else np.zeros(len(mine), bool)
-            step = told.field("step").to_numpy()[order][found[hit]].astype(np.int64)
-            first, last, core, row = (x[hit] for x in (runs.first, runs.last, runs.core, runs.row))
-            # Each run is cut into its parts of ``step`` window starts.
-            low, high = (core - last) // step, (core - first) // step
-            count = high - low + 1
-            of = np.repeat(np.arange(len(step)), count)
-            part_ = np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count) + low[of]
-            step, row, begin = step[of], row[of], core[of] - step[of] * part_
-            first, last = np.maximum(first[of], begin - step + 1), np.minimum(last[of], begin)
-            end = begin + length - step + 1
-            stop = last + length
+            found = np.minimum(np.searchsorted(marked, mine), max(len(marked) - 1, 0))
+            hit = marked[found] == mine if len(marked) else np.zeros(len(mine), bool)
+            first, last, begin, row = (x[hit] for x in (runs.first, runs.last, runs.core, runs.row))
+            end, stop = begin + length - STEP + 1, last + length
             second = Hasher(runs.values, 0xD1342543DE82EF95, 2)
             ids = []
             for n, h in enumerate((runs.hasher, second)):
@@ -148,10 +144,9 @@ def _contexts(length: int, whole: bool):
             columns += [part.column("least").take(pa.array(row)), pa.array(first - runs.offsets[row])]
             if whole:
                 columns += [_cut(runs.values, first, begin), _cut(runs.values, end, stop)]
-                columns += [pa.array(step)]
             else:
                 columns += [part.column("key").take(pa.array(row))]
-            yield pa.RecordBatch.from_arrays(columns, [*CONTEXT, *(["left", "right", "step"] if whole else ["key"])])
+            yield pa.RecordBatch.from_arrays(columns, [*CONTEXT, *(["left", "right"] if whole else ["key"])])
 
     return run
 
@@ -241,23 +236,23 @@ def _search(lengths: np.ndarray, symbols: np.ndarray, depth: int, weight, least,
     return repeated, first
 
 
-def _transform(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _transform(rows: list[pa.RecordBatch], step: int) -> Iterator[pa.RecordBatch]:
     """Marks of one block: per context with repeats, a bit for each window of it."""
     block = pa.Table.from_batches(rows).combine_chunks().to_batches()[0]
     name = lambda c: block.column(c).to_numpy(zero_copy_only=False)
     new = np.ones(block.num_rows, bool)
     new[1:] = (np.diff(name("core1")) != 0) | (np.diff(name("core2")) != 0)
     core = np.cumsum(new) - 1
-    weight, least, at, steps = name("n"), name("least"), name("at"), name("step")
+    weight, least, at = name("n"), name("least"), name("at")
     (left, begins), (right, ends) = as_bytes(block.column("left")), as_bytes(block.column("right"))
     a, b = np.diff(begins), np.diff(ends)
     # A core with one context needs no sorting: its windows are as often there as the context.
     lone = np.bincount(core)[core] == 1
-    made = [(np.flatnonzero(lone & (weight >= 2)), None)]
-    for step_ in np.unique(steps):
-        pick = np.flatnonzero(~lone & (steps == step_))
-        if not len(pick):
-            continue
+    pick = np.flatnonzero(lone & (weight >= 2))
+    ones = [np.packbits(np.ones(n, np.uint8)).tobytes() for n in (a + b + 2 - step)[pick]]
+    made = [(pick, [ones, ones])]
+    pick = np.flatnonzero(~lone)
+    if len(pick):
         lengths = a[pick] + b[pick] + 2
         close = np.cumsum(lengths)
         symbols = np.zeros(close[-1], np.int64)
@@ -266,16 +261,15 @@ def _transform(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         symbols[middle] = core[pick] + 257
         for values, places, sizes, to in ((left, begins, a, middle - a[pick]), (right, ends, b, middle + 1)):
             size = sizes[pick]
-            step = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
-            symbols[np.repeat(to, size) + step] = values[np.repeat(places[:-1][pick], size) + step].astype(np.int64) + 1
+            beside = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+            symbols[np.repeat(to, size) + beside] = values[np.repeat(places[:-1][pick], size) + beside].astype(np.int64) + 1
         _, dense = np.unique(symbols, return_inverse=True)
-        repeated, first = _search(lengths, dense, int(step_), weight[pick], least[pick], at[pick])
+        repeated, first = _search(lengths, dense, step, weight[pick], least[pick], at[pick])
         some = np.add.reduceat(repeated, close - lengths) > 0
-        spans = list(zip((close - lengths)[some], close[some], strict=True))
+        windows = (lengths - 1 - step)[some]
+        spans = list(zip((close - lengths)[some], (close - lengths)[some] + windows + 1, strict=True))
         made.append((pick[some], [[np.packbits(bits[s:e]).tobytes() for s, e in spans] for bits in (repeated, first)]))
     for pick, marks in made:
-        if marks is None:  # a one for each window
-            marks = [[np.packbits(np.ones(n, np.uint8)).tobytes() for n in (a + b + 2 - steps)[pick]]] * 2
         where = pa.array(pick)
         yield pa.RecordBatch.from_arrays(
             [*(block.column(c).take(where) for c in ("c1", "c2", "least", "at")), *(pa.array(m, pa.binary()) for m in marks)],
@@ -283,29 +277,123 @@ def _transform(rows: list[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _blocks(step: int):
     """Blocks of whole cores, from rows in the order of cores."""
-    kept: list[pa.RecordBatch] = []
-    size, last = 0, None
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []
+        size, last = 0, None
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            ids = np.stack([batch.column(c).to_numpy() for c in ("core1", "core2")], axis=1)
+            cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1), batch.num_rows]
+            if size >= BLOCK and last != tuple(ids[0]):
+                yield from _transform(kept, step)
+                kept, size = [], 0
+            bytes_ = batch.get_total_buffer_size()
+            if size + bytes_ > BLOCK and len(cuts) > 2:  # end the block with the core that runs into this batch
+                kept.append(batch.slice(0, cuts[-2]))
+                yield from _transform(kept, step)
+                kept, size = [batch.slice(cuts[-2])], 0
+            else:
+                kept.append(batch)
+                size += bytes_
+            last = tuple(ids[-1])
+        if kept:
+            yield from _transform(kept, step)
+
+    return run
+
+
+def _extended(step: int, shorter: int):
+    """Contexts of runs of ``step`` windows as contexts of their parts of ``shorter`` windows.
+
+    A window that starts d bytes before the core belongs to part d // shorter. All windows of part p
+    hold the core, the shorter * p bytes before it and the step - shorter * (p + 1) bytes behind it:
+    these make the part's core, what is left of the sides makes its context.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                left, right = row["left"], row["right"]
+                far, near = len(left), step - 1 - len(right)
+                core = struct.pack("<qqi", row["core1"], row["core2"], step)
+                for part in range(near // shorter, far // shorter + 1):
+                    begin, behind = shorter * part, step - shorter * (part + 1)
+                    high, low = min(far, begin + shorter - 1), max(near, begin)
+                    middle = blake2b(core + bytes([part]) + left[far - begin :] + right[:behind], digest_size=16).digest()
+                    sides = left[far - high : far - begin], right[behind : step - 1 - low]
+                    own = blake2b(middle + bytes([len(sides[0])]) + sides[0] + b"|" + sides[1], digest_size=16).digest()
+                    ids = (*struct.unpack("<qq", middle), *struct.unpack("<qq", own))
+                    at = row["at"] + far - high
+                    out.append((row["c1"], row["c2"], far - high, high - low + 1, row["n"], *ids, row["least"], at, *sides))
+            if out:
+                yield pa.RecordBatch.from_pydict(dict(zip(_PART.names, zip(*out, strict=True), strict=True)), schema=_PART)
+
+    return run
+
+
+_LONGS = ("o1", "o2", "offset", "windows", "n", "core1", "core2", "c1", "c2", "least", "at")
+_PART = pa.schema([*((c, pa.int64()) for c in _LONGS), ("left", pa.binary()), ("right", pa.binary())])
+_PART_SCHEMA = ", ".join([*(f"{c} long" for c in _LONGS), "left binary, right binary"])
+
+
+def _gathered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The marks of a context from those of its parts."""
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        ids = np.stack([batch.column(c).to_numpy() for c in ("core1", "core2")], axis=1)
-        cuts = [0, *(np.flatnonzero((ids[1:] != ids[:-1]).any(axis=1)) + 1), batch.num_rows]
-        if size >= BLOCK and last != tuple(ids[0]):
-            yield from _transform(kept)
-            kept, size = [], 0
-        bytes_ = batch.get_total_buffer_size()
-        if size + bytes_ > BLOCK and len(cuts) > 2:  # end the block with the core that runs into this batch
-            kept.append(batch.slice(0, cuts[-2]))
-            yield from _transform(kept)
-            kept, size = [batch.slice(cuts[-2])], 0
-        else:
-            kept.append(batch)
-            size += bytes_
-        last = tuple(ids[-1])
-    if kept:
-        yield from _transform(kept)
+        out = []
+        for row in batch.to_pylist():
+            bits = np.zeros((2, row["windows"]), np.uint8)
+            for mark in row["marks"]:
+                span = slice(mark["offset"], mark["offset"] + mark["windows"])
+                for k, name in enumerate(("repeated", "first")):
+                    if name == "repeated" or mark["here"]:
+                        bits[k, span] = np.unpackbits(np.frombuffer(mark[name], np.uint8))[: mark["windows"]]
+            out.append((row["c1"], row["c2"], row["least"], row["at"], *(np.packbits(b).tobytes() for b in bits)))
+        names = ["c1", "c2", "least", "at", "repeated", "first"]
+        kinds = [pa.int64()] * 4 + [pa.binary()] * 2
+        yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names)
+
+
+_MARKS = "c1 long, c2 long, least long, at long, repeated binary, first binary"
+
+
+def _merged(contexts: DataFrame) -> DataFrame:
+    """Equal contexts as one with their weight and their first place."""
+    merged = contexts.groupBy("core1", "core2", "c1", "c2").agg(
+        F.sum("n").alias("n"),
+        F.min(F.struct("least", "at")).alias("head"),
+        *(F.any_value(c).alias(c) for c in ("left", "right")),
+    )
+    return merged.select("core1", "core2", "c1", "c2", "n", "head.least", "head.at", "left", "right")
+
+
+def _marks(merged: DataFrame, step: int, limit: int) -> DataFrame:
+    """Per context with repeats (c1, c2): its first place, and a bit for each of its windows."""
+    core = ["core1", "core2"]
+    size = F.sum(F.octet_length("left") + F.octet_length("right") + 2)
+    crowded = store(merged.groupBy(*core).agg(size.alias("size")).where(F.col("size") > limit).select(*core), "crowded")
+    if step == 1 or crowded.isEmpty():
+        dealt = merged.repartition(*core).sortWithinPartitions(*core)
+        return store(dealt.mapInArrow(_blocks(step), _MARKS), "marks")
+    calm = _marks(merged.join(crowded, core, "left_anti"), step, limit)
+    shorter = next(s for s in STEPS if s < step)
+    parts = store(merged.join(crowded, core).mapInArrow(_extended(step, shorter), _PART_SCHEMA), "parts")
+    found = _marks(store(_merged(parts), "merged"), shorter, limit).alias("m")
+    here = (F.col("p.least") == F.col("m.least")) & (F.col("p.at") == F.col("m.at"))
+    marks = F.collect_list(F.struct("p.offset", "p.windows", "m.repeated", "m.first", here.alias("here"))).alias("marks")
+    # A context begins where its first part does, and ends with its last.
+    places = parts.groupBy("o1", "o2").agg(
+        F.any_value("least").alias("least"),
+        F.min(F.col("at") - F.col("offset")).alias("at"),
+        F.max(F.col("offset") + F.col("windows")).alias("windows"),
+    )
+    met = parts.alias("p").join(found, ["c1", "c2"]).groupBy("p.o1", "p.o2").agg(marks)
+    met = met.join(places, ["o1", "o2"]).select(F.col("o1").alias("c1"), F.col("o2").alias("c2"), "least", "at", "windows", "marks")
+    return store(calm.unionByName(met.mapInArrow(_gathered, _MARKS)), "marks")
 
 
 def _removed(length: int, keep_first: bool, text: bool):
@@ -337,14 +425,9 @@ def _removed(length: int, keep_first: bool, text: bool):
     return run
 
 
-def _step(places):
-    out = F.lit(STEPS[-1][0])
-    for step, most in STEPS[-2::-1]:
-        out = F.when(places <= most, step).otherwise(out)
-    return out.cast("int")
-
-
-def repeated_bytes(docs: DataFrame, length: int = 400, *, keep_first: bool = False, text: bool = False) -> DataFrame:
+def repeated_bytes(
+    docs: DataFrame, length: int = 400, *, keep_first: bool = False, text: bool = False, limit: int = LIMIT
+) -> DataFrame:
     """Per distinct text that loses bytes: key, n_removed, n_spans and ``kept``: SHA-256 or the text.
 
     Text is cut at whole characters: a character of which a byte goes is dropped.
@@ -356,25 +439,19 @@ def repeated_bytes(docs: DataFrame, length: int = 400, *, keep_first: bool = Fal
     rows = rows.where(F.octet_length("text") >= length)
     cores = store(rows.select("key", "text").mapInArrow(_cores(length), "core long, key binary, at long"), "cores")
     place = F.xxhash64("key", "at")
-    twice = cores.groupBy("core").agg(F.min(place).alias("a"), F.max(place).alias("b"), F.count(F.lit(1)).alias("n"))
+    twice = cores.groupBy("core").agg(F.min(place).alias("a"), F.max(place).alias("b"))
     # Written first, so that the join meets two plain shuffles and a core with many places can be split.
-    twice = store(twice.where("a != b").select("core", _step(F.col("n")).alias("step")), "twice")
-    flags = cores.join(twice, "core").groupBy("key").agg(F.collect_set(F.struct("at", "step")).alias("flags"))
+    twice = store(twice.where("a != b").select("core"), "twice")
+    flags = cores.join(twice, "core").groupBy("key").agg(F.collect_set("at").alias("flags"))
     # One text per key: rows with one key are equal, so any of them will do.
     texts = rows.groupBy("key").agg(F.any_value("text").alias("text"), F.min("doc_id").alias("least"))
     texts = store(texts.join(flags, "key").withColumn("least", F.coalesce("least", F.lit(-1))), "flagged")
-    contexts = texts.mapInArrow(_contexts(length, True), f"{_CONTEXT_SCHEMA}, left binary, right binary, step long")
-    merged = contexts.groupBy("core1", "core2", "c1", "c2").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.min(F.struct("least", "at")).alias("head"),
-        *(F.any_value(c).alias(c) for c in ("left", "right", "step")),
-    )
-    merged = merged.select("core1", "core2", "c1", "c2", "n", "head.least", "head.at", "left", "right", "step")
-    dealt = merged.repartition("core1", "core2").sortWithinPartitions("core1", "core2")
-    marks = dealt.mapInArrow(_blocks, "c1 long, c2 long, least long, at long, repeated binary, first binary")
+    contexts = texts.mapInArrow(_contexts(length, True), f"{_CONTEXT_SCHEMA}, left binary, right binary")
+    merged = store(_merged(contexts.withColumn("n", F.lit(1).cast("long"))), "contexts")
+    marks = _marks(merged, STEP, limit)
     places = texts.mapInArrow(_contexts(length, False), f"{_CONTEXT_SCHEMA}, key binary")
     here = (F.col("p.least") == F.col("m.least")) & (F.col("p.at") == F.col("m.at"))
-    found = places.alias("p").join(store(marks, "marks").alias("m"), ["c1", "c2"])
+    found = places.alias("p").join(marks.alias("m"), ["c1", "c2"])
     found = found.groupBy("key").agg(
         F.collect_list(F.struct("p.at", "m.repeated", "m.first", here.alias("here"))).alias("marks")
     )
@@ -385,7 +462,7 @@ def repeated_bytes(docs: DataFrame, length: int = 400, *, keep_first: bool = Fal
     )
 
 
-def cut_repeats(docs: DataFrame, length: int = 256) -> DataFrame:
+def cut_repeats(docs: DataFrame, length: int = 256, limit: int = LIMIT) -> DataFrame:
     """``docs`` without the bytes of repeated strings but for their first place by doc_id and byte.
 
     Of equal texts of at least ``length`` bytes the one with the smallest doc_id keeps its text
@@ -393,7 +470,7 @@ def cut_repeats(docs: DataFrame, length: int = 256) -> DataFrame:
     the others become empty. n_chars follows the text. All rows stay.
     """
     key, least, kept = spare(docs, "_key", "_least", "_kept")
-    found = repeated_bytes(docs, length, keep_first=True, text=True)
+    found = repeated_bytes(docs, length, keep_first=True, text=True, limit=limit)
     rows = docs.withColumn(key, text_key())
     firsts = rows.where(F.octet_length("text") >= length).groupBy(key).agg(F.min("doc_id").alias(least))
     changed = found.select(F.col("key").alias(key), F.col("kept").alias(kept))

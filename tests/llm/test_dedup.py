@@ -33,10 +33,12 @@ def test_one_document_of_each_component_stays(documents, texts):
     assert {r.doc_id for r in kept.collect()} == want and kept.count() == len(want)
 
 
-def test_near_copies_of_odd_tables(odd, nothing):
+def test_near_copies_of_odd_tables(spark, odd, nothing):
     got = near_dedup.near_components(odd).collect()
     assert len(got) == odd.count()
     assert {r.component_id for r in got if r.n_shingles == 5} == {5}
+    six = spark.createDataFrame([(None, None), (None, ""), (None, ""), (7, ""), (7, ""), (8, None)], "doc_id long, text string")
+    assert near_dedup.keep_one(six).count() == 6
     assert sorted((r.doc_id or 0, r.text or "") for r in near_dedup.keep_one(odd).collect()) == [
         (0, ""), (2, ""), (5, "a b c d e f g"), (5, "other words here"), (9, "")
     ]
@@ -49,11 +51,11 @@ def test_connected_components_of_a_chain_and_a_star(spark):
     assert {r.node: r.root for r in got} == {**{i: 0 for i in range(41)}, **{100 + i: 100 for i in range(30)}}
 
 
-@pytest.mark.parametrize("most", [(4000, 60_000), (1, 60_000), (2, 4), (1, 1)])
-def test_repeated_strings_equal_all_windows(documents, texts, monkeypatch, most):
-    monkeypatch.setattr(suffix_dedup, "STEPS", ((128, most[0]), (16, most[1]), (1, None)))
+@pytest.mark.parametrize("limit", [suffix_dedup.LIMIT, 2000, 200, 1])
+def test_repeated_strings_equal_all_windows(documents, texts, limit):
+    """Small limits: cores are extended over tasks, up to whole windows."""
     rows = {3 * i + 1: w for i, w in enumerate(brute.repeats(texts, 400))}
-    found = {r.key: r for r in suffix_dedup.repeated_bytes(documents, 400).collect()}
+    found = {r.key: r for r in suffix_dedup.repeated_bytes(documents, 400, limit=limit).collect()}
     keyed = documents.select("doc_id", near_dedup.text_key().alias("key")).collect()
     copies = {k: sum(r.key == k for r in keyed) for k in {r.key for r in keyed}}
     for r in keyed:
@@ -63,10 +65,20 @@ def test_repeated_strings_equal_all_windows(documents, texts, monkeypatch, most)
             assert (got.n_removed, got.n_spans, got.kept) == (removed, spans, digest) if got else removed == 0
 
 
-@pytest.mark.parametrize("length", [160, 256])
-def test_first_places_keep_their_strings(documents, texts, length):
+def test_registered_query_counts_copies(spark, documents, texts, odd, tmp_path):
+    """Every row, copies too; rows without doc_id and repeated rows are places like any others."""
+    odd = odd.union(spark.createDataFrame([(None, "y" * 900, *[None] * 5), (None, "z" * 900 + "1", *[None] * 5)], odd.schema))
+    documents.union(odd).write.parquet(str(tmp_path / "documents.parquet"))
+    listed = [(r.doc_id, r.text) for r in spark.read.parquet(str(tmp_path / "documents.parquet")).collect()]
+    want = sorted(((i, *w) for (i, _), w in zip(listed, brute.repeats([t for _, t in listed], 400), strict=True)), key=repr)
+    got = suffix_dedup.op2(spark, str(tmp_path)).collect()
+    assert sorted(((r.doc_id, r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got), key=repr) == want
+
+
+@pytest.mark.parametrize("length, limit", [(160, suffix_dedup.LIMIT), (256, suffix_dedup.LIMIT), (160, 300), (256, 1)])
+def test_first_places_keep_their_strings(documents, texts, length, limit):
     want = brute.first_kept([(3 * i + 1, t) for i, t in enumerate(texts)], length)
-    got = suffix_dedup.cut_repeats(documents, length)
+    got = suffix_dedup.cut_repeats(documents, length, limit)
     assert got.columns == documents.columns
     rows = got.collect()
     assert {r.doc_id: r.text for r in rows} == want
