@@ -28,9 +28,9 @@ HEADLINE = [
     "load_fact_queue_interval",
     "load_fact_csat_survey",
     "load_fact_billing_line",
-    "merge_timesheet",
-    "scd2_agent",
-    "upsert_ticket",
+    "rebuild_timesheet",
+    "rebuild_agent_scd2",
+    "rebuild_ticket_acid",
     "agg_agent_daily",
     "agg_program_monthly",
     "vw_org_hierarchy",

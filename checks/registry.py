@@ -22,7 +22,7 @@ from switchboard.operators import dedup, orders, ranking, runs, sink, slices, te
 from switchboard.plans import aggs, cleanse, history, masters, merges, quality, views
 from switchboard.plans.daily import STEPS, VIEWS
 from switchboard.schemas import TABLES
-from switchboard.session import fresh_path
+from switchboard.session import fresh_path, store
 from switchboard.sources import calendar, feeds
 
 Query = Callable[[Warehouse], DataFrame]
@@ -101,6 +101,7 @@ SPLICED = {
     "scd2_agent_skill": "ods_agent_skill_scd2",
     "scd2_agent_assignment": "ods_agent_assignment_scd2",
 }
+REBUILT = ("ods_agent_scd2", "ods_ticket_acid", "ods_timesheet")
 # Days that cut the changes and assignments of a month into three deliveries.
 CUTS = (dt.date(2024, 1, 11), dt.date(2024, 1, 21))
 
@@ -515,6 +516,51 @@ def table_diff(w: Warehouse) -> DataFrame:
     return quality.table_diff(clean, raw, ["call_id"])
 
 
+def _tickets(w: Warehouse, *days: dt.date) -> DataFrame:
+    rows = w.get("stg_tkt_ticket")
+    return rows.where(F.col("load_date").isin([F.lit(d) for d in days])).select("ticket_id", "status", "updated_ms", "priority")
+
+
+def table_diff_ranges(w: Warehouse) -> DataFrame:
+    """The run date's tickets against a copy whose lowest sixteenth of the keys came on an earlier day:
+    some with other values, and most not at all. The same tickets, under high numbers, are on one side only."""
+    left = _tickets(w, RUN_DATE)
+    low = F.floor(w.get("stg_tkt_ticket").agg(F.max("ticket_id")).first()[0] / F.lit(16))
+    early = _tickets(w, DELIVERY_DAYS[0]).where(F.col("ticket_id") <= low)
+    right = left.where(F.col("ticket_id") > low).unionByName(early)
+    lone = early.withColumn("ticket_id", F.col("ticket_id") + 10**7)
+    return quality.ranged_diff(store(left, "left"), store(right.unionByName(lone), "right"), "ticket_id")
+
+
+def dq_scd2_faults(w: Warehouse) -> DataFrame:
+    """The skill history with wrong surrogates, keys without a current version and gaps."""
+    rows = w.get("ods_agent_skill_scd2")
+    agent = F.col("agent_id")
+    broken = rows.withColumns(
+        {
+            "agent_skill_history_id": F.when(agent % 5 == 0, F.lit("x")).otherwise(F.col("agent_skill_history_id")),
+            "is_current": F.col("is_current") & (agent % 3 != 0),
+            "eff_to_ts": F.when(agent % 4 == 1, F.col("eff_to_ts") + F.expr("INTERVAL 1 SECOND")).otherwise(F.col("eff_to_ts")),
+        }
+    )
+    return quality.scd2_integrity(broken, "ods_agent_skill_scd2", ["agent_id", "skill_id"], "agent_skill_history_id")
+
+
+def dq_dim_date_faults(w: Warehouse) -> DataFrame:
+    """A calendar that lacks the 13th of each month and shows July's weekends as working days."""
+    source = calendar.calendar_of(w.get("obs_calendar"), "d")
+    loaded = source.where(F.col("date_key") % 100 != 13).withColumn("is_weekend", F.col("is_weekend") & (F.col("month_no") != 7))
+    return quality.dim_date_match(loaded, source)
+
+
+def active_agents_merged(w: Warehouse) -> DataFrame:
+    """Agents per site over all days, and over all, from one stored sketch per day and site."""
+    daily = store(views.active_agent_sketches(w.get("fact_interaction"), w.get("dim_agent")), "sketches")
+    month = F.floor(F.col("date_key") / 100).cast("long").alias("month_key")
+    sites = views.active_agents_over(daily, month, F.col("site_code"))
+    return sites.unionByName(views.active_agents_over(daily, month).withColumn("site_code", F.lit("all")))
+
+
 def dq_report(w: Warehouse) -> DataFrame:
     return quality.report(
         {"pk_unique": dq_pk_unique(w), "table_populated": dq_table_populated(w), "epoch_range": dq_epoch_range(w)}
@@ -559,7 +605,13 @@ QUERIES: dict[str, Query] = {
     "dq_edge_values": dq_edge_values,
     "dq_dim_date_match": dq_dim_date_match,
     "table_diff": table_diff,
+    "table_diff_ranges": table_diff_ranges,
+    "dq_scd2_faults": dq_scd2_faults,
+    "dq_dim_date_faults": dq_dim_date_faults,
+    "active_agents_merged": active_agents_merged,
     "dq_report": dq_report,
+    # Whole states from all deliveries at once; what one run makes of a delivery is timed apart.
+    **{f"rebuild_{t.removeprefix('ods_')}": (lambda w, t=t: w.build(t)) for t in REBUILT},
 }
 
 
@@ -686,6 +738,53 @@ def _feed(table: str, column: str, line: str, exclude: str = "") -> str:
     return f"SELECT * {exclude} FROM ({sql.plain(table)}) UNION ALL BY NAME SELECT {line} AS {column} FROM labels"
 
 
+def _sides(left: str, right: str, columns: list[str]) -> str:
+    """Both sides of a comparison by key, ``same_`` for equal columns; keys that only one side has are there too."""
+    same = ", ".join(f"l.{c} IS NOT DISTINCT FROM r.{c} AS same_{c}" for c in columns)
+    return (
+        f"l AS ({left}), r AS ({right}), pairs AS (SELECT coalesce(l.k, r.k) AS k, l.k IS NOT NULL AND r.k IS NOT NULL AS met, "
+        f"{same} FROM l FULL JOIN r ON l.k = r.k)"
+    )
+
+
+def _lines(columns: list[str], where: str = "TRUE") -> str:
+    lines = [
+        f"SELECT '{c}' AS column_name, count(*) FILTER (met) AS compared, count(*) FILTER (met AND NOT same_{c}) AS differing "
+        f"FROM pairs WHERE {where}"
+        for c in columns
+    ]
+    lines.append(f"SELECT '(coverage)', count(*), count(*) FILTER (NOT met) FROM pairs WHERE {where}")
+    return " UNION ALL ".join([*lines, f"SELECT '(repeated keys)', count(*), 0 FROM pairs WHERE {where}"])
+
+
+def _diff(left: str, right: str, columns: list[str]) -> str:
+    return f"WITH {_sides(left, right, columns)}, found AS ({_lines(columns)}) SELECT *, {_status('differing = 0')} FROM found"
+
+
+def _ranged(left: str, right: str, columns: list[str]) -> str:
+    """Two levels of 64 ranges, then the rows of the unlike ranges."""
+    alike = " AND ".join(["met", *[f"same_{c}" for c in columns]])
+    return f"""
+        WITH {_sides(left, right, columns)}, cut AS (
+            SELECT min(k) AS low, (max(k) - min(k) + 64) // 64 AS w FROM pairs
+        ), coarse AS (
+            SELECT (k - low) // w AS a, bool_and({alike}) AS alike, any_value(low) AS low, any_value(w) AS w
+            FROM pairs, cut GROUP BY a
+        ), begun AS (
+            SELECT low + min(a) * w AS low, (w + 63) // 64 AS v FROM coarse WHERE NOT alike GROUP BY low, w
+        ), fine AS (
+            SELECT (k - b.low) // v AS f, bool_and({alike}) AS alike
+            FROM pairs, begun b WHERE (k - (SELECT low FROM cut)) // (SELECT w FROM cut) IN (SELECT a FROM coarse WHERE NOT alike)
+            GROUP BY f
+        ), found AS (
+            SELECT '(ranges, level 1)' AS column_name, count(*) AS compared, count(*) FILTER (NOT alike) AS differing FROM coarse
+            UNION ALL SELECT '(ranges, level 2)', count(*), count(*) FILTER (NOT alike) FROM fine
+            UNION ALL {_lines(columns, '(k - (SELECT low FROM begun)) // (SELECT v FROM begun) IN (SELECT f FROM fine WHERE NOT alike)')}
+        ) SELECT *, {_status('differing = 0')} FROM found"""
+
+
+TICKET = "ticket_id AS k, status, updated_ms, priority"
+LOW_TICKET = "(SELECT max(ticket_id) // 16 FROM stg_tkt_ticket)"
 SPANS = "SELECT user_id, event_type, ts AS s, ts + to_seconds(CAST(floor(coalesce(value, 0)) AS BIGINT)) AS e FROM events"
 
 ORACLES: dict[str, str] = {
@@ -779,20 +878,39 @@ ORACLES: dict[str, str] = {
     "dq_scd2_integrity": _all([_history(t) for t in HISTORIES]),
     "dq_edge_values": _all([_difference(f, "documents") for f in ("parquet", "csv", "json")]),
     "dq_dim_date_match": _difference("dim_date", "dim_date"),
-    "table_diff": """
-        WITH pairs AS (
-            SELECT c.call_id, epoch_us(c.end_ts) // 1000000 AS e, c.recording_id AS r, c.agent_id AS a, s.*
-            FROM ods_call c LEFT JOIN (
-                SELECT call_id AS k, min(end_epoch) AS e2, min(recording_id) AS r2, max(agent_id) AS a2
-                FROM stg_tel_call WHERE call_id % 7 <> 0 GROUP BY call_id
-            ) s ON s.k = c.call_id
-        ), found AS (
-            SELECT 'end_epoch' AS column_name, count(k) AS compared, count(*) FILTER (k IS NOT NULL AND e <> e2) AS differing FROM pairs
-            UNION ALL SELECT 'recording_id', count(k), count(*) FILTER (k IS NOT NULL AND r <> r2) FROM pairs
-            UNION ALL SELECT 'agent_id', count(k), count(*) FILTER (k IS NOT NULL AND a <> a2) FROM pairs
-            UNION ALL SELECT '(coverage)', count(*), count(*) FILTER (k IS NULL) FROM pairs
-            UNION ALL SELECT '(repeated keys)', count(*), 0 FROM pairs
-        ) SELECT *, CASE WHEN differing = 0 THEN 'PASS' ELSE 'FAIL' END AS status FROM found""",
+    "table_diff": _diff(
+        "SELECT call_id AS k, epoch_us(end_ts) // 1000000 AS end_epoch, recording_id, agent_id FROM ods_call",
+        "SELECT call_id AS k, min(end_epoch) AS end_epoch, min(recording_id) AS recording_id, max(agent_id) AS agent_id "
+        "FROM stg_tel_call GROUP BY call_id",
+        ["end_epoch", "recording_id", "agent_id"],
+    ),
+    "table_diff_ranges": _ranged(
+        f"SELECT {TICKET} FROM stg_tkt_ticket WHERE load_date = DATE '2024-01-15'",
+        f"""SELECT {TICKET} FROM stg_tkt_ticket WHERE load_date = DATE '2024-01-15' AND ticket_id > {LOW_TICKET}
+        UNION ALL SELECT {TICKET} FROM stg_tkt_ticket WHERE load_date = DATE '2024-01-13' AND ticket_id <= {LOW_TICKET}
+        UNION ALL SELECT {TICKET.replace('ticket_id AS k', 'ticket_id + 10000000 AS k')} FROM stg_tkt_ticket
+        WHERE load_date = DATE '2024-01-13' AND ticket_id <= {LOW_TICKET}""",
+        ["status", "updated_ms", "priority"],
+    ),
+    "dq_scd2_faults": """
+        SELECT 'ods_agent_skill_scd2' AS table_name, count(*) AS version_count,
+               count(*) FILTER (agent_id % 5 = 0) AS bad_surrogates,
+               count(DISTINCT (agent_id, skill_id)) FILTER (agent_id % 3 = 0) AS keys_without_one_current,
+               count(*) FILTER (agent_id % 4 = 1 AND eff_to_ts IS NOT NULL) AS broken_ranges, 'FAIL' AS status
+        FROM ods_agent_skill_scd2""",
+    "dq_dim_date_faults": """
+        SELECT 'dim_date' AS comparison, count(*) AS row_count,
+               count(*) FILTER (date_key % 100 = 13 OR (month_no = 7 AND is_weekend)) AS missing_rows,
+               count(*) FILTER (date_key % 100 <> 13 AND month_no = 7 AND is_weekend) AS extra_rows, 'FAIL' AS status
+        FROM dim_date""",
+    "active_agents_merged": """
+        WITH seen AS (
+            SELECT date_key // 100 AS month_key, site_code, agent_sk
+            FROM fact_interaction JOIN (SELECT agent_sk, site_code FROM dim_agent) USING (agent_sk)
+        )
+        SELECT month_key, site_code, count(DISTINCT agent_sk) AS active_agents, count(*) AS interactions
+        FROM seen GROUP BY month_key, site_code
+        UNION ALL SELECT month_key, 'all', count(DISTINCT agent_sk), count(*) FROM seen GROUP BY month_key""",
     "dq_report": f"""
         SELECT * FROM ({REPORT_LINES})
         UNION ALL
@@ -803,5 +921,6 @@ ORACLES: dict[str, str] = {
 
 def oracle_sql() -> dict[str, str]:
     tables = {q: sql.oracle(t) for q, t in PIPELINES.items()}
-    states = {q: sql.oracle(t) for q, t in ({q: t for q, (_, _, t) in MERGES.items()} | UPSERTS | SPLICED).items()}
+    rebuilt = {f"rebuild_{t.removeprefix('ods_')}": sql.oracle(t) for t in REBUILT}
+    states = rebuilt | {q: sql.oracle(t) for q, t in ({q: t for q, (_, _, t) in MERGES.items()} | UPSERTS | SPLICED).items()}
     return {**tables, **states, **{q: sql.compose(text) for q, text in ORACLES.items()}}

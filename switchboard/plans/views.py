@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from switchboard.functions import time
@@ -20,6 +20,7 @@ REPEAT_SECONDS = 259_200
 FOLLOW_UP_SECONDS = 7 * time.DAY_SECONDS
 AMOUNT_TOLERANCE = "0.01"
 LABOUR_RATE = 18.50
+SKETCH_BITS = 12
 OPEN_STATUSES = ("OPEN", "PENDING")
 
 
@@ -59,6 +60,22 @@ def active_agents_ndv(interaction: DataFrame, agent: DataFrame, rsd: float = 0.0
     )
 
 
+def active_agent_sketches(fact: DataFrame, agent: DataFrame) -> DataFrame:
+    """Per day and site a sketch of the agents that handled interactions, to be stored by the daily batch."""
+    return (
+        fact.join(agent.select("agent_sk", "site_code"), "agent_sk")
+        .groupBy("date_key", "site_code")
+        .agg(F.hll_sketch_agg("agent_sk", SKETCH_BITS).alias("agents"), F.count(F.lit(1)).alias("interactions"))
+    )
+
+
+def active_agents_over(sketches: DataFrame, *period: Column) -> DataFrame:
+    """Active agents of any periods from the stored sketches; no fact is read. With ``SKETCH_BITS`` of 12
+    the relative standard error is 1.6 %, and up to some hundred agents the estimate is the count."""
+    merged = F.hll_sketch_estimate(F.hll_union_agg("agents")).alias("active_agents")
+    return sketches.groupBy(*period).agg(merged, F.sum("interactions").alias("interactions"))
+
+
 def csat_rollup(survey: DataFrame, program: DataFrame) -> DataFrame:
     """Rollup of client and program with the grouping bit mask.
 
