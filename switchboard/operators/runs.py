@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +23,7 @@ from pyspark.sql import types as T
 
 from switchboard.operators import files
 from switchboard.operators.dedup import greatest_by
-from switchboard.operators.layout import Value, balanced, folder_value, lay_out, on_disk
+from switchboard.operators.layout import NULL, Value, balanced, folder_value, lay_out, on_disk
 from switchboard.schemas import TABLES, Table
 from switchboard.session import store
 
@@ -73,23 +74,26 @@ def visible(spark: SparkSession, path: str, table: str | Table) -> DataFrame:
         for part in note["partitions"]:
             holders.setdefault(part, []).append(f"{path}/run={name}/attempt={note['attempt']}/{part}")
     alone = [f[0] for f in holders.values() if len(f) == 1]
-    first = [f[0] for f in holders.values() if len(f) > 1]
-    later = [folder for f in holders.values() for folder in f[1:]]
-    if not later:
-        return spec.conform(_read(spark, path, spec, alone))
-    key = list(dict.fromkeys([spec.partition, *spec.pk]))
-    rest = [c for c in spec.names if c not in key]
-    late = greatest_by(_read(spark, path, spec, later), key, [F.col("run")], rest)
+    parts = [_read(spark, path, spec, alone)] if alone or not holders else []
+    for unknown in (False, True):
+        shared = [f for part, f in holders.items() if len(f) > 1 and part.endswith(NULL) == unknown]
+        if shared:
+            first = _read(spark, path, spec, [f[0] for f in shared])
+            parts += _resolved(first, _read(spark, path, spec, [folder for f in shared for folder in f[1:]]), spec, unknown)
+    return reduce(DataFrame.unionByName, [spec.conform(part) for part in parts])
+
+
+def _resolved(first: DataFrame, later: DataFrame, spec: Table, unknown: bool) -> list[DataFrame]:
+    """Rows of the first runs of some partitions without those that later runs deliver, and the latter."""
+    pk = [c for c in spec.pk if c != spec.partition]
+    key = [spec.partition, *pk]
+    late = greatest_by(later, key, [F.col("run")], [c for c in spec.names if c not in key])
     met = late.select(*[F.col(c).alias(f"_{c}") for c in key])
-    same = F.lit(True)
-    for c in key:
+    # A plain comparison of the partition lets a filter on it reach the scans of both sides.
+    same = F.lit(True) if unknown else F.col(spec.partition) == F.col(f"_{spec.partition}")
+    for c in pk:
         same &= F.col(c).eqNullSafe(F.col(f"_{c}"))
-    parts = [_read(spark, path, spec, first).join(met, same, "left_anti"), late]
-    parts += [_read(spark, path, spec, alone)] if alone else []
-    out = spec.conform(parts[0])
-    for part in parts[1:]:
-        out = out.unionByName(spec.conform(part))
-    return out
+    return [first.join(met, same, "left_anti"), late]
 
 
 def delivered(spark: SparkSession, path: str, table: str | Table, run: dt.date | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from switchboard.operators import runs
 from switchboard.operators.dedup import greatest_by
 from switchboard.operators.layout import Value
 from switchboard.operators.orders import beside, in_ranges
-from switchboard.operators.sink import read_table, rewrite_partitions
+from switchboard.operators.sink import read_table, rewrite_partitions, without
 from switchboard.schemas import TABLES, Table
 from switchboard.session import store
 
@@ -112,7 +112,9 @@ def splice(
     years = {y for (y,) in gone.select("eff_from_year").distinct().collect()}
     if not years and new.isEmpty():
         return set()
-    ids = gone.select(id_column).union(new.select(id_column)).distinct()
+    # A version is told by its key and start: the surrogate of a NULL key is NULL.
+    told = [*keys, "eff_from_ts"]
+    versions = gone.select(told).union(new.select(told)).distinct()
     return rewrite_partitions(
-        spark, path, table, ids, lambda kept: kept.join(ids, [id_column], "left_anti").unionByName(new), years
+        spark, path, table, versions, lambda kept: without(kept, versions).unionByName(new), years
     )[0]
