@@ -11,13 +11,13 @@ from switchboard.session import store
 
 def test_every_operator_is_registered():
     names = set(registry.queries())
-    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 11)) and "pipeline" in names
+    assert {int(n[2:].split("_")[0]) for n in names if n.startswith("op")} == set(range(1, 14)) and "pipeline" in names
     assert names <= set(__spark_entry__.queries()) and set(registry.oracle_sql()) <= names
 
 
 def test_every_query_returns_all_rows(spark):
     documents = spark.read.parquet(f"{FOLDER}/documents.parquet").count()
-    for name in ("op1_fingerprints", "op2_suffix_dedup", "op4_quality", "op5_bpe", "op6_kd_shards", "op7_span_dedup", "op8_near_dedup", "op10_toxicity"):
+    for name in ("op1_fingerprints", "op2_suffix_dedup", "op4_quality", "op5_bpe", "op6_kd_shards", "op7_span_dedup", "op8_near_dedup", "op10_toxicity", "op12_pieces", "op13_fill_middle"):
         out = registry.queries()[name](spark, FOLDER)
         assert out.select("doc_id").distinct().count() == out.count() == documents, name
 
