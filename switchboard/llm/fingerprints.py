@@ -16,21 +16,22 @@ All of it is Spark's own expressions. Null texts are empty and have one empty pa
 below 2 ** 31 for any text a column can hold. Rows without doc_id stand in no order: the text that
 would come from the next document is empty, and near_next is null. Rows that share a doc_id have the same next document,
 the one of the next larger doc_id whose text is smallest; after the last comes the first, which
-for a single document is itself. Empty tables give no rows.
+for a single document is itself. Equal texts of a doc_id are worked on once. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from switchboard.llm.frames import table, text_of
+from switchboard.llm.frames import table, text_key, text_of
 from switchboard.operators.ranking import row_positions
 from switchboard.session import store
 
 WIDTH = 128
 PIECE = 24
 LANES = WIDTH // 2  # sums of two components each
+COPIES = 1 << 16  # copies of one row that are counted out at once
 _MASK = 1 | 1 << 32
 _HALF = (1 << 32) - 1
 _MODULUS = 1 << 16
@@ -104,7 +105,7 @@ def likeness(a: Column, b: Column) -> Column:
 
 def next_documents(docs: DataFrame) -> DataFrame:
     """doc_id, next_id, and the number of letters that the longest text of doc_id takes from the next."""
-    ids = docs.where("doc_id is not null").groupBy("doc_id").agg(F.max(F.char_length("text")).alias("n"))
+    ids = docs.groupBy("doc_id").agg(F.max(F.char_length("text")).alias("n"))
     placed = row_positions(ids, [F.col("doc_id")])
     follow = placed.select(
         F.col("doc_id").alias("next_id"),
@@ -114,46 +115,75 @@ def next_documents(docs: DataFrame) -> DataFrame:
     return placed.join(follow, "position").select("doc_id", "next_id", taken.alias("taken"))
 
 
-def edited_pairs(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, ``row`` among those that share it, text, next_id and the edited text."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
-    follow = next_documents(docs)
-    heads = docs.join(follow.withColumnsRenamed({"doc_id": "own", "next_id": "doc_id"}), "doc_id")
-    heads = heads.select("own", F.col("doc_id").alias("next_id"), F.expr("left(text, taken)").alias("head"))
-    heads = heads.groupBy(F.col("own").alias("doc_id"), "next_id").agg(F.min("head").alias("head"))
-    rows = docs.join(heads, "doc_id", "left")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    n = F.char_length("text")
-    kept = F.concat(F.expr("left(text, char_length(text) - char_length(text) div 4)"), F.coalesce(F.expr("left(head, char_length(text) div 4)"), F.lit("")))
-    return rows.select(
-        "doc_id", F.row_number().over(order).alias("row"), "text", "next_id", n.cast("long").alias("n_chars"), kept.alias("edited")
+def edited_texts(docs: DataFrame) -> DataFrame:
+    """Per doc_id and different text: doc_id, key of the text, copies, text, head, next_id and next_key.
+
+    ``head`` is what the next document lends, ``next_key`` the key of its smallest text. Both joins deal
+    the texts by doc_id, so they are moved once.
+    """
+    follow = next_documents(docs).withColumnsRenamed({"doc_id": "own", "next_id": "doc_id"})
+    lent = docs.join(follow.hint("merge"), "doc_id").groupBy("doc_id").agg(
+        F.any_value("own").alias("own"), F.min_by(text_key(), "text").alias("next_key"), F.min(F.expr("left(text, taken)")).alias("head")
     )
+    lent = lent.select(F.col("own").alias("doc_id"), F.col("doc_id").alias("next_id"), "next_key", "head")
+    rows = docs.join(lent.hint("merge"), "doc_id").withColumn("key", text_key())
+    return _told_apart(rows, "text", "head", "next_id", "next_key")
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """Per row: the fingerprints of the text and of its edited form, and their likenesses."""
-    pairs = edited_pairs(docs).withColumn("edited_sha", F.unhex(F.sha2("edited", 256)))
+def _told_apart(rows: DataFrame, *others: str) -> DataFrame:
+    """Equal texts of a doc_id as one row with their number."""
+    return rows.groupBy("doc_id", "key").agg(
+        F.count(F.lit(1)).alias("copies"), *[F.any_value(c).alias(c) for c in others]
+    )
+
+
+def _vectors(rows: DataFrame) -> DataFrame:
+    """The vectors of the texts and of their edited forms; rows are dealt by doc_id or key already."""
+    quarter = "char_length(text) div 4"
+    edited = F.concat(F.expr(f"left(text, char_length(text) - {quarter})"), F.expr(f"left(head, {quarter})"))
+    pairs = rows.withColumn("edited", edited).withColumns(
+        {"n_chars": F.char_length("text").cast("long"), "edited_sha": F.unhex(F.sha2("edited", 256))}
+    )
     both = F.explode(F.array(F.struct(F.lit(0).alias("which"), F.col("text")), F.struct(F.lit(1).alias("which"), F.col("edited").alias("text"))))
-    keys = ["doc_id", "row", "next_id", "n_chars", "edited_sha"]
-    rows = pairs.select(*keys, both.alias("t")).select(*keys, "t.which", "t.text")
-    made = sums(rows, *keys, "which")
-    own, edited = (F.max(F.when(F.col("which") == k, F.col("vector"))) for k in (0, 1))
-    made = made.groupBy(*keys).agg(own.alias("vector"), edited.alias("edited_vector"))
-    # Written once, four bytes per component: the next document's vector comes from the same rows.
-    near = likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited")
+    keys = ["doc_id", "key", "copies", "next_id", "next_key", "n_chars", "edited_sha"]
+    made = sums(pairs.select(*keys, both.alias("t")).select(*keys, "t.which", "t.text"), *keys, "which")
+    own, changed = (F.max(F.when(F.col("which") == k, F.col("vector"))) for k in (0, 1))
+    made = made.groupBy(*keys).agg(own.alias("vector"), changed.alias("edited_vector"))
+    # Four bytes per component.
     short = [short_form(F.col(c)).alias(c) for c in ("vector", "edited_vector")]
-    made = store(made.select(*keys, *short, near), "vectors")
-    following = made.where("row = 1 and doc_id is not null").select(
-        F.col("doc_id").alias("next_id"), F.col("vector").alias("next_vector")
+    return made.select(*keys, *short, likeness(F.col("vector"), F.col("edited_vector")).alias("near_edited"))
+
+
+def _each_copy(rows: DataFrame) -> DataFrame:
+    """One row per copy; counted out in steps, so no array grows with the copies."""
+    steps = F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES}"))
+    rows = rows.withColumn("_step", F.explode(steps))
+    rest = F.least(F.lit(COPIES), F.col("copies") - F.col("_step") * COPIES)
+    return rows.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("long"), rest)))
+
+
+def fingerprints(docs: DataFrame) -> DataFrame:
+    """Per row: the fingerprints of the text and of its edited form, and their likenesses."""
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text"))
+    nothing = {"head": F.lit(""), "next_id": F.lit(None).cast("long"), "next_key": F.lit(None).cast("binary")}
+    unnumbered = _told_apart(docs.where("doc_id is null").withColumn("key", text_key()), "text").withColumns(nothing)
+    numbered = edited_texts(docs.where("doc_id is not null"))
+    # Written once: the next document's vector comes from the same rows.
+    made = store(_vectors(numbered), "vectors")
+    following = made.select(
+        F.col("doc_id").alias("next_id"), F.col("key").alias("next_key"), F.col("vector").alias("next_vector")
     )
-    return made.join(following, "next_id", "left").select(
+    near_next = likeness(F.col("vector"), F.col("next_vector")).alias("near_next")
+    made = made.join(following, ["next_id", "next_key"]).select("*", near_next).drop("next_vector")
+    alone = _vectors(unnumbered).withColumn("near_next", F.lit(None).cast("double"))
+    return _each_copy(made.unionByName(alone)).select(
         "doc_id",
         "n_chars",
         F.lower(F.hex("edited_sha")).alias("edited_sha256"),
         text_form(F.col("vector")).alias("fingerprint"),
         text_form(F.col("edited_vector")).alias("edited_fingerprint"),
         "near_edited",
-        F.when(F.col("next_id").isNotNull(), likeness(F.col("vector"), F.col("next_vector"))).alias("near_next"),
+        "near_next",
     )
 
 
