@@ -180,13 +180,18 @@ def _grouped(batches: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa
         yield pa.Table.from_batches(kept).combine_chunks().to_batches()[0]
 
 
-def _links(cls: pa.Array, a, b) -> pa.RecordBatch:
-    take = lambda at: cls.take(pa.array(np.asarray(at, np.int64)))
-    return pa.RecordBatch.from_arrays([take(a), take(b)], ["a", "b"])
+def _stars(nodes: pa.Array, label: np.ndarray) -> pa.RecordBatch:
+    """Links from all nodes of one label to the smallest of them."""
+    order = np.array(sorted(range(len(nodes)), key=nodes.to_pylist().__getitem__), np.int64)
+    _, first, code = np.unique(label[order], return_index=True, return_inverse=True)
+    least = order[first[code]]
+    moved = np.flatnonzero(least != order)
+    take = lambda at: nodes.take(pa.array(at))
+    return pa.RecordBatch.from_arrays([take(order[moved]), take(least[moved])], ["a", "b"])
 
 
 def _clusters(percent: int):
-    """Links that join the members of one bucket's two blocks which the registers hold for near."""
+    """Links between the roots of members of one bucket's two blocks which the registers hold for near."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in _grouped(batches, ["bucket", "low", "high"]):
@@ -195,8 +200,7 @@ def _clusters(percent: int):
             _, first, code = np.unique(
                 group.column("root").dictionary_encode().indices.to_numpy(), return_index=True, return_inverse=True
             )
-            before = first[code]  # rows that hang together already have the first one's number
-            label = before.copy()
+            label = first[code]  # rows that hang together already have the first one's number
             left, right = (np.flatnonzero(block == group.column(c)[0].as_py()) for c in ("low", "high"))
             step = max(1, (1 << 22) // (REGISTERS * max(len(right), 1)))
             for at in range(0, len(left), step):
@@ -206,8 +210,7 @@ def _clusters(percent: int):
                 for k in np.flatnonzero(near.any(axis=1)):
                     met = np.unique(label[right[near[k]]])
                     label[np.isin(label, met)] = label[some[k]]
-            moved = np.flatnonzero(label != before)
-            yield _links(group.column("cls"), moved, label[moved])
+            yield _stars(group.column("root").take(pa.array(first)), label[first])
 
     return run
 
@@ -215,8 +218,9 @@ def _clusters(percent: int):
 def _exact(words: int, percent: int):
     """Links within one cluster's two blocks, from the full sets.
 
-    Documents that links found before join already are not compared again, so there are fewer
-    links than documents.
+    Documents that links found before join already are not compared again. Each set of linked
+    documents is reported as a star, so there are fewer links than documents, and a cluster of one
+    pair of blocks needs no further round.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -225,7 +229,7 @@ def _exact(words: int, percent: int):
             _, ids = np.unique(hashes, return_inverse=True)
             sizes, block = np.diff(places), group.column("block").to_numpy()
             left, right = (np.flatnonzero(block == group.column(c)[0].as_py()) for c in ("low", "high"))
-            label, found = np.arange(group.num_rows), []
+            label = np.arange(group.num_rows)
             seen = np.zeros(len(ids) + 1, np.int8)
             for i in left:
                 others = right[label[right] != label[i]]
@@ -242,9 +246,8 @@ def _exact(words: int, percent: int):
                 seen[mine] = 0
                 for j in others[100 * shared >= percent * (sizes[i] + lengths - shared)]:
                     if label[j] != label[i]:
-                        found.append((i, j))
                         label[label == label[j]] = label[i]
-            yield _links(group.column("cls"), [f[0] for f in found], [f[1] for f in found])
+            yield _stars(group.column("cls"), label)
 
     return run
 
@@ -285,8 +288,7 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     heads = store(heads, "heads")
     shared = store(members.join(heads, "bucket"), "members")
     stars = shared.where("cls != b").select(F.col("cls").alias("a"), "b").distinct()
-    stars = store(_estimate(stars, classes, percent), "stars")
-    joined = store(connected(stars), "joined")
+    joined = connected(_estimate(stars, classes, percent))
     # Buckets whose members don't hang together yet are compared in full, by registers.
     rooted = shared.where("members > 2").join(joined.withColumnRenamed("node", "cls"), "cls", "left")
     rooted = store(rooted.select("bucket", "cls", F.coalesce("root", "cls").alias("root")), "rooted")
@@ -294,7 +296,10 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     mixed = mixed.where("low != high").select("bucket", _blocks(F.col("n"), F.lit(0)).alias("blocks"))
     dealt = _blocked(rooted, mixed, "bucket").join(classes.select("cls", "n_shingles", "registers"), "cls")
     near = _together(dealt, "bucket").mapInArrow(_clusters(percent), pair)
-    clusters = store(connected(stars.union(near)), "clusters").select(F.col("node").alias("cls"), F.col("root").alias("cluster"))
+    # What is joined already counts as its root from here on.
+    merged = connected(near)
+    clusters = joined.join(merged.select(F.col("node").alias("root"), F.col("root").alias("into")), "root", "left")
+    clusters = clusters.select(F.col("node").alias("cls"), F.coalesce("into", "root").alias("cluster")).union(merged).distinct()
     # Clusters are compared on their full sets. Texts move once, by the same plan at every size.
     wanted = store(clusters.join(classes.select("cls", "key", "n_shingles"), "cls"), "clustered")
     sizes = wanted.groupBy("cluster").agg(_blocks(F.count(F.lit(1)), F.sum("n_shingles")).alias("blocks"))
@@ -304,7 +309,7 @@ def near_components(docs: DataFrame, words: int = 3, percent: int = 85) -> DataF
     texts = store(texts.groupBy("key", "cls").agg(F.any_value("text").alias("text")).drop("key"), "texts")
     dealt = _blocked(wanted.select("cluster", "cls"), sizes, "cluster").join(texts, "cls")
     links = _together(dealt, "cluster").mapInArrow(_exact(words, percent), pair)
-    roots = store(connected(links), "roots")
+    roots = connected(links)
     placed = sets.drop("registers").join(roots.withColumnRenamed("node", "cls"), "cls", "left")
     placed = placed.withColumn("root", F.coalesce("root", "cls"))
     least = placed.where("root is not null").groupBy("root").agg(F.min("doc_id").alias("least"))
