@@ -121,6 +121,24 @@ def test_fingerprints_of_odd_tables(odd, nothing):
     assert fingerprints.fingerprints(nothing).count() == 0
 
 
+def test_fingerprints_of_repeated_rows(spark, monkeypatch):
+    """Copies are counted out in steps; the smallest text of the next id is the next document."""
+    monkeypatch.setattr(fingerprints, "COPIES", 2)
+    rows = [(1, "aaaa bbbb. cccc\ndddd")] * 5 + [(1, "other. words")] * 2 + [(2, "zz. yyyyyyyyyy"), (2, "mm. nnnnnnnnnn"), (2, None)]
+    rows += [(None, "no number. here it is")] * 3 + [(None, None)]
+    got = fingerprints.fingerprints(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    want = []
+    for i, text in rows:
+        text = text or ""
+        cut = len(text) // 4
+        after = {1: "", 2: "aaaa bbbb. cccc\ndddd", None: ""}[i]
+        edited = text[: len(text) - cut] + after[:cut]
+        want.append((i or 0, len(text), hashlib.sha256(edited.encode()).hexdigest()))
+    assert sorted((r.doc_id or 0, r.n_chars, r.edited_sha256) for r in got) == sorted(want)
+    prints = {r.fingerprint for r in got if r.doc_id == 1 and r.n_chars == 20}
+    assert len(prints) == 1 and all((r.near_next is None) == (r.doc_id is None) for r in got)
+
+
 def plain_vector(text):
     """Sums of the components of all elements, and their number, from single hashes."""
     pieces = re.findall(rf"[^.!?\n]{{0,{fingerprints.PIECE}}}[.!?]+|[^.!?\n]{{1,{fingerprints.PIECE}}}", text)
