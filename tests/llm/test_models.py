@@ -127,3 +127,39 @@ def test_training_in_parts_equals_training_at_once(monkeypatch):
         models.append(toxicity.train(texts, labels))
     whole, parts = (toxicity.score_texts(m, *as_bytes(pa.array(texts))) for m in models)
     assert parts == pytest.approx(whole, abs=1e-3)
+
+
+def test_windows_for_training_spread_over_long_texts(monkeypatch):
+    monkeypatch.setattr(toxicity, "MOST", 5)
+    long = [f"wörd{i}" for i in range(64 + 32 * 9 + 7)]
+    texts = [" ".join(long), "short text", "", " ".join(long[:192])]
+    got = toxicity.drawn_windows(*as_bytes(pa.array(texts)))
+    assert got[1:] == [[t] for t in texts[1:]]
+    cut = [piece.split() for piece in got[0]]
+    assert [len(c) for c in cut] == [toxicity.WINDOW] * 5 and cut[0] == long[:64] and cut[-1] == long[-64:]
+    assert all(c == long[long.index(c[0]) :][:64] for c in cut)
+
+
+def test_training_on_pieces_equals_training_on_texts():
+    rng = np.random.default_rng(2)
+    word = lambda: f"w{rng.integers(40)}"
+    texts = [" ".join([word() for _ in range(64 + 32 * (k % 3))] + ["vile"] * (k % 2)) for k in range(24)]
+    labels = [k % 2 for k in range(24)]
+    pieces, owner = [], []
+    for k, text in enumerate(texts):
+        told = toxicity.Words(*as_bytes(pa.array([text])))
+        size, words = int(told.counted[0]), text.split()
+        base, length, _ = told.places(np.array([0]))
+        pieces += [" ".join(words[a : a + n]) for a, n in zip(base, length, strict=True)]
+        owner += [k] * len(base)
+        assert base[-1] + length[-1] == size
+    whole, parts = (toxicity.train(texts, labels), toxicity.train(pieces, labels, owner))
+    scores = [toxicity.score_texts(m, *as_bytes(pa.array(texts))) for m in (whole, parts)]
+    # Word counts a text are alike, so both start from the same tables.
+    assert scores[1] == pytest.approx(scores[0], abs=1e-2)
+
+
+def test_labels_that_contradict_each_other_are_not_drawn(tables):
+    docs, labels = tables
+    other = labels.withColumn("toxic", 1 - F.col("toxic"))
+    assert toxicity.fit(docs, labels.unionByName(other)) is None
