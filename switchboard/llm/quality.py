@@ -3,35 +3,42 @@
 One view sees the text: shares of upper case, digits, marks, white space and repeated words, word
 lengths, and ``TERMS`` hashed word counts. The other sees what is known about the page: source,
 language, length, and pairs of them, hashed. Each is a logistic regression fitted in numpy. In
-every round each view labels the texts of an unlabelled pool that it is surest of, and the other
-view learns from them too. A part of the labelled texts is kept out of all rounds: on it each
+every round all unlabelled texts are scored by both views, as a Spark job over stored features; a view is
+sure of a text to which it gives a chance of ``SURE`` or more for either label, and a uniform draw of those it
+is sure of, by hashes and in the labels' own proportion, teaches the other view. (The very surest alone would be
+a handful of extremes, all alike.) A part of the labelled texts is kept out of all rounds: on it each
 view's output is calibrated (Platt), and the two calibrated outputs are combined. All rows are
 then scored with the fixed-size model.
 
-The driver sees at most ``PER_LABEL`` labelled texts of each label and ``POOL`` unlabelled ones,
-as feature vectors; they are those with the smallest hashes of doc_id.
+The driver sees at most ``PER_LABEL`` labelled texts of each label, those with the smallest hashes of
+doc_id, and in the n-th round at most n times ``GIVEN`` told by each view, all as feature vectors.
+Copies (equal in text, source, language and length) are told once.
 
 Texts without words score 0. Without labels of both kinds all texts score 0.5, and none is
-rejected. Null source, lang or doc_id count as values of their own; tables without those columns
-have them null. Repeated rows are scored alike.
+rejected. Ids labelled both ways count as unlabelled; of several rows of one labelled id the smallest is taken.
+Rows without doc_id teach nothing. Null source, lang or doc_id count as values of their own; tables without those
+columns have them null. Repeated rows are scored alike. Texts of any length are read whole, one at a time if long.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from switchboard.llm.frames import Hasher, as_bytes, chunks, lowered, small_batches, spare, table, word_spans
+from switchboard.session import store
 
 TERMS, SHAPES, PAGE = 512, 12, 256
-PER_LABEL, POOL = 2000, 2000
-ROUNDS, SHARE = 4, 0.1
+PER_LABEL, GIVEN = 2000, 200
+ROUNDS, SURE = 4, 0.9
+# Tasks that first thin out the sure texts of a view and label.
+SPREAD = 64
 KEEP = 0.5
 PAGE_COLUMNS = ("source", "lang", "n_chars")
 _CLASS = np.zeros((256, 6), np.int64)
@@ -102,8 +109,17 @@ def _logit(x: np.ndarray, w: np.ndarray) -> np.ndarray:
     return x @ w[:-1] + w[-1]
 
 
-def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray]) -> dict | None:
-    """Fit both views with each other's surest labels; calibrate and combine them."""
+# What a view tells: features of both views, and labels.
+Told = tuple[list[np.ndarray], np.ndarray]
+
+
+def co_train(
+    views: list[np.ndarray], y: np.ndarray, tell: Callable[[list[np.ndarray], int, list[int]], list[Told]] | None = None
+) -> dict | None:
+    """Fit both views with each other's sure labels; calibrate and combine them.
+
+    ``tell(weights, turn, counts)`` returns, per view, texts that it is sure of, at most ``counts`` of each label.
+    """
     if len(np.unique(y)) < 2:
         return None
     # Every fourth labelled text of each label calibrates; small sets calibrate on all.
@@ -116,27 +132,19 @@ def co_train(views: list[np.ndarray], y: np.ndarray, pool: list[np.ndarray]) ->
     else:
         fit = ~check
     base = y[fit].mean()
-    extra = [(np.zeros(0, np.int64), np.zeros(0))] * 2
+    extra = [(x[:0], np.zeros(0)) for x in views]
     weights: list[np.ndarray] = []
     for turn in range(ROUNDS + 1):
         weights = []
-        for x, u, (rows, labels) in zip(views, pool, extra, strict=True):
+        for x, (more, labels) in zip(views, extra, strict=True):
             known = np.where(y[fit] == 1, 0.5 / base, 0.5 / (1 - base))
             told = np.where(labels == 1, 0.5 / base, 0.5 / (1 - base)) * 0.5
-            weights.append(logistic(np.vstack([x[fit], u[rows]]), np.append(y[fit], labels), np.append(known, told)))
-        if turn == ROUNDS or not len(pool[0]):
+            weights.append(logistic(np.vstack([x[fit], more]), np.append(y[fit], labels), np.append(known, told)))
+        if turn == ROUNDS or tell is None:
             break
-        most = int(len(pool[0]) * SHARE * (turn + 1))
-        given = []
-        for u, w in zip(pool, weights, strict=True):
-            order = np.argsort(_logit(u, w), kind="stable")
-            good, bad = int(most * base), int(most * (1 - base))
-            rows = np.concatenate([order[:bad], order[len(order) - good :]])
-            chance = _logit(u, w)[rows]
-            labels = np.append(np.zeros(bad), np.ones(good))
-            sure = np.where(labels == 1, chance, -chance) > np.log(9)
-            given.append((rows[sure], labels[sure]))
-        extra = given[::-1]  # each view learns from the other's labels
+        most = GIVEN * (turn + 1)
+        (of_text, by_text), (of_page, by_page) = tell(weights, turn, [int(most * (1 - base)), int(most * base)])
+        extra = [(of_page[0], by_page), (of_text[1], by_text)]  # each view learns from the other's labels
     scales = []
     for x, w in zip(views, weights, strict=True):
         scales.append(logistic(_logit(x[check], w)[:, None] / 10, y[check], np.ones(check.sum()), 1e-4, 400))
@@ -165,43 +173,88 @@ def _with_page(docs: DataFrame, names: list[str]) -> DataFrame:
 _PAGE = [f"_{c}" for c in PAGE_COLUMNS]
 
 
-def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for part in chunks(batches, "text"):
-        text, _ = text_view(*as_bytes(part.column("text")))
-        yield pa.RecordBatch.from_arrays(
-            [
-                part.column("label"),
-                pa.array([r.tobytes() for r in text], pa.binary()),
-                pa.array([r.astype(np.int16).tobytes() for r in page_view(part, _PAGE)], pa.binary()),
-            ],
-            ["label", "text", "page"],
-        )
+def _features(docs: DataFrame, kept: str) -> DataFrame:
+    """The columns ``kept`` (names and types) and the packed features of both views."""
+    names = [c.split()[0] for c in kept.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in chunks(batches, "text"):
+            text, _ = text_view(*as_bytes(part.column("text")))
+            page = page_view(part, _PAGE).astype(np.int16)
+            packed = [pa.array([r.tobytes() for r in view], pa.binary()) for view in (text, page)]
+            yield pa.RecordBatch.from_arrays([*(part.column(c) for c in names), *packed], [*names, "text_f", "page_f"])
+
+    return docs.mapInArrow(run, f"{kept}, text_f binary, page_f binary")
+
+
+def _unpacked(found: pa.RecordBatch | pa.Table) -> list[np.ndarray]:
+    """Both views of rows of ``_features``."""
+    packed = [np.frombuffer(b"".join(found.column(c).to_pylist()), t) for c, t in (("text_f", np.float32), ("page_f", np.int16))]
+    return [packed[0].reshape(-1, SHAPES + TERMS), _one_hot(packed[1].reshape(-1, 6))]
+
+
+class Unlabelled:
+    """The features of all texts without a label, stored, one row for all copies."""
+
+    def __init__(self, rows: DataFrame, known: DataFrame):
+        rows = rows.where("doc_id is not null").withColumn("print", F.xxhash64("text", *_PAGE))
+        free = rows.select("doc_id", "print").join(known.select("doc_id"), "doc_id", "left_anti")
+        one = free.groupBy("print").agg(F.min("doc_id").alias("doc_id"))
+        kept = f"doc_id {dict(rows.dtypes)['doc_id']}, print long"
+        # Narrow rows decide; the features, not the texts, are moved.
+        self.rows = store(_features(rows, kept).join(one, ["doc_id", "print"], "left_semi"), "unlabelled")
+
+    def tell(self, weights: list[np.ndarray], turn: int, counts: list[int]) -> list[Told]:
+        """A uniform draw of the texts that each view is sure of, at most ``counts`` of each label."""
+        edge = float(np.log(SURE / (1 - SURE)))
+
+        def sure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for part in batches:
+                for at in range(0, part.num_rows, 1024):
+                    some = part.slice(at, 1024)
+                    for view, (x, w) in enumerate(zip(_unpacked(some), weights, strict=True)):
+                        logit = _logit(x, w)
+                        on = np.flatnonzero(np.abs(logit) > edge)
+                        columns = [some.column("print").take(pa.array(on)), np.full(len(on), view), (logit[on] > 0).astype(int)]
+                        yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["print", "view", "label"])
+
+        found = self.rows.select("print", "text_f", "page_f").mapInArrow(sure, "print long, view long, label long")
+        # Repeated rows of one document are told once.
+        found = found.distinct().withColumn("place", F.xxhash64("print", F.lit(turn))).withColumn("part", F.pmod("print", F.lit(SPREAD)))
+        most = F.when(F.col("label") == 1, counts[1]).otherwise(counts[0])
+        for by in (["view", "label", "part"], ["view", "label"]):
+            nth = F.row_number().over(Window.partitionBy(*by).orderBy("place", "print"))
+            found = found.withColumn("nth", nth).where(F.col("nth") <= max(counts)).where(F.col("nth") <= most)
+        # At most the sum of ``counts`` of each view.
+        chosen = F.broadcast(found.select("print", "view", "label"))
+        got = self.rows.select("print", "text_f", "page_f").join(chosen, "print").dropDuplicates(["print", "view"])
+        got = got.toArrow().sort_by([("print", "ascending"), ("view", "ascending")])
+        views, by = _unpacked(got), got.column("view").to_numpy()
+        label = got.column("label").to_numpy().astype(float)
+        return [([x[by == view] for x in views], label[by == view]) for view in (0, 1)]
 
 
 def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
-    """Draw the bounded samples and fit on the driver."""
+    """Draw the bounded sample of labelled texts and fit on the driver, with labels told by all other texts."""
     small_batches(docs.sparkSession)
-    known = labels.where("doc_id is not null and quality in (0, 1)").groupBy("doc_id").agg(
-        F.max(F.col("quality").cast("int")).alias("label")
-    )
+    known = labels.where("doc_id is not null and quality in (0, 1)").select("doc_id", F.col("quality").cast("int").alias("label"))
+    known = known.groupBy("doc_id").agg(F.min("label").alias("label"), F.max("label").alias("most"))
+    known = known.where("label = most").drop("most")
     used = [c for c in ("doc_id", "text", *PAGE_COLUMNS) if c in docs.columns]
     rows = _with_page(docs.select(*used), _PAGE).select("doc_id", "text", *_PAGE)
-    # The samples are drawn by id first; texts are read for them alone.
-    ids = docs.select("doc_id").where("doc_id is not null").distinct().join(known, "doc_id", "left")
+    # The sample is drawn by id first; texts are read for it alone.
+    ids = docs.select("doc_id").distinct().join(known, "doc_id")
     place = F.xxhash64("doc_id")
-    wanted = [ids.where(F.col("label") == k).orderBy(place).limit(PER_LABEL) for k in (0, 1)]
-    wanted.append(ids.where("label is null").orderBy(place).limit(POOL))
-    sample = wanted[0].union(wanted[1]).union(wanted[2])
-    # At most 2 * PER_LABEL + POOL ids.
-    drawn = rows.join(F.broadcast(sample), "doc_id").dropDuplicates(["doc_id"])
-    got = drawn.mapInArrow(_features, "label int, text binary, page binary").toArrow()
-    if not got.num_rows:
+    wanted = [ids.where(F.col("label") == k).orderBy(place, "doc_id").limit(PER_LABEL) for k in (0, 1)]
+    # At most 2 * PER_LABEL ids.
+    drawn = rows.join(F.broadcast(wanted[0].union(wanted[1])), "doc_id")
+    drawn = drawn.groupBy("doc_id", "label").agg(F.min(F.struct("text", *_PAGE)).alias("row"))
+    drawn = drawn.select(F.xxhash64("doc_id").alias("place"), "label", "row.*")
+    got = _features(drawn, "place long, label int").toArrow().sort_by("place")
+    label = got.column("label").to_numpy().astype(float)
+    if len(np.unique(label)) < 2:
         return None
-    text = np.frombuffer(b"".join(got.column("text").to_pylist()), np.float32).reshape(got.num_rows, -1)
-    page = _one_hot(np.frombuffer(b"".join(got.column("page").to_pylist()), np.int16).reshape(got.num_rows, -1))
-    label = np.nan_to_num(got.column("label").to_numpy().astype(float), nan=-1)
-    told = label >= 0
-    return co_train([text[told], page[told]], label[told], [text[~told], page[~told]])
+    return co_train(_unpacked(got), label, Unlabelled(rows, known).tell)
 
 
 def with_scores(docs: DataFrame, model: dict | None, names: list[str]) -> DataFrame:

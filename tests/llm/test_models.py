@@ -163,3 +163,31 @@ def test_labels_that_contradict_each_other_are_not_drawn(tables):
     docs, labels = tables
     other = labels.withColumn("toxic", 1 - F.col("toxic"))
     assert toxicity.fit(docs, labels.unionByName(other)) is None
+
+
+def test_views_tell_a_bounded_draw_of_all_unlabelled_texts(spark, tables):
+    docs, labels = tables
+    rows = quality._with_page(docs.select("doc_id", "text", *quality.PAGE_COLUMNS), quality._PAGE)
+    rows = rows.select("doc_id", "text", *quality._PAGE)
+    known = labels.where("quality in (0, 1)").select("doc_id").distinct()
+    free = quality.Unlabelled(rows.unionByName(rows), known)
+    own = rows.join(known, "doc_id", "left_anti").select("text", *quality._PAGE).distinct().count()
+    assert free.rows.select("print").distinct().count() == own
+    rng = np.random.default_rng(3)
+    width = (quality.SHAPES + quality.TERMS, quality.PAGE)
+    weights = [rng.standard_normal(n + 1) * 2 for n in width]
+    views = quality._unpacked(free.rows.dropDuplicates(["print"]).select("text_f", "page_f").toArrow())
+    edge = np.log(quality.SURE / (1 - quality.SURE))
+    for counts in ([7, 5], [10**6, 10**6]):
+        told = free.tell(weights, 1, counts)
+        for k, (both, label) in enumerate(told):
+            logit = quality._logit(views[k], weights[k])
+            sure = [int((logit < -edge).sum()), int((logit > edge).sum())]
+            assert [int((label == y).sum()) for y in (0, 1)] == [min(a, b) for a, b in zip(sure, counts, strict=True)]
+            assert np.array_equal(quality._logit(both[k], weights[k]) > edge, label == 1)
+
+
+def test_quality_labels_that_contradict_each_other_teach_nothing(tables):
+    docs, labels = tables
+    other = labels.withColumn("quality", 1 - F.col("quality"))
+    assert quality.fit(docs, labels.unionByName(other)) is None
