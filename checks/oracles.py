@@ -238,7 +238,7 @@ PARTS: dict[str, str] = {
     "ods_timesheet": last_change(
         "stg_fin_timesheet_delta",
         "timesheet_id",
-        "date_trunc('month', CAST(work_date AS DATE)) AS work_month",
+        "CAST(date_trunc('month', CAST(work_date AS DATE)) AS DATE) AS work_month",
         "ods_timesheet",
     ),
     "ods_payroll_adjustment": last_change(
@@ -263,7 +263,7 @@ PARTS: dict[str, str] = {
     "ods_shift_swap": last_change(
         "stg_wfm_shift_swap_delta",
         "swap_id",
-        "date_trunc('month', CAST(swap_date AS DATE)) AS swap_month",
+        "CAST(date_trunc('month', CAST(swap_date AS DATE)) AS DATE) AS swap_month",
         "ods_shift_swap",
     ),
     "ods_ticket_worklog": last_change(
@@ -275,7 +275,7 @@ PARTS: dict[str, str] = {
     "ods_attrition_event": last_change(
         "stg_hr_attrition_event_delta",
         "attrition_event_id",
-        f"{ts('notice_epoch')} AS notice_ts, date_trunc('month', {ts('notice_epoch')}) AS event_month",
+        f"{ts('notice_epoch')} AS notice_ts, CAST(date_trunc('month', {ts('notice_epoch')}) AS DATE) AS event_month",
         "ods_attrition_event",
     ),
     "ods_rate_card": f"""

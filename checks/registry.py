@@ -7,6 +7,7 @@ Every entry runs over whole base tables. Tables and analyst queries take their i
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -465,17 +466,30 @@ def dq_negative_values(w: Warehouse) -> DataFrame:
     return out
 
 
-CONTRACTS = ["ods_call", "ods_invoice_acid", "ods_qa_evaluation", "fact_billing_line", "agg_billing_monthly"]
-
-
 def dq_schema_contract(w: Warehouse) -> DataFrame:
     out = None
-    for t in CONTRACTS:
+    for t in POPULATED:
         rows = quality.schema_contract(w.get(t), t)
         out = rows if out is None else out.unionByName(rows)
     return out
 
 
+def dq_contract_faults(w: Warehouse) -> DataFrame:
+    """Evaluations with NULL keys, shares that do not fit, events without a day, and a renamed column; calls whose
+    partition column is a text and which lack their last time."""
+    rows = w.get("ods_qa_evaluation")
+    points = F.col("scored_points")
+    faults = rows.withColumns(
+        {
+            "qa_form_id": F.when(points % 3 != 0, F.col("qa_form_id")),
+            "overall_pct": F.col("overall_pct").cast("decimal(12,2)") + F.when(points % 5 == 0, 10**6).otherwise(0).cast("decimal(9,2)"),
+            "event_date": F.when(points % 2 == 0, F.col("event_date")),
+        }
+    ).withColumnRenamed("form_version", "version")
+    calls = w.get("ods_call").withColumn("call_date", F.col("call_date").cast("string")).withColumn("end_ts", F.lit(None).cast("long"))
+    return quality.schema_contract(faults, "ods_qa_evaluation").unionByName(quality.schema_contract(calls, "ods_call"))
+
+
 HISTORIES = {
     "ods_agent_scd2": (["agent_id"], "agent_history_id"),
     "ods_agent_skill_scd2": (["agent_id", "skill_id"], "agent_skill_history_id"),
@@ -562,9 +576,21 @@ def active_agents_merged(w: Warehouse) -> DataFrame:
 
 
 def dq_report(w: Warehouse) -> DataFrame:
-    return quality.report(
-        {"pk_unique": dq_pk_unique(w), "table_populated": dq_table_populated(w), "epoch_range": dq_epoch_range(w)}
-    )
+    """All checks in one report."""
+    checks = {
+        "pk_unique": dq_pk_unique,
+        "table_populated": dq_table_populated,
+        "epoch_range": dq_epoch_range,
+        "string_date": dq_string_date,
+        "fk_default": dq_fk_default,
+        "negative_values": dq_negative_values,
+        "schema_contract": dq_schema_contract,
+        "scd2_integrity": dq_scd2_integrity,
+        "edge_values": dq_edge_values,
+        "dim_date_match": dq_dim_date_match,
+        "table_diff": table_diff,
+    }
+    return quality.report({name: check(w) for name, check in checks.items()})
 
 
 QUERIES: dict[str, Query] = {
@@ -608,6 +634,7 @@ QUERIES: dict[str, Query] = {
     "table_diff_ranges": table_diff_ranges,
     "dq_scd2_faults": dq_scd2_faults,
     "dq_dim_date_faults": dq_dim_date_faults,
+    "dq_contract_faults": dq_contract_faults,
     "active_agents_merged": active_agents_merged,
     "dq_report": dq_report,
     # Whole states from all deliveries at once; what one run makes of a delivery is timed apart.
@@ -667,11 +694,18 @@ def _fk(column: str, dim: str) -> str:
 
 
 def _contract(table: str) -> str:
-    missing = " OR ".join(f"{c} IS NULL" for c in TABLES[table].pk)
+    spec = TABLES[table]
+    count = lambda parts: f"count(*) FILTER ({' OR '.join(parts) or 'false'})"
+    no_key, part = count([f"{c} IS NULL" for c in spec.pk]), spec.partition
+    sizes = [(c, re.match(r"DECIMAL\((\d+),\s*(\d+)\)$", kind)) for c, kind in spec.columns]
+    over = " + ".join(
+        ["CAST(0 AS BIGINT)", *[f"count(*) FILTER (abs(CAST({c} AS DOUBLE)) >= 1e{int(m[1]) - int(m[2])})" for c, m in sizes if m]]
+    )
     return (
-        f"SELECT '{table}' AS table_name, CAST({len(TABLES[table].columns)} AS BIGINT) AS declared_columns, "
-        f"CAST(0 AS BIGINT) AS schema_differences, count(*) FILTER ({missing}) AS null_key_rows, "
-        f"CAST(0 AS BIGINT) AS overflow_values, {_status(f'count(*) FILTER ({missing}) = 0')} FROM {table}"
+        f"SELECT '{table}' AS table_name, CAST({len(spec.columns)} AS BIGINT) AS declared_columns, "
+        f"CAST(0 AS BIGINT) AS schema_differences, {f'typeof(max({part}))' if part else 'CAST(NULL AS VARCHAR)'} AS partition_type, "
+        f"{count([f'{part} IS NULL'] if part else [])} AS null_partition_rows, {no_key} AS null_key_rows, "
+        f"{over} AS overflow_values, {_status(f'{no_key} = 0 AND {over} = 0')} FROM {table}"
     )
 
 
@@ -711,26 +745,55 @@ def _detail(check: str, query: str, columns: list[str]) -> str:
     return f"SELECT '{check}' AS check_name, {text} AS detail, status FROM ({query})"
 
 
-REPORT_LINES = _all(
+DQ_DATES = _all([_string_date(c) for c in ("start_dt", "end_dt", "signed_dt", "contract_no")])
+DQ_FK = _all([_fk("agent_sk", "dim_agent"), _fk("queue_sk", "dim_queue"), _fk("client_sk", "dim_client")])
+DQ_NEGATIVE = _all(
     [
-        _detail("pk_unique", DQ_PK, ["table_name", "row_count", "key_count", "duplicate_keys"]),
-        _detail("table_populated", DQ_POPULATED, ["table_name", "row_count"]),
-        _detail(
-            "epoch_range",
-            DQ_EPOCH,
-            [
-                "column_name",
-                "declared_unit",
-                "value_count",
-                "min_value",
-                "max_value",
-                "millis_count",
-                "table_name",
-                "detected_unit",
-            ],
-        ),
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS value_count, "
+        f"count(*) FILTER ({c} < 0) AS negative_count, CAST(min({c}) AS BIGINT) AS min_value, "
+        f"{_status(f'count(*) FILTER ({c} < 0) = 0')} FROM {t}"
+        for t, c in MEASURES.items()
     ]
 )
+DQ_CONTRACT = _all([_contract(t) for t in POPULATED])
+DQ_HISTORY = _all([_history(t) for t in HISTORIES])
+DQ_EDGE = _all([_difference(f, "documents") for f in ("parquet", "csv", "json")])
+DQ_CALENDAR = _difference("dim_date", "dim_date")
+
+
+def _report_lines() -> str:
+    """All checks as texts; the columns stand in the order in which each check gives them."""
+    bag = "comparison row_count missing_rows extra_rows"
+    return _all(
+        [
+            _detail(check, query, columns.split())
+            for check, query, columns in (
+                ("pk_unique", DQ_PK, "table_name row_count key_count duplicate_keys"),
+                ("table_populated", DQ_POPULATED, "table_name row_count"),
+                (
+                    "epoch_range",
+                    DQ_EPOCH,
+                    "column_name declared_unit value_count min_value max_value millis_count table_name detected_unit",
+                ),
+                ("string_date", DQ_DATES, "table_name column_name null_count parsed_count rejected_count"),
+                ("fk_default", DQ_FK, "table_name key_name row_count unknown_count null_count orphan_count"),
+                ("negative_values", DQ_NEGATIVE, "table_name column_name value_count negative_count min_value"),
+                (
+                    "schema_contract",
+                    DQ_CONTRACT,
+                    "table_name declared_columns schema_differences partition_type null_partition_rows null_key_rows overflow_values",
+                ),
+                (
+                    "scd2_integrity",
+                    DQ_HISTORY,
+                    "table_name version_count bad_surrogates keys_without_one_current broken_ranges",
+                ),
+                ("edge_values", DQ_EDGE, bag),
+                ("dim_date_match", DQ_CALENDAR, bag),
+                ("table_diff", TABLE_DIFF, "column_name compared differing"),
+            )
+        ]
+    )
 
 
 def _feed(table: str, column: str, line: str, exclude: str = "") -> str:
@@ -787,6 +850,13 @@ TICKET = "ticket_id AS k, status, updated_ms, priority"
 LOW_TICKET = "(SELECT max(ticket_id) // 16 FROM stg_tkt_ticket)"
 SPANS = "SELECT user_id, event_type, ts AS s, ts + to_seconds(CAST(floor(coalesce(value, 0)) AS BIGINT)) AS e FROM events"
 
+TABLE_DIFF = _diff(
+    "SELECT call_id AS k, epoch_us(end_ts) // 1000000 AS end_epoch, recording_id, agent_id FROM ods_call",
+    "SELECT call_id AS k, min(end_epoch) AS end_epoch, min(recording_id) AS recording_id, max(agent_id) AS agent_id "
+    "FROM stg_tel_call GROUP BY call_id",
+    ["end_epoch", "recording_id", "agent_id"],
+)
+
 ORACLES: dict[str, str] = {
     "load_dim_date": sql.plain("dim_date"),
     "vw_program_margin": "SELECT * FROM vw_program_margin",
@@ -862,28 +932,23 @@ ORACLES: dict[str, str] = {
     "dq_pk_unique": DQ_PK,
     "dq_table_populated": DQ_POPULATED,
     "dq_epoch_range": DQ_EPOCH,
-    "dq_string_date": _all([_string_date(c) for c in ("start_dt", "end_dt", "signed_dt", "contract_no")]),
-    "dq_fk_default": _all(
-        [_fk("agent_sk", "dim_agent"), _fk("queue_sk", "dim_queue"), _fk("client_sk", "dim_client")]
-    ),
-    "dq_negative_values": _all(
-        [
-            f"SELECT '{t}' AS table_name, '{c}' AS column_name, count({c}) AS value_count, "
-            f"count(*) FILTER ({c} < 0) AS negative_count, CAST(min({c}) AS BIGINT) AS min_value, "
-            f"{_status(f'count(*) FILTER ({c} < 0) = 0')} FROM {t}"
-            for t, c in MEASURES.items()
-        ]
-    ),
-    "dq_schema_contract": _all([_contract(t) for t in CONTRACTS]),
-    "dq_scd2_integrity": _all([_history(t) for t in HISTORIES]),
-    "dq_edge_values": _all([_difference(f, "documents") for f in ("parquet", "csv", "json")]),
-    "dq_dim_date_match": _difference("dim_date", "dim_date"),
-    "table_diff": _diff(
-        "SELECT call_id AS k, epoch_us(end_ts) // 1000000 AS end_epoch, recording_id, agent_id FROM ods_call",
-        "SELECT call_id AS k, min(end_epoch) AS end_epoch, min(recording_id) AS recording_id, max(agent_id) AS agent_id "
-        "FROM stg_tel_call GROUP BY call_id",
-        ["end_epoch", "recording_id", "agent_id"],
-    ),
+    "dq_string_date": DQ_DATES,
+    "dq_fk_default": DQ_FK,
+    "dq_negative_values": DQ_NEGATIVE,
+    "dq_schema_contract": DQ_CONTRACT,
+    "dq_contract_faults": """
+        SELECT 'ods_qa_evaluation' AS table_name, CAST(12 AS BIGINT) AS declared_columns, CAST(2 AS BIGINT) AS schema_differences,
+               'DATE' AS partition_type, count(*) FILTER (NOT coalesce(scored_points % 2 = 0 AND event_date IS NOT NULL, false)) AS null_partition_rows,
+               count(*) FILTER (NOT coalesce(scored_points % 3 <> 0, false)) AS null_key_rows,
+               count(*) FILTER (scored_points % 5 = 0 AND overall_pct IS NOT NULL) AS overflow_values, 'FAIL' AS status
+        FROM ods_qa_evaluation
+        UNION ALL
+        SELECT 'ods_call', CAST(16 AS BIGINT), CAST(2 AS BIGINT), 'STRING', count(*) FILTER (call_date IS NULL),
+               count(*) FILTER (call_id IS NULL), CAST(0 AS BIGINT), 'FAIL' FROM ods_call""",
+    "dq_scd2_integrity": DQ_HISTORY,
+    "dq_edge_values": DQ_EDGE,
+    "dq_dim_date_match": DQ_CALENDAR,
+    "table_diff": TABLE_DIFF,
     "table_diff_ranges": _ranged(
         f"SELECT {TICKET} FROM stg_tkt_ticket WHERE load_date = DATE '2024-01-15'",
         f"""SELECT {TICKET} FROM stg_tkt_ticket WHERE load_date = DATE '2024-01-15' AND ticket_id > {LOW_TICKET}
@@ -912,10 +977,10 @@ ORACLES: dict[str, str] = {
         FROM seen GROUP BY month_key, site_code
         UNION ALL SELECT month_key, 'all', count(DISTINCT agent_sk), count(*) FROM seen GROUP BY month_key""",
     "dq_report": f"""
-        SELECT * FROM ({REPORT_LINES})
+        SELECT * FROM ({_report_lines()})
         UNION ALL
         SELECT 'coverage', 'checked ' || count(*) || ', failed ' || count(*) FILTER (status = 'FAIL'),
-               CASE WHEN count(*) FILTER (status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END FROM ({REPORT_LINES})""",
+               CASE WHEN count(*) FILTER (status = 'FAIL') = 0 THEN 'PASS' ELSE 'FAIL' END FROM ({_report_lines()})""",
 }
 
 

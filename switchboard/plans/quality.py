@@ -134,16 +134,29 @@ def fk_default(fact: DataFrame, table: str, keys: Mapping[str, tuple[DataFrame,
     return _union(frames)
 
 
+def _as_stored(kind: T.DataType) -> T.DataType:
+    """The type as files give it back: every part may be NULL."""
+    if isinstance(kind, T.StructType):
+        return T.StructType([T.StructField(f.name, _as_stored(f.dataType)) for f in kind.fields])
+    if isinstance(kind, T.ArrayType):
+        return T.ArrayType(_as_stored(kind.elementType))
+    if isinstance(kind, T.MapType):
+        return T.MapType(_as_stored(kind.keyType), _as_stored(kind.valueType))
+    return kind
+
+
 def schema_contract(df: DataFrame, table: str) -> DataFrame:
-    """Declared against actual columns, plus a scan for NULL keys and numbers that overflow.
+    """Declared against actual columns, plus a scan for NULL keys, NULL partition values and numbers that overflow.
 
-    One row with the number of declared columns, of differences in name, order, type or
-    nullability, of rows with a NULL key and of values outside their declared precision.
+    One row with the number of declared columns, of differences in name, order or type, nested fields
+    included (files give every column back as nullable), the partition column's actual type, the rows
+    that lie in the NULL partition, with a NULL key, and the values outside their declared precision. A table fails
+    by all of these but NULL partition values, which events without a time may have.
     """
     spec = TABLES[table]
     expected, actual = spec.schema.fields, df.schema.fields
     differences = abs(len(expected) - len(actual)) + sum(
-        1 for e, a in zip(expected, actual) if (e.name, e.dataType, e.nullable) != (a.name, a.dataType, True)
+        1 for e, a in zip(expected, actual) if (e.name, _as_stored(e.dataType)) != (a.name, _as_stored(a.dataType))
     )
     have = {f.name: f.dataType for f in actual}
     null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in spec.pk if c in have], F.lit(False))
@@ -152,7 +165,9 @@ def schema_contract(df: DataFrame, table: str) -> DataFrame:
         if isinstance(e.dataType, T.DecimalType) and e.name in have:
             top = F.lit(10 ** (e.dataType.precision - e.dataType.scale)).cast("decimal(38,0)")
             overflow = overflow + F.when(F.abs(F.col(e.name)) >= top, 1).otherwise(0)
+    part = spec.partition if spec.partition in have else None
     counts = df.agg(
+        F.count(F.when(F.col(part).isNull() if part else F.lit(False), 1)).alias("null_partition_rows"),
         F.count(F.when(null_key, 1)).alias("null_key_rows"),
         F.coalesce(F.sum(overflow), F.lit(0)).cast("long").alias("overflow_values"),
     )
@@ -160,6 +175,8 @@ def schema_contract(df: DataFrame, table: str) -> DataFrame:
         F.lit(table).alias("table_name"),
         F.lit(len(expected)).cast("long").alias("declared_columns"),
         F.lit(differences).cast("long").alias("schema_differences"),
+        F.lit(have[part].simpleString().upper() if part else None).cast("string").alias("partition_type"),
+        "null_partition_rows",
         "null_key_rows",
         "overflow_values",
         _status((F.lit(differences) == 0) & (F.col("null_key_rows") == 0) & (F.col("overflow_values") == 0)),

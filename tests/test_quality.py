@@ -163,3 +163,17 @@ def test_table_diff_compares_every_call(wh):
 
 def test_every_built_table_is_looked_at():
     assert set(TABLES) - set(registry.POPULATED) == {"dim_date"}
+
+
+def test_schema_contract_of_nested_types_and_null_partitions(spark):
+    spec = TABLES["ods_qa_evaluation"]
+    rows = spark.createDataFrame([tuple("k" if c == "qa_form_id" else None for c in spec.names)] * 2, spec.schema)
+    out = one(quality.schema_contract(rows, spec.name))
+    assert (out.partition_type, out.null_partition_rows, out.status) == ("DATE", 2, "PASS")
+    text = one(quality.schema_contract(rows.withColumn("event_date", F.lit("2024-01-15")), spec.name))
+    assert (text.partition_type, text.schema_differences, text.status) == ("STRING", 1, "FAIL")
+    chats = TABLES["stg_file_chat_transcripts"]
+    empty = spark.createDataFrame([], chats.schema)
+    assert one(quality.schema_contract(empty, chats.name)).status == "PASS"
+    less = F.transform("messages", lambda m: m.dropFields("text"))
+    assert one(quality.schema_contract(empty.withColumn("messages", less), chats.name)).schema_differences == 1
