@@ -1,6 +1,7 @@
 """Physical plans: nothing runs in one task, in Python, or as a product of two tables."""
 
 import datetime as dt
+import re
 
 import pytest
 from conftest import FOLDER
@@ -100,3 +101,21 @@ def test_runtime_settings(spark):
     assert spark.conf.get("spark.sql.adaptive.enabled") == "true"
     assert spark.conf.get("spark.sql.session.timeZone") == "UTC"
     assert spark.range(1).select(F.current_timezone()).first()[0] == "UTC"
+
+
+@pytest.mark.parametrize("table", ["fact_csat_survey", "fact_qa_evaluation"])
+def test_days_keys_filter_whole_tables_at_the_scan(spark, wh, table):
+    """Spark's own run-time filter: beyond broadcast size, the few keys of the day thin out the large side before its shuffle."""
+    names = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.optimizer.runtime.bloomFilter.applicationSideScanSizeThreshold": "0",
+    }
+    before = {k: spark.conf.get(k) for k in names}
+    for k, v in names.items():
+        spark.conf.set(k, v)
+    try:
+        plan = wh.build(table)._jdf.queryExecution().optimizedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert re.search(rf"might_contain\(scalar-subquery#\d+ \[[^\]]*\], xxhash64\((coalesce\()?interaction_id#", plan)
