@@ -42,6 +42,14 @@ def test_billing_totals_beyond_the_declared_precision_are_whole(spark, rows):
     assert rows(sink.read_table(spark, path, "agg_billing_monthly"), *columns) == rows(out, *columns)
 
 
+def test_rollup_totals_beyond_the_declared_precision_are_whole(spark, rows):
+    fact, survey = table(spark, "fact_interaction"), table(spark, "fact_csat_survey")
+    program = table(spark, "dim_program", *[{"program_sk": p, "client_id": 1, "line_of_business": "X"} for p in (7, 8)])
+    out = aggs.agg_program_monthly(fact, survey, lines(spark), program)
+    got = rows(out, "program_sk", "grouping_level", "billed_amount")
+    assert (7, 0, 2 * MOST) in got and (None, 3, 3 * MOST) in got and (None, 7, 3 * MOST) in got
+
+
 def test_contract_counts_totals_beyond_the_declared_precision(spark):
     out = quality.schema_contract(billing(spark), "agg_billing_monthly").first()
     # All four totals of program 7 and the carrier cost of program 8.
