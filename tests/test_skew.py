@@ -181,3 +181,20 @@ def test_billing_keeps_every_line_of_a_hot_invoice(spark):
     assert {r.client_sk for r in out.collect()} == {5}
     single = facts.fact_billing_line(line, invoice, program, client, card, day, one_rate_per_program=True)
     assert single.count() == 100 and {r.service_code for r in single.collect()} == {"T"}
+
+
+def test_join_many_shuffles_the_left_side_once(spark, rows):
+    left = spark.range(1000).selectExpr("if(id % 10 = 0, null, id % 7) as k", "id as v")
+    right = spark.range(50).selectExpr("if(id % 5 = 0, null, id % 4) as k", "id as w")
+    name = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "-1")
+    try:
+        out = skew.join_many(left, right, "k")
+        got = rows(out, "k", "v", "w")
+        out.collect()
+        plan = out._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert got == rows(left.join(right, "k", "left").select("k", "v", "w"))
+    finally:
+        spark.conf.set(name, before)
+    assert "ReusedExchange" in plan and plan.count("Range (0, 1000") == 1
