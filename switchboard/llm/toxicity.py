@@ -6,16 +6,19 @@ counts as another. Two gated recurrent units read a window of ``WINDOW`` words f
 backwards, attention weighs their states, and one output gives the window's probability. All
 overlapping windows of a text are scored (every ``STRIDE`` words, the last one up to the end), and the text's
 score is the largest of them. A longer text has more windows that may score high by chance, so
-the cut is then set halfway between the largest scores of the toxic training texts and those of
-``CLEAN`` more clean texts, and scores are shifted to have it at ``REJECT``.
+the cut is then set halfway between a logit that all clean training texts but one in ``CLEAN`` stay below and
+one that 19 in 20 of the toxic ones reach, and scores are shifted to have it at ``REJECT``.
 
-Training is plain numpy on the driver, on at most ``PER_LABEL`` labelled texts of each label, of any
-length: those with the smallest hashes of doc_id. Of a text with more than ``MOST`` windows the tasks cut ``MOST``
+Training has two parts. A start is made in plain numpy on the driver, on at most ``PER_LABEL`` labelled texts of
+each label: those with the smallest hashes of doc_id. Of a text with more than ``MOST`` windows the tasks cut ``MOST``
 out, evenly over its whole length, and only those reach the driver, so a very long text is no burden there.
 They are read ``CHUNK`` bytes at a time, and a step runs through its windows ``AT_ONCE`` at a time, so only the
-word numbers of all texts are held at once. The cut is set by whole texts, which are scored in tasks.
-A text is toxic if any of its windows is (noisy or), so its label needs no place. Hashes seen in
-fewer than ``SEEN_IN`` of these texts keep a zero vector. Scoring covers every row and needs the
+word numbers of all texts are held at once. From this start ``PASSES`` passes go over all labelled texts, whole and
+with all their windows: a step is a Spark job whose tasks sum the gradient over one of ``SLICES`` slices, both labels
+weighing the same, and the driver gets one gradient of the model's size. Which hashes are in ``SEEN_IN`` texts
+or more, and so may learn, is counted over all of them, and so is the cut, from scores made in tasks.
+A text is toxic if any of its windows is (noisy or), so its label needs no place. In the start, hashes seen in
+fewer than ``SEEN_IN`` of its texts keep a zero vector. Scoring covers every row and needs the
 model only, whose size is fixed.
 
 Null and empty texts and texts without words score ``EMPTY``. Without labels of both kinds every
@@ -34,11 +37,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from switchboard.llm.frames import MARKS, Hasher, as_bytes, chunks, lowered, small_batches, spare, table, word_spans
-from switchboard.session import store
+from switchboard.session import fresh_path
 
 WINDOW, STRIDE = 64, 32
 PER_LABEL, SEEN_IN = 600, 3
-CLEAN = 800
+# Steps over all labelled texts: passes, steps of a pass, their rate, bytes of text at once.
+PASSES, SLICES, PASS_RATE = 1, 8, 0.005
+STEP_BYTES = 1 << 16
+# One clean text in CLEAN may be above the lower end of the cut; places of a logit that are told apart.
+CLEAN, BINS = 800, 256
 # Windows of one text that train.
 MOST = 256
 SLOTS = 1 << 15
@@ -180,6 +187,15 @@ def _forward(model: dict, vectors: np.ndarray, words: np.ndarray, keep: dict | N
     return pooled @ model["out"] + model["out_c"]
 
 
+def _per_word(index: np.ndarray, values: np.ndarray, words: int) -> np.ndarray:
+    """Sums of ``values`` over the places of each word."""
+    out = np.empty((words, values.shape[-1]), np.float32)
+    at = index.ravel()
+    for k in range(values.shape[-1]):
+        out[:, k] = np.bincount(at, values[..., k].ravel(), words)
+    return out
+
+
 def _backward(model: dict, vectors: np.ndarray, keep: dict, slope: np.ndarray) -> tuple[dict, np.ndarray]:
     """Gradients of the parameters and of the word vectors; ``slope`` is that of the logits."""
     grad = {"out": keep["pooled"].T @ slope, "out_c": slope.sum(keepdims=True)}
@@ -198,7 +214,7 @@ def _backward(model: dict, vectors: np.ndarray, keep: dict, slope: np.ndarray) -
         outside, live, index = d_both[turn][:, :, part], keep["live"][turn], keep["index"][turn]
         recurrent = model[f"u_{side}"]
         d_u, d_n = np.zeros_like(recurrent), np.zeros_like(model[f"n_{side}"])
-        d_in = np.zeros((len(vectors), 3 * STATE), np.float32)
+        steps = np.empty((*index.shape, 3 * STATE), np.float32)
         d_h = np.zeros((outside.shape[1], STATE), np.float32)
         for t in range(len(outside) - 1, -1, -1):
             h, z, r, n, inner = keep[side][t]
@@ -212,8 +228,9 @@ def _backward(model: dict, vectors: np.ndarray, keep: dict, slope: np.ndarray) -
             d_back = np.concatenate([pre_z, pre_r, d_inner], axis=1)
             d_u += h.T @ d_back
             d_n += d_inner.sum(axis=0)
-            np.add.at(d_in, index[t], np.concatenate([pre_z, pre_r, pre_n], axis=1))
+            steps[t] = np.concatenate([pre_z, pre_r, pre_n], axis=1)
             d_h = d_back @ recurrent.T + np.where(on, d_new * z, total)
+        d_in = _per_word(index, steps, len(vectors))
         grad |= {f"u_{side}": d_u, f"n_{side}": d_n, f"w_{side}": vectors.T @ d_in, f"c_{side}": d_in.sum(axis=0)}
         d_vectors += d_in @ model[f"w_{side}"].T
     return grad, d_vectors
@@ -267,6 +284,55 @@ def _summed(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]
     return rows, out
 
 
+def _slopes(
+    words: Words, model: dict, whose_piece: np.ndarray, some: np.ndarray, truth: np.ndarray, share: np.ndarray | float, at_once: int = 0
+) -> tuple[dict, dict[str, list]]:
+    """Gradients of the parameters, and rows of those of the tables, over the texts ``some``; ``share`` is their weight."""
+    base, length, piece = words.places(np.flatnonzero(np.isin(whose_piece, some) & (words.counted > 0)))
+    # Noisy or: a text is clean if all its windows are.
+    whose = np.searchsorted(np.sort(some), whose_piece[piece])
+    at_once = at_once or AT_ONCE
+    parts = [slice(at, at + at_once) for at in range(0, len(base), at_once)]
+    chance = np.empty(len(base))
+    for part in parts:
+        keep: dict = {}
+        used = _inputs(words, model, words.read(base[part], length[part]))
+        chance[part] = _sigmoid(_forward(model, used[0], used[1], keep if len(parts) == 1 else None).astype(np.float64))
+    clean = np.exp(np.bincount(whose, np.log1p(-np.clip(chance, 0, 1 - 1e-7)), len(some)))
+    toxic = np.clip(1 - clean, 1e-6, 1)
+    ratio = np.where(truth[np.sort(some)] == 1, -clean / toxic, 1.0)
+    slope = (chance * (ratio * share)[whose]).astype(np.float32)
+    grad: dict = {}
+    slots: dict[str, list] = {"words": [], "pieces": []}
+    for part in parts:
+        if len(parts) > 1:
+            keep = {}
+            used = _inputs(words, model, words.read(base[part], length[part]))
+            _forward(model, used[0], used[1], keep)
+        more, d_vectors = _backward(model, used[0], keep, slope[part])
+        grad = {k: grad[k] + g if k in grad else g for k, g in more.items()}
+        _, _, distinct, pieces, weight = used
+        for name, at, d in (
+            ("words", words.slot[distinct], d_vectors),
+            ("pieces", pieces, np.repeat(d_vectors * weight, words.count[distinct], axis=0)),
+        ):
+            slots[name].append(_summed(at, d))
+    return grad, slots
+
+
+def _update(model: dict, moments: dict, grad: dict, rate: float, step: int) -> None:
+    """One step of Adam; the gradients of tables are rows and their values."""
+    size = np.sqrt(sum(float((g[1] if isinstance(g, tuple) else g).astype(np.float64).__pow__(2).sum()) for g in grad.values()))
+    for k, g in grad.items():
+        rows, g = g if isinstance(g, tuple) else (slice(None), g)
+        g = g / max(size, 1.0)
+        mean, square = moments[k]
+        mean[rows] = 0.9 * mean[rows] + 0.1 * g
+        square[rows] = 0.99 * square[rows] + 0.01 * g * g
+        scale = np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
+        model[k][rows] -= rate * scale * mean[rows] / (np.sqrt(square[rows]) + 1e-6)
+
+
 def train(
     pieces: list[str], labels: list[int], owner: list[int] | None = None, seed: int = 7
 ) -> dict[str, np.ndarray] | None:
@@ -293,57 +359,112 @@ def train(
         rate = RATE * (1 - epoch / EPOCHS)
         for some in np.array_split(rng.permutation(told), -(-len(told) // DOCS_A_STEP)):
             step += 1
-            base, length, piece = words.places(np.flatnonzero(np.isin(whose_piece, some) & (words.counted > 0)))
-            # Noisy or: a text is clean if all its windows are.
-            whose = np.searchsorted(np.sort(some), whose_piece[piece])
-            parts = [slice(at, at + AT_ONCE) for at in range(0, len(base), AT_ONCE)]
-            chance = np.empty(len(base))
-            for part in parts:
-                keep: dict = {}
-                used = _inputs(words, model, words.read(base[part], length[part]))
-                chance[part] = _sigmoid(_forward(model, used[0], used[1], keep if len(parts) == 1 else None).astype(np.float64))
-            clean = np.exp(np.bincount(whose, np.log1p(-np.clip(chance, 0, 1 - 1e-7)), len(some)))
-            toxic = np.clip(1 - clean, 1e-6, 1)
-            ratio = np.where(truth[np.sort(some)] == 1, -clean / toxic, 1.0)
-            slope = (chance * ratio[whose] / len(some)).astype(np.float32)
-            grad: dict = {}
-            slots: dict[str, list] = {"words": [], "pieces": []}
-            for part in parts:
-                if len(parts) > 1:
-                    keep = {}
-                    used = _inputs(words, model, words.read(base[part], length[part]))
-                    _forward(model, used[0], used[1], keep)
-                more, d_vectors = _backward(model, used[0], keep, slope[part])
-                grad = {k: grad[k] + g if k in grad else g for k, g in more.items()}
-                _, _, distinct, pieces, weight = used
-                for name, at, d in (
-                    ("words", words.slot[distinct], d_vectors),
-                    ("pieces", pieces, np.repeat(d_vectors * weight, words.count[distinct], axis=0)),
-                ):
-                    slots[name].append(_summed(at, d))
+            grad, slots = _slopes(words, model, whose_piece, some, truth, 1 / len(some))
             for name, found in slots.items():
                 rows, total = _summed(np.concatenate([f[0] for f in found]), np.concatenate([f[1] for f in found]))
                 live = on[name][rows]
                 grad[name] = (rows[live], total[live])
-            size = np.sqrt(sum(float((g[1] if isinstance(g, tuple) else g).astype(np.float64).__pow__(2).sum()) for g in grad.values()))
-            for k, g in grad.items():
-                rows, g = g if isinstance(g, tuple) else (slice(None), g)
-                g = g / max(size, 1.0)
-                mean, square = moments[k]
-                mean[rows] = 0.9 * mean[rows] + 0.1 * g
-                square[rows] = 0.99 * square[rows] + 0.01 * g * g
-                scale = np.sqrt(1 - 0.99**step) / (1 - 0.9**step)
-                model[k][rows] -= rate * scale * mean[rows] / (np.sqrt(square[rows]) + 1e-6)
+            _update(model, moments, grad, rate, step)
     return model
 
 
-def calibrate(model: dict, clean: list[float], toxic: list[float]) -> None:
-    """Shift the logits so that ``REJECT`` lies between the largest scores of clean and of toxic texts."""
-    ends = []
-    for scores, at in ((clean, 1.0), (toxic, 0.05)):
-        found = np.clip(scores, 1e-9, 1 - 1e-9)
-        ends.append(np.quantile(np.log(found / (1 - found)), at))
-    model["out_c"] = model["out_c"].astype(np.float64) + np.log(REJECT / (1 - REJECT)) - (ends[0] + ends[1]) / 2
+def calibrate(model: dict, clean: float, toxic: float) -> None:
+    """Shift the logits so that ``REJECT`` lies halfway between a logit of clean and one of toxic texts."""
+    model["out_c"] = model["out_c"].astype(np.float64) + np.log(REJECT / (1 - REJECT)) - (clean + toxic) / 2
+
+
+def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts of a task the slots of words and of pieces are."""
+    total = {name: np.zeros(SLOTS, np.int64) for name in ("words", "pieces")}
+    for part in chunks(batches, "text"):
+        words = Words(*as_bytes(part.column("text")))
+        row, word = np.divmod(np.unique(words.row.astype(np.int64) * len(words.slot) + words.word), max(len(words.slot), 1))
+        at = np.repeat(words.cuts[word], words.count[word]) + _within(words.count[word])
+        for name, texts, slot in (("words", row, words.slot[word]), ("pieces", np.repeat(row, words.count[word]), words.pieces[at])):
+            total[name] += np.bincount(np.unique(texts * SLOTS + slot) % SLOTS, minlength=SLOTS)
+    for name, found in total.items():
+        at = np.flatnonzero(found)
+        yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(found[at])], ["name", "row", "n"])
+
+
+def _live(told: DataFrame) -> dict[str, np.ndarray]:
+    """The slots found in ``SEEN_IN`` texts or more, told by all texts."""
+    found = told.select("text").mapInArrow(_seen, "name string, row long, n long")
+    # At most ``SLOTS`` numbers of words and of pieces.
+    got = found.groupBy("name", "row").agg(F.sum("n").alias("n")).where(F.col("n") >= SEEN_IN).collect()
+    live = {name: np.zeros(SLOTS, bool) for name in ("words", "pieces")}
+    for r in got:
+        live[r.name][r.row] = True
+    return live
+
+
+def _gradient(told: DataFrame, model: dict, share: np.ndarray, live: dict[str, np.ndarray]) -> dict:
+    """The gradient over all windows of all texts of ``told``, summed in tasks and by Spark; ``share`` is the weight of a label's texts."""
+    sent = told.sparkSession.sparkContext.broadcast(model)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = {k: np.zeros(v.shape) for k, v in sent.value.items()}
+        for part in chunks(batches, "text", STEP_BYTES):
+            words, truth = Words(*as_bytes(part.column("text"))), part.column("toxic").to_numpy()
+            some = np.flatnonzero(words.counted)
+            if not len(some):
+                continue
+            grad, slots = _slopes(words, sent.value, np.arange(part.num_rows), some, truth, share[truth[some]], TOGETHER)
+            for k, g in grad.items():
+                total[k] += g
+            for k, found in slots.items():
+                for rows, g in found:
+                    total[k][rows] += g
+        for k, g in total.items():
+            g = g.reshape(-1, g.shape[-1])
+            rows = np.flatnonzero(g.any(axis=1))
+            ends = pa.array(np.arange(len(rows) + 1, dtype=np.int32) * g.shape[1])
+            values = pa.ListArray.from_arrays(ends, pa.array(g[rows].ravel()))
+            yield pa.RecordBatch.from_arrays([pa.array([k] * len(rows), pa.string()), pa.array(rows), values], ["name", "row", "values"])
+
+    parts = told.select("toxic", "text").mapInArrow(run, "name string, row long, values array<double>")
+    sums = [F.sum(F.get("values", F.lit(n))).alias(f"v{n}") for n in range(3 * STATE)]
+    # As many rows as the model has, whatever the corpus.
+    got = parts.groupBy("name", "row").agg(*sums).toArrow().sort_by([("name", "ascending"), ("row", "ascending")])
+    sent.unpersist()
+    names, row = np.array(got.column("name").to_pylist()), got.column("row").to_numpy()
+    wide = np.column_stack([got.column(f"v{n}").to_numpy() for n in range(3 * STATE)])
+    grad = {}
+    for k, v in model.items():
+        own = names == k
+        rows, values = row[own], wide[own, : v.shape[-1]]
+        if k in live:
+            on = live[k][rows]
+            grad[k] = (rows[on], values[on])
+        else:
+            grad[k] = np.zeros(v.shape)
+            grad[k].reshape(-1, v.shape[-1])[rows] = values
+    return grad
+
+
+def refine(model: dict[str, np.ndarray], told: DataFrame) -> None:
+    """Steps over all texts of ``told``: each takes the texts of one slice, and each text has its part in one step of a pass."""
+    live = _live(told)
+    counted = dict(told.groupBy("toxic").count().collect())
+    share = np.array([SLICES / 2 / counted[label] for label in (0, 1)])
+    moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in model.items()}
+    for step in range(1, PASSES * SLICES + 1):
+        grad = _gradient(told.where(F.col("slice") == step % SLICES), model, share, live)
+        _update(model, moments, grad, PASS_RATE, step)
+
+
+def ends(told: DataFrame, model: dict[str, np.ndarray]) -> tuple[float, float]:
+    """A logit that all clean texts but one in ``CLEAN`` stay below, and one that 19 in 20 toxic texts reach, of all texts of ``told``."""
+    score = F.least(F.greatest("score", F.lit(1e-9)), F.lit(1 - 1e-9))
+    place = F.floor(F.log(score / (1 - score)) * BINS).alias("place")
+    # Counts of at most 42 * BINS places for each label.
+    got = with_score(told.select("toxic", "text"), model).groupBy("toxic", place).count().orderBy("place").collect()
+    out = []
+    for label, share in ((0, 1 - 1 / CLEAN), (1, 0.05)):
+        places, counts = np.array([(r.place, r["count"]) for r in got if r.toxic == label]).T
+        reached = np.cumsum(counts)
+        out.append(float(places[np.searchsorted(reached, share * reached[-1])] + 0.5) / BINS)
+    return out[0], out[1]
 
 
 def score_texts(model: dict | None, values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -395,30 +516,29 @@ def fit(docs: DataFrame, labels: DataFrame, held_out: bool = True) -> dict[str,
         labels = labels.where(F.crc32(F.col("doc_id").cast("string")) % 3 != 1)
     told = labels.groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most"))
     told = told.where("toxic = most").drop("most")
-    # Ids are drawn first, on narrow rows; texts are read for the drawn ones alone.
-    filled = docs.where("char_length(text) > 0").select("doc_id").distinct()
-    known = store(filled.join(told, "doc_id"), "known")
-
-    def some(kind: str, label: int, count: int) -> DataFrame:
+    # One text of each id, in slices that a step can read alone.
+    rows = docs.select("doc_id", "text").where(F.char_length("text") > 0).join(told, "doc_id")
+    rows = rows.groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+    path = fresh_path(docs.sparkSession, "told")
+    rows.withColumn("slice", F.pmod(F.xxhash64("doc_id"), F.lit(SLICES)).cast("int")).write.partitionBy("slice").parquet(path)
+    told = docs.sparkSession.read.schema(f"doc_id {dict(rows.dtypes)['doc_id']}, toxic int, text string, slice int").parquet(path)
+
+    def some(kind: str, label: int) -> DataFrame:
         place = F.xxhash64("doc_id", F.lit(kind))
-        fitting = known.where(F.col("toxic") == label).select("doc_id", place.alias("place"))
-        return fitting.orderBy("place", "doc_id").limit(count).withColumn("kind", F.lit(kind))
-
-    drawn = some("clean", 0, PER_LABEL).union(some("toxic", 1, PER_LABEL)).union(some("check", 0, CLEAN))
-    # At most 2 * PER_LABEL + CLEAN ids, and as many texts.
-    found = docs.select("doc_id", "text").where(F.char_length("text") > 0)
-    found = found.join(F.broadcast(drawn), "doc_id").groupBy("doc_id", "place", "kind").agg(F.min("text").alias("text"))
-    found = store(found.select("place", "kind", "text"), "drawn")
-    windows = found.where("kind <> 'check'").mapInArrow(_cut_out, "place long, kind string, pieces array<string>")
-    # At most ``MOST`` windows, or as many words in one text, of at most 2 * PER_LABEL texts.
+        fitting = told.where(F.col("toxic") == label).select("doc_id", place.alias("place"))
+        return fitting.orderBy("place", "doc_id").limit(PER_LABEL).withColumn("kind", F.lit(kind))
+
+    # Ids are drawn first, on narrow rows: at most 2 * PER_LABEL, and as many texts.
+    drawn = some("clean", 0).union(some("toxic", 1))
+    found = told.join(F.broadcast(drawn), "doc_id").select("place", "kind", "text")
+    windows = found.mapInArrow(_cut_out, "place long, kind string, pieces array<string>")
+    # At most ``MOST`` windows, or as many words in one text.
     texts = sorted(windows.collect())
     owner = [k for k, text in enumerate(texts) for _ in text.pieces]
     model = train([p for text in texts for p in text.pieces], [int(text.kind == "toxic") for text in texts], owner)
     if model is not None:
-        scores: dict[str, list[float]] = {"clean": [], "toxic": [], "check": []}
-        for row in with_score(found.where("kind <> 'clean'"), model).select("kind", "score").collect():
-            scores[row.kind].append(row.score)
-        calibrate(model, scores["check"], scores["toxic"])
+        refine(model, told)
+        calibrate(model, *ends(told, model))
     return model
 
 
