@@ -65,6 +65,19 @@ def _within(count: np.ndarray) -> np.ndarray:
     return np.arange(count.sum()) - np.repeat(np.cumsum(count) - count, count)
 
 
+def _numbered(at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values of ``at``, all below ``size``, and an array that has their numbers at their places."""
+    there = np.zeros(size, bool)
+    there[at] = True
+    return np.flatnonzero(there), np.cumsum(there) - 1
+
+
+def _distinct(x: np.ndarray) -> np.ndarray:
+    """The distinct values in order; for numbers without many repeats quicker than ``np.unique``."""
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])[: len(x)]]
+
+
 class Words:
     """The distinct words of some texts, their hashed pieces, and the texts as word numbers."""
 
@@ -72,7 +85,12 @@ class Words:
         values = lowered(values)
         starts, ends, self.row = word_spans(values, offsets, MARKS)
         hasher = Hasher(values)
-        self.hashes, first, self.word = np.unique(hasher.ranges(starts, ends), return_index=True, return_inverse=True)
+        hashes = hasher.ranges(starts, ends)
+        order = np.argsort(hashes)  # any place of a word will do
+        new = np.append(True, np.diff(hashes[order]) != 0)[: len(order)]
+        first, self.word = order[new], np.empty(len(order), np.int64)
+        self.word[order] = np.cumsum(new) - 1
+        self.hashes = hashes[first]
         self.slot = (self.hashes % np.uint64(SLOTS)).astype(np.int64)
         starts, ends = starts[first], ends[first]
         count = np.maximum(ends - starts - PIECE + 1, 1)
@@ -147,52 +165,79 @@ def _sigmoid(x: np.ndarray) -> np.ndarray:
     return 0.5 * np.tanh(0.5 * x) + 0.5
 
 
-def _unit(inputs: np.ndarray, live: np.ndarray, model: dict, side: str, keep: list | None = None) -> np.ndarray:
-    """States of one gated recurrent unit over all steps (first axis); steps that are not live keep the state."""
-    recurrent, bias = model[f"u_{side}"], model[f"n_{side}"]
-    h = np.zeros((inputs.shape[1], STATE), np.float32)
-    states = np.empty((len(inputs), *h.shape), np.float32)
-    for t in range(len(inputs)):
-        back = h @ recurrent
-        gates = _sigmoid(inputs[t, :, : 2 * STATE] + back[:, : 2 * STATE])
-        z, r = gates[:, :STATE], gates[:, STATE:]
-        inner = back[:, 2 * STATE :] + bias
-        n = np.tanh(inputs[t, :, 2 * STATE :] + r * inner)
-        new = np.where(live[t][:, None], n + z * (h - n), h)
-        if keep is not None:
-            keep.append((h, z, r, n, inner))
-        states[t] = h = new
-    return states
+def _unit(
+    projected: np.ndarray, index: np.ndarray, live: np.ndarray, model: dict, side: str, states: np.ndarray, keep: bool
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Fills in the states of one gated recurrent unit over all steps (first axis); steps that are not live keep the state.
+
+    ``projected``, the words' inputs, is used up. Windows lie along the last axis, so that each part of a state is one run of numbers. Returns the gates, the new values and
+    their inner parts: with ``keep`` of all steps, else of the last.
+    """
+    recurrent, bias = np.array(model[f"u_{side}"].T, order="C"), model[f"n_{side}"][:, None]
+    # Gates are 0.5 * tanh(0.5 * x) + 0.5; the inner half is taken here, which is exact.
+    recurrent[: 2 * STATE] *= 0.5
+    projected[:, : 2 * STATE] *= 0.5
+    windows, kept = index.shape[1], len(index) if keep else 1
+    gates = np.empty((kept, 2 * STATE, windows), projected.dtype)
+    fresh, inner = (np.empty((kept, STATE, windows), projected.dtype) for _ in range(2))
+    back = np.empty((3 * STATE, windows), projected.dtype)
+    rows = np.empty((windows, 3 * STATE), projected.dtype)
+    inputs = rows.T
+    full = live.all(axis=1)
+    h = np.zeros((STATE, windows), projected.dtype)
+    for t in range(len(index)):
+        at = t % kept
+        np.take(projected, index[t], axis=0, out=rows, mode="clip")  # without a copy; no index is out of bounds
+        np.matmul(recurrent, h, out=back)
+        zr = np.add(inputs[: 2 * STATE], back[: 2 * STATE], out=gates[at])
+        np.tanh(zr, out=zr)
+        zr *= 0.5
+        zr += 0.5
+        np.add(back[2 * STATE :], bias, out=inner[at])
+        n = np.multiply(zr[STATE:], inner[at], out=fresh[at])
+        n += inputs[2 * STATE :]
+        np.tanh(n, out=n)
+        new = np.subtract(h, n, out=states[t])
+        new *= zr[:STATE]
+        new += n
+        if not full[t]:
+            np.copyto(new, h, where=~live[t])
+        h = new
+    return gates, fresh, inner
+
+
+# The order in which a unit goes through the steps, and its part of a state.
+SIDES = (("f", slice(None), slice(0, STATE)), ("b", slice(None, None, -1), slice(STATE, None)))
 
 
 def _forward(model: dict, vectors: np.ndarray, words: np.ndarray, keep: dict | None = None) -> np.ndarray:
     """Logits of windows of word numbers."""
-    live = (words >= 0).T
-    index = np.maximum(words, 0).T
-    states = []
-    for side, turn in (("f", slice(None)), ("b", slice(None, None, -1))):
+    live = np.ascontiguousarray((words >= 0).T)
+    index = np.ascontiguousarray(np.maximum(words, 0).T)
+    both = np.empty((len(index), 2 * STATE, len(words)), vectors.dtype)
+    for side, turn, part in SIDES:
         projected = vectors @ model[f"w_{side}"] + model[f"c_{side}"]
-        steps: list | None = [] if keep is not None else None
-        states.append(_unit(projected[index[turn]], live[turn], model, side, steps)[turn])
+        steps = _unit(projected, index[turn], live[turn], model, side, both[turn, part], keep is not None)
         if keep is not None:
             keep[side] = steps
-    both = np.concatenate(states, axis=2)
-    look = np.tanh(both @ model["look"] + model["look_c"])
-    force = np.where(live, look @ model["ask"], -1e9)
-    share = np.exp(force - force.max(axis=0))
+    look = np.ascontiguousarray(model["look"].T) @ both
+    look += model["look_c"][:, None]
+    look = np.ascontiguousarray(np.tanh(look, out=look).transpose(0, 2, 1))
+    share = np.where(live, look @ model["ask"], np.float32(-1e9))
+    share -= share.max(axis=0)
+    np.exp(share, out=share)
     share /= share.sum(axis=0)
-    pooled = np.einsum("tn,tnh->nh", share, both)
+    pooled = np.ascontiguousarray(np.einsum("tn,thn->hn", share, both).T)
     if keep is not None:
         keep |= {"both": both, "look": look, "share": share, "pooled": pooled, "live": live, "index": index}
     return pooled @ model["out"] + model["out_c"]
 
 
 def _per_word(index: np.ndarray, values: np.ndarray, words: int) -> np.ndarray:
-    """Sums of ``values`` over the places of each word."""
-    out = np.empty((words, values.shape[-1]), np.float32)
-    at = index.ravel()
-    for k in range(values.shape[-1]):
-        out[:, k] = np.bincount(at, values[..., k].ravel(), words)
+    """Sums of ``values``, a row for each column of the result, over the places of each word."""
+    out = np.empty((words, len(values)), np.float32)
+    for k, row in enumerate(values):
+        out[:, k] = np.bincount(index, row, words)
     return out
 
 
@@ -200,7 +245,8 @@ def _backward(model: dict, vectors: np.ndarray, keep: dict, slope: np.ndarray) -
     """Gradients of the parameters and of the word vectors; ``slope`` is that of the logits."""
     grad = {"out": keep["pooled"].T @ slope, "out_c": slope.sum(keepdims=True)}
     pooled = slope[:, None] * model["out"]
-    both, look, share = keep["both"], keep["look"], keep["share"]
+    states, look, share = keep["both"], keep["look"], keep["share"]
+    both = np.ascontiguousarray(states.transpose(0, 2, 1))
     d_both = share[:, :, None] * pooled
     d_share = np.einsum("tnh,nh->tn", both, pooled)
     force = share * (d_share - (share * d_share).sum(axis=0))
@@ -208,29 +254,42 @@ def _backward(model: dict, vectors: np.ndarray, keep: dict, slope: np.ndarray) -
     d_look = force[:, :, None] * model["ask"] * (1 - look * look)
     grad["look"] = np.einsum("tnh,tna->ha", both, d_look)
     grad["look_c"] = d_look.sum(axis=(0, 1))
-    d_both = d_both + d_look @ model["look"].T
+    d_both += d_look @ model["look"].T
     d_vectors = np.zeros_like(vectors)
-    for side, turn, part in (("f", slice(None), slice(0, STATE)), ("b", slice(None, None, -1), slice(STATE, None))):
-        outside, live, index = d_both[turn][:, :, part], keep["live"][turn], keep["index"][turn]
+    full = keep["live"].all(axis=1)
+    for side, turn, part in SIDES:
+        outside, live, index = d_both[turn, :, part], keep["live"][turn], keep["index"][turn]
+        own, whole = states[turn, part], full[turn]
+        gates, n, inner = keep[side]
+        z, r = gates[:, :STATE], gates[:, STATE:]
+        before = np.concatenate([np.zeros_like(own[:1]), own[:-1]])
+        before_n, rest_z, rest_n, rest_r = before - n, 1 - z, 1 - n * n, 1 - r
+        before = np.ascontiguousarray(before.transpose(0, 2, 1))
         recurrent = model[f"u_{side}"]
         d_u, d_n = np.zeros_like(recurrent), np.zeros_like(model[f"n_{side}"])
-        steps = np.empty((*index.shape, 3 * STATE), np.float32)
-        d_h = np.zeros((outside.shape[1], STATE), np.float32)
-        for t in range(len(outside) - 1, -1, -1):
-            h, z, r, n, inner = keep[side][t]
-            total = d_h + outside[t]
-            on = live[t][:, None]
-            d_new = np.where(on, total, 0)
-            pre_n = d_new * (1 - z) * (1 - n * n)
-            pre_z = d_new * (h - n) * z * (1 - z)
-            pre_r = pre_n * inner * r * (1 - r)
-            d_inner = pre_n * r
-            d_back = np.concatenate([pre_z, pre_r, d_inner], axis=1)
-            d_u += h.T @ d_back
-            d_n += d_inner.sum(axis=0)
-            steps[t] = np.concatenate([pre_z, pre_r, pre_n], axis=1)
-            d_h = d_back @ recurrent.T + np.where(on, d_new * z, total)
-        d_in = _per_word(index, steps, len(vectors))
+        steps = np.empty((3 * STATE, *index.shape), np.float32)
+        d_back = np.empty((3 * STATE, index.shape[1]), own.dtype)
+        pre_z, pre_r, d_inner = d_back[:STATE], d_back[STATE : 2 * STATE], d_back[2 * STATE :]
+        d_h = np.zeros_like(own[0])
+        for t in range(len(index) - 1, -1, -1):
+            total = d_h + outside[t].T
+            d_new = total if whole[t] else np.where(live[t], total, 0)
+            pre_n = d_new * rest_z[t]
+            pre_n *= rest_n[t]
+            np.multiply(d_new, before_n[t], out=pre_z)
+            pre_z *= z[t]
+            pre_z *= rest_z[t]
+            np.multiply(pre_n, inner[t], out=pre_r)
+            pre_r *= r[t]
+            pre_r *= rest_r[t]
+            np.multiply(pre_n, r[t], out=d_inner)
+            by_window = np.ascontiguousarray(d_back.T)
+            d_u += before[t].T @ by_window
+            d_n += by_window[:, 2 * STATE :].sum(axis=0)
+            steps[: 2 * STATE, t], steps[2 * STATE :, t] = d_back[: 2 * STATE], pre_n
+            d_h = recurrent @ d_back
+            d_h += d_new * z[t] if whole[t] else np.where(live[t], d_new * z[t], total)
+        d_in = _per_word(index.ravel(), steps.reshape(3 * STATE, -1), len(vectors))
         grad |= {f"u_{side}": d_u, f"n_{side}": d_n, f"w_{side}": vectors.T @ d_in, f"c_{side}": d_in.sum(axis=0)}
         d_vectors += d_in @ model[f"w_{side}"].T
     return grad, d_vectors
@@ -265,9 +324,8 @@ def _tables(words: Words, counted: np.ndarray, rng: np.random.Generator) -> dict
 
 def _inputs(words: Words, model: dict, windows: np.ndarray) -> tuple[np.ndarray, ...]:
     """Vectors of the distinct words of windows, the windows in their numbers, those words, their pieces and weights."""
-    used, index = np.unique(windows, return_inverse=True)
-    index = index.reshape(windows.shape) - (used[0] < 0)
-    used = used[used >= 0]
+    used, number = _numbered(windows[windows >= 0], len(words.slot))
+    index = np.append(number, -1)[windows]
     count = words.count[used]
     cut = np.cumsum(count) - count
     pieces = words.pieces[np.repeat(words.cuts[used], count) + _within(count)]
@@ -278,10 +336,11 @@ def _inputs(words: Words, model: dict, windows: np.ndarray) -> tuple[np.ndarray,
 
 def _summed(at: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct places and the sums of their rows."""
-    rows, number = np.unique(at, return_inverse=True)
-    out = np.zeros((len(rows), WIDTH), np.float32)
-    np.add.at(out, number, values)
-    return rows, out
+    rows, number = _numbered(at, SLOTS)
+    out = np.zeros(len(rows) * WIDTH, np.float32)
+    # Numbers one by one: numpy is quick at these, not at rows.
+    np.add.at(out, (number[at][:, None] * WIDTH + np.arange(WIDTH)).ravel(), values.astype(np.float32, copy=False).ravel())
+    return rows, out.reshape(-1, WIDTH)
 
 
 def _slopes(
@@ -378,10 +437,10 @@ def _seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     total = {name: np.zeros(SLOTS, np.int64) for name in ("words", "pieces")}
     for part in chunks(batches, "text"):
         words = Words(*as_bytes(part.column("text")))
-        row, word = np.divmod(np.unique(words.row.astype(np.int64) * len(words.slot) + words.word), max(len(words.slot), 1))
+        row, word = np.divmod(_distinct(words.row.astype(np.int64) * len(words.slot) + words.word), max(len(words.slot), 1))
         at = np.repeat(words.cuts[word], words.count[word]) + _within(words.count[word])
         for name, texts, slot in (("words", row, words.slot[word]), ("pieces", np.repeat(row, words.count[word]), words.pieces[at])):
-            total[name] += np.bincount(np.unique(texts * SLOTS + slot) % SLOTS, minlength=SLOTS)
+            total[name] += np.bincount(_distinct(texts * SLOTS + slot) % SLOTS, minlength=SLOTS)
     for name, found in total.items():
         at = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array([name] * len(at), pa.string()), pa.array(at), pa.array(found[at])], ["name", "row", "n"])
