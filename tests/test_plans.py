@@ -119,3 +119,20 @@ def test_days_keys_filter_whole_tables_at_the_scan(spark, wh, table):
         for k, v in before.items():
             spark.conf.set(k, v)
     assert re.search(rf"might_contain\(scalar-subquery#\d+ \[[^\]]*\], xxhash64\((coalesce\()?interaction_id#", plan)
+
+
+def test_invoice_lines_are_not_shuffled_for_what_the_invoice_tells(spark, wh):
+    """Programs and clients are looked up for invoices; their lines are shuffled for the invoice and for the rates alone."""
+    names = ("stg_fin_invoice_line", "ods_invoice_acid", "dim_program", "ods_client_acid", "ods_rate_card")
+    frames = [wh.get(n) for n in names]
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        lines = physical(facts.fact_billing_line(*frames, DAY)).splitlines()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    depth = [len(re.match(r"[ :+-]*", line)[0]) for line in lines]
+    below = lambda i: next((j for j in range(i + 1, len(lines)) if depth[j] <= depth[i]), len(lines))
+    shuffles = [i for i, line in enumerate(lines) if "Exchange hashpartitioning(" in line]
+    wide = [lines[i] for i in shuffles if any("invoice_line_id" in x for x in lines[i : below(i)])]
+    assert len(shuffles) > len(wide) == 2 and not any("client_id" in x for x in wide)

@@ -1,12 +1,15 @@
 """Quality jobs find what is wrong and pass what is right."""
 
 import datetime as dt
+import threading
 from decimal import Decimal
 
 import pytest
+from conftest import FOLDER
 from pyspark.sql import functions as F
 
 from checks import registry
+from checks.warehouse import Warehouse
 from switchboard.operators.tree import root_paths
 from switchboard.plans import quality, views
 from switchboard.schemas import TABLES
@@ -177,3 +180,33 @@ def test_schema_contract_of_nested_types_and_null_partitions(spark):
     assert one(quality.schema_contract(empty, chats.name)).status == "PASS"
     less = F.transform("messages", lambda m: m.dropFields("text"))
     assert one(quality.schema_contract(empty.withColumn("messages", less), chats.name)).schema_differences == 1
+
+
+def test_populated_builds_tables_at_once_and_after_their_inputs(spark, monkeypatch):
+    """Two masters wait for each other while they are built, and a dimension finds its inputs stored."""
+    w, met, built = Warehouse(spark, FOLDER), threading.Barrier(2, timeout=60), []
+
+    def build(name):
+        if name in ("ods_org_unit", "ods_queue"):
+            met.wait()
+        assert all(i in w.stored for i in w.steps[name].inputs if i in w.steps)
+        built.append(name)
+        return spark.range(len(name)).toDF("n")
+
+    monkeypatch.setattr(w, "build", lambda name: build(name) if name in w.steps else Warehouse.build(w, name))
+    monkeypatch.setattr(registry, "POPULATED", ["stg_tel_queue", "dim_org", "dim_queue", "ods_queue"])
+    out = {r.table_name: r.row_count for r in registry.dq_table_populated(w).collect()}
+    assert out == {"stg_tel_queue": w.get("stg_tel_queue").count(), "dim_org": 7, "dim_queue": 9, "ods_queue": 9}
+    assert sorted(built) == ["dim_org", "dim_queue", "ods_org_unit", "ods_queue"]
+
+
+def test_populated_tells_when_a_table_cannot_be_built(spark, monkeypatch):
+    w = Warehouse(spark, FOLDER)
+    monkeypatch.setattr(w, "build", lambda name: spark.range(1).select(F.raise_error(F.lit(f"no {name}"))))
+    with pytest.raises(Exception, match="no ods_queue"):
+        w.fill(["ods_queue"])
+    assert not w.stored
+
+
+def test_stored_tables_are_packed(wh):
+    assert all(f.endswith(".zstd.parquet") for f in wh.get("ods_queue").inputFiles())
