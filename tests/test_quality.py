@@ -1,7 +1,9 @@
 """Quality jobs find what is wrong and pass what is right."""
 
 import datetime as dt
+import re
 import threading
+import time
 from decimal import Decimal
 
 import pytest
@@ -208,5 +210,26 @@ def test_populated_tells_when_a_table_cannot_be_built(spark, monkeypatch):
     assert not w.stored
 
 
+def test_report_leaves_no_shuffle_files(spark):
+    """Of each check the shuffle files go, at the latest when the next is written; the report has the rows of all checks."""
+    first = spark.sparkContext._jsc.sc().newShuffleId()
+
+    def left():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles().mkString("\n")
+        return {int(n) for n in re.findall(r"shuffle_(\d+)_", files) if int(n) > first}
+
+    def check(n):
+        rows = spark.range(0, 1000 * n, 1, 4).groupBy((F.col("id") % 7).alias("k")).agg(F.count(F.lit(1)).alias("n"))
+        return rows.select("k", "n", F.when(F.col("k") < n - 2, "FAIL").otherwise("PASS").alias("status"))
+
+    out = quality.report({"abc"[n - 1]: check(n) for n in (1, 2, 3)})
+    end = time.monotonic() + 20
+    while len(left()) > 1 and time.monotonic() < end:
+        time.sleep(0.2)
+    assert len(left()) <= 1
+    lines = [tuple(r) for r in out.collect()]
+    assert len(lines) == 22 and lines[0] == ("c", "k=0 n=429", "FAIL") and lines[-1] == ("coverage", "checked 21, failed 1", "FAIL")
+
+
 def test_stored_tables_are_packed(wh):
     assert all(f.endswith(".zstd.parquet") for f in wh.get("ods_queue").inputFiles())
